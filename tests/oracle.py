@@ -1,0 +1,93 @@
+"""Run queries in Spark and their SQL in DuckDB and compare types and rows.
+
+``python -m tests.oracle SF_DIR [query ...]`` prints one line per query.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+# Spark type name to the DuckDB type it must meet.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _plain(value: object) -> object:
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else (0.0 if value == 0 else value)
+    return value
+
+
+def _rows(names: list[str], rows: list) -> list[str]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(repr([_plain(row[i]) for i in order]) for row in rows)
+
+
+def compare(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """None if equal, else the first difference."""
+    cursor = con.execute(sql)
+    expected_types = {d[0]: str(d[1]) for d in cursor.description}
+    expected = cursor.fetchall()
+    found_types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    if found_types != expected_types:
+        return f"types {found_types} != {expected_types}"
+    a = _rows(df.columns, [tuple(r) for r in df.collect()])
+    b = _rows(list(expected_types), expected)
+    if len(a) != len(b):
+        return f"{len(a)} rows != {len(b)} rows"
+    for x, y in zip(a, b):
+        if x != y:
+            return f"{x} != {y}"
+    return None if a else "no rows"
+
+
+def main() -> None:
+    import __spark_entry__ as entry_module
+    from tests.conftest import build_session
+
+    sf_dir, wanted = sys.argv[1], sys.argv[2:]
+    spark, con = build_session(), connect(sf_dir)
+    oracles = entry_module.oracle_sql()
+    bad = 0
+    for name, function in entry_module.queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            df = function(spark, sf_dir)
+            if name in oracles:
+                result = compare(df, con, oracles[name])
+                verdict = "ok" if result is None else f"DIFFERS {result[:600]}"
+            else:
+                verdict = f"rows-only {df.count()}"
+        except Exception as error:  # a report over all queries: say which one failed and go on
+            verdict = f"FAILED {type(error).__name__} {str(error)[:800]}"
+        bad += verdict.startswith(("DIFFERS", "FAILED"))
+        print(f"{name:28s} {time.time() - start:7.2f}s {verdict}", flush=True)
+    print(f"{bad} bad")
+
+
+if __name__ == "__main__":
+    main()
