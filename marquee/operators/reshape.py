@@ -79,9 +79,10 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def heavy_keys(df: DataFrame, keys: list[str], slices: int) -> DataFrame:
-    """Keys that hold more than one ``slices``-th of the rows, with the number of slices their rows
-    fill. By counting there are fewer than ``slices`` such keys, whatever the size of ``df``."""
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    """Keys (NULL is one) that hold more than one ``slices``-th of the rows, with the number of
+    slices their rows fill as ``_fill``. By counting there are fewer than ``slices`` such keys,
+    whatever the size of ``df``."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     return counts.where(F.col("_rows") * slices > total).select(
         *keys, F.ceil(F.col("_rows") * slices / total).cast("int").alias("_fill")
@@ -101,7 +102,7 @@ def enrich_left(
     order_by: list[str] | None = None,
     suffix: str | None = None,
     unique: bool = False,
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = 64 << 20,
     slices: int | None = None,
 ) -> DataFrame:
     """Left join on equal keys after reducing ``right`` to one row per key (see ``dedup_by_key``;
@@ -111,17 +112,18 @@ def enrich_left(
     Columns that both sides have besides the key are refused, or, with ``suffix``, renamed on the
     right.
 
-    With ``broadcast_bytes`` the right side is measured first and broadcast if it is no larger.
-    Otherwise both sides are shuffled, and left keys holding more than one ``slices``-th of the
-    rows (default: four slices per shuffle partition) are cut into slices, with only the matching
-    right rows repeated. NULL keys, which match nothing, are spread the same way.
+    The data decide how the join runs. The right side is measured and broadcast if it is no larger
+    than ``broadcast_bytes`` (0: do not measure, do not broadcast). Otherwise both sides are
+    shuffled, after one counting pass over the left keys: keys, NULL included, that hold more than
+    one ``slices``-th of the left rows (default: four slices per shuffle partition) are cut into
+    slices and only the matching right rows are repeated.
     """
     spark = left.sparkSession
     keys = [on] if isinstance(on, str) else list(on)
     shared = [c for c in right.columns if c in left.columns and c not in keys]
     if shared and suffix is None:
         raise ValueError(f"both sides have {shared}: rename them or give a suffix")
-    small = broadcast_bytes is not None and measured_bytes(right) <= broadcast_bytes
+    small = broadcast_bytes > 0 and measured_bytes(right) <= broadcast_bytes
     if not unique:
         right = dedup_by_key(right, keys, order_by)
     right = right.withColumnsRenamed({c: c + suffix for c in shared}) if shared else right
@@ -130,21 +132,27 @@ def enrich_left(
         return left.join(F.broadcast(right), keys, "left").select(*columns)
 
     slices = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Fewer than `slices` rows, so safe to broadcast at any table size.
-    heavy = F.broadcast(heavy_keys(left, keys, slices))
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = left.withColumn("_hash", _row_hash(left)).join(heavy, keys, "left").withColumn(
-        "_slice",
-        F.when(any_null, F.pmod("_hash", F.lit(slices)))
-        .otherwise(F.pmod("_hash", F.coalesce("_fill", F.lit(1))))
-        .cast("int"),
+    # Fewer than `slices` rows, so safe to collect and broadcast at any table size.
+    found = heavy_keys(left, keys, slices)
+    heavy = found.collect()
+    if not heavy:
+        return left.join(right, keys, "left").select(*columns)
+    heavy_df = spark.createDataFrame(heavy, found.schema).withColumnsRenamed(
+        {k: f"_heavy_{i}" for i, k in enumerate(keys)}
     )
-    repeated = right.join(heavy, keys, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_fill", F.lit(1)) - 1))
+
+    def with_fill(df: DataFrame) -> DataFrame:
+        same = [F.col(k).eqNullSafe(F.col(f"_heavy_{i}")) for i, k in enumerate(keys)]
+        matched = df.join(F.broadcast(heavy_df), reduce(lambda a, b: a & b, same), "left")
+        return matched.select(*df.columns, F.coalesce("_fill", F.lit(1)).alias("_fill"))
+
+    cut = with_fill(left.withColumn("_hash", _row_hash(left))).select(
+        *left.columns, F.pmod("_hash", "_fill").cast("int").alias("_slice")
+    )
+    repeated = with_fill(right).select(
+        *right.columns, F.explode(F.sequence(F.lit(0), F.col("_fill") - 1)).alias("_slice")
     )
-    return spread.drop("_fill", "_hash").join(
-        repeated.drop("_fill"), [*keys, "_slice"], "left"
-    ).select(*columns)
+    return cut.join(repeated, [*keys, "_slice"], "left").select(*columns)
 
 
 def top_n(df: DataFrame, n: int, *order_by: str | Column) -> DataFrame:

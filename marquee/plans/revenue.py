@@ -47,7 +47,7 @@ def prepare_revenue_rows(
     columns: CatalogueColumns = CatalogueColumns(),
     supplement_columns: SupplementColumns = SupplementColumns(),
     order_by: list[str] | None = None,
-    broadcast_bytes: int | None = 64 << 20,
+    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Distinct, complete catalogue rows with the supplement joined on the title.
 
@@ -96,7 +96,7 @@ def revenue_model(
     train: float = 0.8,
     seed: int = 42,
     text_fit_on: str = "all",
-    broadcast_bytes: int | None = 64 << 20,
+    broadcast_bytes: int = 64 << 20,
 ) -> RevenueModel:
     """Fit topics on the overviews, then revenue on ratings, running time, supplement values,
     encoded categories and topic shares; score on the held-out part.

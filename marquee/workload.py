@@ -157,7 +157,7 @@ def with_overall(reviews: DataFrame) -> DataFrame:
     """Add each user's mean over all events. Users differ a lot in activity, so this is a join of
     reduced rows rather than a window over a user's rows."""
     overall = reviews.groupBy("user_id").agg(agg_mean("value", "overall"))
-    return enrich_left(reviews, overall, "user_id", unique=True)
+    return enrich_left(reviews, overall, "user_id", unique=True, broadcast_bytes=0)
 
 
 EVENT_MESSAGE = "event_id bigint, user_id bigint, value double, day string"
@@ -221,8 +221,9 @@ def label_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with a line-item supplement that many parts lack."""
+    parts = table(spark, sf_dir, "part")
     return enrich_left(
-        table(spark, sf_dir, "part"), line_supplement(spark, sf_dir), "p_partkey", LINE_ORDER
+        parts, line_supplement(spark, sf_dir), "p_partkey", LINE_ORDER, broadcast_bytes=0
     )
 
 
@@ -452,7 +453,9 @@ def _low_rated_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return enrich_left(parts, line_supplement(spark, sf_dir), "p_partkey", LINE_ORDER)
+    return enrich_left(
+        parts, line_supplement(spark, sf_dir), "p_partkey", LINE_ORDER, broadcast_bytes=0
+    )
 
 
 @query(
@@ -465,7 +468,7 @@ def _enrich_left_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return enrich_left(orders, customers, "o_custkey", broadcast_bytes=64 << 20)
+    return enrich_left(orders, customers, "o_custkey")
 
 
 @query(
@@ -657,41 +660,61 @@ def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_counts(filtered_words_of(spark, sf_dir), "words")
 
 
+# Terms of at least one document in a hundred. However long the texts get, a document holds so many
+# different terms at most, so the number of such terms is bounded and no vocabulary limit cuts in.
+COMMON_TERMS = 0.01
+COMMON_SQL = f"""{FILTERED_SQL}, entries AS (
+        SELECT doc_id, term, count(*) AS n
+        FROM (SELECT doc_id, unnest(words) AS term FROM filtered) GROUP BY 1, 2),
+    common AS (
+        SELECT term FROM entries GROUP BY 1
+        HAVING count(*) >= {COMMON_TERMS} * (SELECT count(*) FROM documents))"""
+
+
+def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = filtered_words_of(spark, sf_dir)
+    return fit_term_vectors(words, "words", "counts", min_df=COMMON_TERMS).transform(words).drop("words")
+
+
 @query(
     "term_vectors",
-    f"""WITH {FILTERED_SQL}
+    f"""WITH {COMMON_SQL}
         SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS DOUBLE) AS n_words
-        FROM (SELECT doc_id, term, count(*) AS n
-              FROM (SELECT doc_id, unnest(words) AS term FROM filtered) GROUP BY 1, 2)
-        GROUP BY 1""",
+        FROM entries JOIN common USING (term) GROUP BY 1""",
 )
 def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = filtered_words_of(spark, sf_dir)
-    vectors = fit_term_vectors(words, "words", "counts").transform(words)
-    return (
-        vector_entries(vectors, "counts", ["doc_id"])
-        .groupBy("doc_id")
-        .agg(F.count("slot").alias("n_terms"), F.sum("entry").alias("n_words"))
+    entries = vector_entries(document_vectors(spark, sf_dir), "counts", ["doc_id"])
+    return entries.groupBy("doc_id").agg(
+        F.count("slot").alias("n_terms"), F.sum("entry").alias("n_words")
     )
 
 
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = filtered_words_of(spark, sf_dir)
-    vectors = materialise(fit_term_vectors(words, "words", "counts").transform(words).drop("words"))
-    return topic_mixture(vectors, fit_topics(vectors, "counts"), "mixture")
+    vectors = materialise(document_vectors(spark, sf_dir), "vectors")
+    mixed = topic_mixture(vectors, fit_topics(vectors, "counts"), "mixture")
+    return mixed.select("doc_id", vector_to_array("mixture").alias("share"))
 
 
 @query("topic_mixture")
 def _topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = document_topics(spark, sf_dir).select("doc_id", vector_to_array("mixture").alias("share"))
-    return shares.select("doc_id", F.posexplode("share").alias("topic", "share"))
+    return document_topics(spark, sf_dir).select(
+        "doc_id", F.posexplode("share").alias("topic", "share")
+    )
 
 
-@query("topic_mixture_totals", "SELECT doc_id, CAST(5 AS INT) AS topics, 1.0::DOUBLE AS total FROM documents")
+@query(
+    "topic_mixture_totals",
+    f"""WITH {COMMON_SQL}
+        SELECT doc_id, CAST(5 AS INT) AS topics,
+               CAST(doc_id IN (SELECT doc_id FROM entries JOIN common USING (term)) AS DOUBLE) AS total
+        FROM documents""",
+)
 def _topic_mixture_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = document_topics(spark, sf_dir).select("doc_id", vector_to_array("mixture").alias("share"))
+    """Shares add up to 1, or to 0 for a text without a term of the vocabulary."""
     total = F.aggregate("share", F.lit(0.0), lambda a, b: a + b)
-    return shares.select("doc_id", F.size("share").alias("topics"), F.round(total, 6).alias("total"))
+    return document_topics(spark, sf_dir).select(
+        "doc_id", F.size("share").alias("topics"), F.round(total, 6).alias("total")
+    )
 
 
 # --- features and regression ---------------------------------------------------------------------
@@ -757,7 +780,6 @@ PART_INPUTS = {
 )
 def _fit_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = fit_regressor(materialise(part_features(spark, sf_dir)), **PART_INPUTS).stages[-1]
-    # One row derived from the fitted model, attached to the read so that it stays a query result.
     return spark.createDataFrame(
         [(forest.getNumTrees, forest.numFeatures)], "n_trees int, n_slots int"
     )
