@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +77,8 @@ def r2_score(df: DataFrame, label: str, prediction: str = "prediction") -> DataF
 
 
 def slot_widths(df: DataFrame, inputs: list[str]) -> dict[str, int]:
-    """Number of vector slots each assembler input takes, read from column metadata only."""
+    """Number of vector slots each assembler input takes: from column metadata, or from one row for
+    a vector column that carries none."""
     widths = {}
     for name in inputs:
         attributes = df.schema[name].metadata.get("ml_attr", {})
@@ -87,7 +89,8 @@ def slot_widths(df: DataFrame, inputs: list[str]) -> dict[str, int]:
         elif isinstance(df.schema[name].dataType, T.NumericType | T.BooleanType):
             widths[name] = 1
         else:
-            raise ValueError(f"the number of slots of {name} is unknown")
+            sample = df.where(F.col(name).isNotNull()).select(F.size(vector_to_array(name)).alias("n"))
+            widths[name] = sample.first()["n"]
     return widths
 
 
@@ -95,7 +98,8 @@ def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``Feature`` and ``Importance`` per assembler input, most important first.
 
     A category or topic vector has one importance per slot; they are summed into their input, so
-    the table adds up to 1. ``df`` is the frame the model was fitted on (only its schema is used).
+    the table adds up to 1. ``df`` is the frame the model was fitted on, of which at most one row is
+    read.
     """
     forest, assemble = model.stages[-1], model.stages[-2]
     encoded = PipelineModel(model.stages[:-2]).transform(df)

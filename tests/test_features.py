@@ -1,0 +1,74 @@
+import random
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from marquee.operators import (
+    assemble_features,
+    category_ranks,
+    category_stages,
+    check_category_bound,
+    index_category,
+    one_hot,
+    vector_entries,
+)
+
+VALUES = ["b", "a", "b", "c", None, "a", "d"]
+
+
+def frame(spark, values=VALUES):
+    return spark.createDataFrame(list(enumerate(values)), "i int, c string")
+
+
+def test_index_category_matches_spark_indexer(spark):
+    rng = random.Random(5)
+    values = [f"v{rng.randrange(40)}" for _ in range(400)] + [None]
+    df = frame(spark, values).repartition(7)
+    indexer, _ = (stage for stage in category_stages({"c": "vec"}))
+    expected = {r.i: r.c_Indexed for r in indexer.fit(df).transform(df).collect()}
+    assert {r.i: r.x for r in index_category(df, "c", "x").collect()} == expected
+
+
+def test_index_category_order_and_missing(spark):
+    got = {r.i: r.x for r in index_category(frame(spark), "c", "x").collect()}
+    assert got == {0: 1.0, 1: 0.0, 2: 1.0, 3: 2.0, 4: 4.0, 5: 0.0, 6: 3.0}
+    unseen = index_category(frame(spark, ["zzz", "a", None]), "c", "x", fit_on=frame(spark))
+    assert {r.i: r.x for r in unseen.collect()} == {0: 4.0, 1: 0.0, 2: 4.0}
+
+
+def test_category_ranks_are_gapless_over_many_tasks(spark):
+    df = spark.range(1000).select(F.sha1(F.col("id").cast("string")).alias("c"))
+    ranks = sorted((r.x, r.c) for r in category_ranks(df.repartition(16), "c", "x").collect())
+    assert [x for x, _ in ranks] == [float(i) for i in range(1000)]
+    assert [c for _, c in ranks] == sorted(c for _, c in ranks)
+
+
+def test_one_hot(spark):
+    encoded = one_hot(frame(spark), {"c": "v"})
+    got = {r.i: (r.slot, r.entry) for r in vector_entries(encoded, "v", ["i"]).collect()}
+    # The NULL of row 4 is the zero vector.
+    assert got == {i: (s, 1.0) for i, s in {0: 1, 1: 0, 2: 1, 3: 2, 5: 0, 6: 3}.items()}
+    assert encoded.select(F.size(vector_to_array("v"))).distinct().collect() == [(4,)]
+
+
+def test_unseen_category_is_the_zero_vector(spark):
+    df, new = frame(spark), frame(spark, ["new"])
+    for stage in category_stages({"c": "v"}):
+        model = stage.fit(df)
+        df, new = model.transform(df), model.transform(new)
+    assert new.select(F.array_max(vector_to_array("v"))).first()[0] == 0.0
+
+
+def test_category_bound(spark):
+    check_category_bound(frame(spark), ["c"], 10)
+    with pytest.raises(ValueError, match="'c': "):
+        one_hot(frame(spark), {"c": "v"}, max_categories=2)
+
+
+def test_assemble_features_skips_missing(spark):
+    df = spark.createDataFrame(
+        [(1, 2.0, 3), (2, None, 3), (3, float("nan"), 3), (4, 1.0, None)], "i int, x double, y int"
+    )
+    got = [(r.i, list(r.v)) for r in assemble_features(df, ["x", "y"]).select("i", vector_to_array("features").alias("v")).collect()]
+    assert got == [(1, [2.0, 3.0])]

@@ -1,0 +1,48 @@
+"""All registered queries against DuckDB on the smallest tables, two widths of shuffle."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_module
+from tests.oracle import compare, connect
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+QUERIES = entry_module.queries()
+ORACLES = entry_module.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, con, name):
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_without_sql_has_rows(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+DETERMINISTIC = ["dedup_by_key", "tag_ratings", "agg_first", "index_category", "enrich_left", "daily_average"]
+
+
+@pytest.mark.parametrize("name", DETERMINISTIC)
+def test_result_does_not_depend_on_the_shuffle_width(spark, con, name):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_entry(spark):
+    df = entry_module.entry(spark)
+    assert df.columns[0] == "Decade" and df.count() > 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
