@@ -22,7 +22,7 @@ from marquee.operators.reshape import (
     dedup_rows,
     enrich_left,
     explode_tags,
-    heavy_keys,
+    heavy_buckets,
     measured_bytes,
     top_n,
 )
@@ -59,7 +59,7 @@ __all__ = [
     "fit_regressor",
     "fit_term_vectors",
     "fit_topics",
-    "heavy_keys",
+    "heavy_buckets",
     "index_category",
     "low_rated_absolute",
     "low_rated_relative",

@@ -78,14 +78,21 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def heavy_keys(df: DataFrame, keys: list[str], slices: int) -> DataFrame:
-    """Keys (NULL is one) that hold more than one ``slices``-th of the rows, with the number of
-    slices their rows fill as ``_fill``. By counting there are fewer than ``slices`` such keys,
-    whatever the size of ``df``."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def heavy_buckets(df: DataFrame, keys: list[str], buckets: int, slices: int) -> DataFrame:
+    """Hash buckets of ``keys`` (NULL included) that hold more than one ``slices``-th of the rows,
+    with the number of slices their rows fill: ``_bucket``, ``_fill``.
+
+    One pass over the key columns, in which a task sends at most ``buckets`` small rows, however
+    many keys there are. By counting there are fewer than ``slices`` heavy buckets.
+    """
+    counts = df.groupBy(_bucket(keys, buckets).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     return counts.where(F.col("_rows") * slices > total).select(
-        *keys, F.ceil(F.col("_rows") * slices / total).cast("int").alias("_fill")
+        "_bucket", F.ceil(F.col("_rows") * slices / total).cast("int").alias("_fill")
     )
 
 
@@ -114,9 +121,10 @@ def enrich_left(
 
     The data decide how the join runs. The right side is measured and broadcast if it is no larger
     than ``broadcast_bytes`` (0: do not measure, do not broadcast). Otherwise both sides are
-    shuffled, after one counting pass over the left keys: keys, NULL included, that hold more than
-    one ``slices``-th of the left rows (default: four slices per shuffle partition) are cut into
-    slices and only the matching right rows are repeated.
+    shuffled, after one counting pass over the left keys: left rows are cut into ``slices`` (default:
+    two per shuffle partition) where their key, NULL included, holds more than one slice, and only
+    the right rows of such keys' hash buckets are repeated - less than half the right side in
+    the worst case, as there are four buckets and more to a slice.
     """
     spark = left.sparkSession
     keys = [on] if isinstance(on, str) else list(on)
@@ -131,20 +139,18 @@ def enrich_left(
     if small:
         return left.join(F.broadcast(right), keys, "left").select(*columns)
 
-    slices = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1024, 4 * slices)
+    found = heavy_buckets(left, keys, buckets, slices)
     # Fewer than `slices` rows, so safe to collect and broadcast at any table size.
-    found = heavy_keys(left, keys, slices)
     heavy = found.collect()
     if not heavy:
         return left.join(right, keys, "left").select(*columns)
-    heavy_df = spark.createDataFrame(heavy, found.schema).withColumnsRenamed(
-        {k: f"_heavy_{i}" for i, k in enumerate(keys)}
-    )
+    heavy_df = F.broadcast(spark.createDataFrame(heavy, found.schema))
 
     def with_fill(df: DataFrame) -> DataFrame:
-        same = [F.col(k).eqNullSafe(F.col(f"_heavy_{i}")) for i, k in enumerate(keys)]
-        matched = df.join(F.broadcast(heavy_df), reduce(lambda a, b: a & b, same), "left")
-        return matched.select(*df.columns, F.coalesce("_fill", F.lit(1)).alias("_fill"))
+        bucketed = df.withColumn("_bucket", _bucket(keys, buckets))
+        return bucketed.join(heavy_df, "_bucket", "left").fillna(1, ["_fill"])
 
     cut = with_fill(left.withColumn("_hash", _row_hash(left))).select(
         *left.columns, F.pmod("_hash", "_fill").cast("int").alias("_slice")

@@ -1,27 +1,32 @@
-"""Text to tokens, counts and topics, with Spark ML transformers."""
+"""Text to tokens, counts and topics."""
 
 from __future__ import annotations
 
 from typing import Any
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def tokenize(df: DataFrame, column: str, output: str) -> DataFrame:
-    """Lower-case words between single white space characters; punctuation stays. NULL text must
-    have been filled or dropped."""
-    return Tokenizer(inputCol=column, outputCol=output).transform(df)
+    """Lower-case words between single white space characters. Punctuation stays, two blanks in a
+    row give an empty word, and blanks at the end give none. Same words as Spark ML's ``Tokenizer``,
+    but as built-in expressions, and NULL text gives NULL."""
+    text = F.rtrim(F.col(column), F.lit(" \t\n\x0b\f\r"))
+    only_blanks = (text == "") & (F.col(column) != "")
+    words = F.when(only_blanks, F.array().cast("array<string>")).otherwise(
+        F.split(F.lower(text), r"\s")
+    )
+    return df.withColumn(output, words)
 
 
 def remove_stopwords(df: DataFrame, column: str, output: str, words: list[str] | None = None) -> DataFrame:
-    """Drop stop words (English by default), whatever their case."""
-    remover = StopWordsRemover(inputCol=column, outputCol=output)
-    if words is not None:
-        remover = remover.setStopWords(words)
-    return remover.transform(df)
+    """Drop stop words (Spark ML's English list by default), whatever their case."""
+    stop = words if words is not None else StopWordsRemover.loadDefaultStopWords("english")
+    lowered = sorted({w.lower() for w in stop})
+    return df.withColumn(output, F.filter(column, lambda word: ~F.lower(word).isin(lowered)))
 
 
 def term_counts(df: DataFrame, column: str) -> DataFrame:
@@ -35,7 +40,13 @@ def fit_term_vectors(
     df: DataFrame, column: str, output: str, vocab_size: int = 1 << 18, min_df: float = 1.0
 ) -> CountVectorizerModel:
     """Vocabulary of the ``vocab_size`` most frequent terms, as a model that turns token lists into
-    sparse count vectors. The vocabulary is held by the driver and every task, hence its limit."""
+    sparse count vectors. The vocabulary is held by the driver and every task, hence its limit.
+
+    ``min_df`` is the number of rows a term must occur in, or, under 1, their share.
+    """
+    if min_df < 1:
+        # Counting rows here is cheaper than letting the fit keep all token lists to count them.
+        min_df = max(1.0, min_df * df.count())
     return CountVectorizer(
         inputCol=column, outputCol=output, vocabSize=vocab_size, minDF=min_df
     ).fit(df)

@@ -48,6 +48,27 @@ def test_to_int(spark, ansi):
     assert values(spark, to_int("v"), [1994, 1 << 40, None], "bigint") == [1994, None, None]
 
 
+def test_to_int_forms(spark):
+    texts = ["+7", "-0", "\t8\n", ".5", "1,5", "99999999999", "9" * 30, "1 2", "0x1"]
+    assert values(spark, to_int("v"), texts, "string") == [7, 0, 8, None, None, None, None, None, None]
+    assert values(spark, to_int("v"), [1.9, -1.9, None], "double") == [1, -1, None]
+
+
+def test_conversions_are_settled_by_type_before_execution(spark):
+    df = spark.createDataFrame([(1, 2.0)], "n int, x double").select(to_int("n").alias("a"), to_double("x").alias("b"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper() and "CASE" not in plan
+
+
+def test_to_double_accepts_what_a_cast_accepts(spark):
+    texts = ["1", "+1.", ".5", "-.5e-3", "1E5", "NaN", "inf", "-Infinity", " 2 ", "1d", "0x1p3"]
+    texts += ["", ".", "-", "e5", "1,0", "1 2", "n/a", "abc", "infin", "1..2", "12abc", "$1"]
+    got = values(spark, to_double("v"), texts, "string")
+    plain = values(spark, F.col("v").try_cast("double"), texts, "string")
+    assert list(map(str, got)) == list(map(str, plain))
+    assert got[0] == 1.0 and got[11] is None
+
+
 def test_to_double(spark, ansi):
     assert values(spark, to_double("v"), ["28,341", "1.5", "", None], "string") == [None, 1.5, None, None]
     assert values(spark, to_double("v"), [3, None], "bigint") == [3.0, None]

@@ -32,6 +32,24 @@ def test_remove_stopwords(spark):
     assert remove_stopwords(df, "w", "k", ["cat"]).first().k == ["The", "ISN'T", "here", "the,"]
 
 
+AWKWARD = ["", " ", "\t\n ", " a", "a ", "a  b", "a\tb\nc\x0bd\fe\r", "É Ü", "a\u00a0b", "\n\nx\n\n", "The THE the"]
+
+
+def test_words_are_those_of_spark_ml(spark):
+    from pyspark.ml.feature import StopWordsRemover, Tokenizer
+
+    df = texts(spark, *AWKWARD)
+    ml = Tokenizer(inputCol="t", outputCol="w").transform(df)
+    ml = StopWordsRemover(inputCol="w", outputCol="k").transform(ml)
+    own = remove_stopwords(tokenize(df, "t", "w"), "w", "k")
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, ml.collect()))
+
+
+def test_null_text(spark):
+    df = remove_stopwords(tokenize(texts(spark, None), "t", "w"), "w", "k")
+    assert tuple(df.first()) == (0, None, None, None)
+
+
 def test_stop_word_list_is_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
@@ -61,7 +79,9 @@ def test_term_vectors(spark):
 
 def test_vocabulary_limits(spark):
     assert fit_term_vectors(words(spark), "w", "v", vocab_size=1).vocabulary == ["a"]
-    assert sorted(fit_term_vectors(words(spark), "w", "v", min_df=2).vocabulary) == ["a", "b"]
+    for min_df in (2, 0.5):
+        assert sorted(fit_term_vectors(words(spark), "w", "v", min_df=min_df).vocabulary) == ["a", "b"]
+    assert len(fit_term_vectors(words(spark), "w", "v", min_df=0.1).vocabulary) == 3
 
 
 def test_topic_mixture(spark):
