@@ -26,6 +26,7 @@ def get_session(app_name: str = "marquee", **conf: str) -> SparkSession:
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name if "." in name else name.replace("_", "."), value)

@@ -304,11 +304,16 @@ def _read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_offset_range",
-    f"""WITH {EVENT_LOG_SQL} SELECT *, {DECODED_SQL} FROM log
-        WHERE "partition" = 0 AND "offset" >= 100 AND "offset" < 9000""",
+    f"""WITH {EVENT_LOG_SQL}, bound AS (
+            SELECT max("offset") + 1 AS stop FROM log WHERE "partition" = 0)
+        SELECT log.*, {DECODED_SQL} FROM log, bound
+        WHERE "partition" = 0 AND "offset" >= stop // 2 AND "offset" < stop""",
 )
 def _read_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_messages(read_offset_range(event_log(spark, sf_dir), 0, 100, 9000))
+    """Later half of a partition, up to the end it has when the query starts."""
+    log = event_log(spark, sf_dir)
+    stop = read_partition(log, 0).agg(F.max("offset") + 1).first()[0]
+    return decode_messages(read_offset_range(log, 0, stop // 2, stop))
 
 
 @query("publish_json", "SELECT event_id, user_id, event_type, value, props FROM events")

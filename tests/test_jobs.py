@@ -1,0 +1,66 @@
+import json
+
+import pytest
+
+from marquee.jobs import main
+from tests.test_plans import ITEMS, SCHEMA, revenue_inputs
+from tests.test_streaming import review
+
+
+@pytest.fixture
+def catalogue(spark, tmp_path):
+    path = str(tmp_path / "catalogue")
+    spark.createDataFrame(ITEMS, SCHEMA).write.parquet(path)
+    return path
+
+
+def test_reports(spark, tmp_path, catalogue):
+    main(
+        ["reports", "--source", catalogue, "--source-format", "parquet", "--column", "rating=Stars"]
+        + ["--decades", str(tmp_path / "d"), "--tags", str(tmp_path / "t"), "--target-format", "parquet"],
+        spark,
+    )
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 2
+    assert "Avg_Stars" in spark.read.parquet(str(tmp_path / "t")).columns
+
+
+def test_reports_through_connector_options(spark, tmp_path, catalogue):
+    main(
+        ["reports", "--source-format", "parquet", "--source-option", f"path={catalogue}"]
+        + ["--column", "rating=Stars", "--decades", str(tmp_path / "d")]
+        + ["--target-format", "parquet", "--target-key", "path"],
+        spark,
+    )
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 2
+
+
+def test_revenue(spark, tmp_path):
+    items, supplement = revenue_inputs(spark)
+    items.write.parquet(str(tmp_path / "items"))
+    supplement.write.csv(str(tmp_path / "csv"), header=True)
+    main(
+        ["revenue", "--source", str(tmp_path / "items"), "--source-format", "parquet"]
+        + ["--column", "rating=Stars", "--supplement", str(tmp_path / "csv"), "--location", "Place"]
+        + ["--numeric", "Awards", "Budget", "--importances", str(tmp_path / "i"), "--target-format", "parquet"],
+        spark,
+    )
+    assert spark.read.parquet(str(tmp_path / "i")).count() == 8
+
+
+@pytest.mark.parametrize("extra, movies", [([], ["low"]), (["--gap", "2.5"], ["low", "mid"]), (["--below", "6.1"], ["low", "mid"])])
+def test_publish_then_alert(spark, tmp_path, extra, movies):
+    source = tmp_path / "reviews.json"
+    source.write_text(json.dumps([review(1, "low", 3), review(2, "mid", 6, overall=8.5), review(3, "high", 9)]))
+    topic, target = str(tmp_path / "topic"), str(tmp_path / "alerts")
+    main(["publish", "--json", str(source), "--topic", topic], spark)
+    main(
+        ["alerts", "--topic", topic, "--target", target, "--target-format", "parquet", "--once", *extra], spark
+    )
+    assert sorted(r.Movie_ID for r in spark.read.parquet(target).collect()) == movies
+
+
+def test_ingest(spark, tmp_path, capsys):
+    (tmp_path / "a.csv").write_text("id,name\n1,Ann\n")
+    target = str(tmp_path / "t")
+    main(["ingest", "--csv", str(tmp_path / "a.csv"), "--target", target, "--target-format", "parquet"], spark)
+    assert "Ann" in capsys.readouterr().out and spark.read.parquet(target).count() == 1
