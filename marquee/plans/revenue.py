@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marquee.functions import decade_of, strip_unit, to_double
 from marquee.operators.cleaning import cleaning_report, drop_missing
@@ -41,6 +42,46 @@ class RevenueModel:
     importances: DataFrame
 
 
+def _needed(c: CatalogueColumns) -> list[str]:
+    return [c.rating, c.gross, c.runtime, c.creator, c.tags, c.overview]
+
+
+def distinct_catalogue(
+    catalogue: DataFrame, columns: CatalogueColumns = CatalogueColumns()
+) -> DataFrame:
+    """Different catalogue rows without missing values, in the columns the model uses.
+
+    Rows that differ only in another column are different rows and both stay.
+    """
+    needed = _needed(columns)
+    return dedup_rows(drop_missing(catalogue, needed)).select(
+        *dict.fromkeys([columns.title, columns.year, *needed])
+    )
+
+
+def convert_catalogue(rows: DataFrame, columns: CatalogueColumns = CatalogueColumns()) -> DataFrame:
+    """Convert running time and revenue, drop what cannot be converted, add the decade."""
+    c = columns
+    converted = rows.withColumns({c.runtime: strip_unit(c.runtime), c.gross: to_double(c.gross)})
+    return drop_missing(converted, _needed(c)).withColumn("Decade", decade_of(c.year))
+
+
+def add_supplement(
+    rows: DataFrame,
+    supplement: DataFrame,
+    columns: CatalogueColumns = CatalogueColumns(),
+    supplement_columns: SupplementColumns = SupplementColumns(),
+    order_by: list[str] | None = None,
+    broadcast_bytes: int = 64 << 20,
+) -> DataFrame:
+    """Join one supplement row per title, the first by ``order_by``."""
+    s = supplement_columns
+    wanted = [s.location, *s.numeric]
+    extra = supplement.select(*dict.fromkeys([columns.title, *wanted, *(order_by or [])]))
+    joined = enrich_left(rows, extra, columns.title, order_by, broadcast_bytes=broadcast_bytes)
+    return joined.select(*rows.columns, *wanted)
+
+
 def prepare_revenue_rows(
     catalogue: DataFrame,
     supplement: DataFrame,
@@ -51,24 +92,11 @@ def prepare_revenue_rows(
 ) -> DataFrame:
     """Distinct, complete catalogue rows with the supplement joined on the title.
 
-    Rows are dropped where a needed catalogue value is missing or cannot be converted. Duplicates
-    and incomplete rows go before the join: as every title has one supplement row, the result is
-    the same and less is shuffled.
+    Duplicates and incomplete rows go before the join: as every title has one supplement row, the
+    result is the same and less is shuffled.
     """
-    c, s = columns, supplement_columns
-    needed = [c.rating, c.gross, c.runtime, c.creator, c.tags, c.overview]
-    # Rows that differ only in an unused column are different rows, so de-duplicate on all of them.
-    rows = dedup_rows(drop_missing(catalogue, needed)).select(
-        *dict.fromkeys([c.title, c.year, *needed])
-    )
-    rows = drop_missing(
-        rows.withColumns({c.runtime: strip_unit(c.runtime), c.gross: to_double(c.gross)}), needed
-    ).withColumn("Decade", decade_of(c.year))
-    extra = supplement.select(
-        *dict.fromkeys([c.title, s.location, *s.numeric, *(order_by or [])])
-    )
-    joined = enrich_left(rows, extra, c.title, order_by, broadcast_bytes=broadcast_bytes)
-    return joined.drop(*[k for k in order_by or [] if k not in (c.title, s.location, *s.numeric)])
+    rows = convert_catalogue(distinct_catalogue(catalogue, columns), columns)
+    return add_supplement(rows, supplement, columns, supplement_columns, order_by, broadcast_bytes)
 
 
 def revenue_report(catalogue: DataFrame, columns: CatalogueColumns = CatalogueColumns()) -> DataFrame:
@@ -76,7 +104,7 @@ def revenue_report(catalogue: DataFrame, columns: CatalogueColumns = CatalogueCo
     c = columns
     return cleaning_report(
         dedup_rows(catalogue),
-        [c.rating, c.gross, c.runtime, c.creator, c.tags, c.overview],
+        _needed(c),
         {c.runtime: strip_unit(c.runtime), c.gross: to_double(c.gross)},
     )
 
@@ -103,29 +131,33 @@ def revenue_model(
 
     Rows without supplement values keep their topics but are skipped by the assembler, so the
     forest sees matched titles only. ``text_fit_on="train"`` keeps held-out texts out of the
-    vocabulary and the topics. Three stages are written to the scratch folder - joined rows, count
-    vectors, topic shares - since each is read by several fits.
+    vocabulary and the topics.
+
+    What several passes read is written to the scratch folder: distinct rows, count vectors, topic
+    shares, joined rows. Topics come before the join, so no text is shuffled for it.
     """
     if text_fit_on not in ("all", "train"):
         raise ValueError("text_fit_on must be 'all' or 'train'")
     c, s = columns, supplement_columns
-    rows = materialise(
-        prepare_revenue_rows(catalogue, supplement, c, s, order_by, broadcast_bytes), "rows"
-    )
-    identity = rows.columns
+    distinct = materialise(distinct_catalogue(catalogue, c), "distinct")
+    conversions = {c.runtime: strip_unit(c.runtime), c.gross: to_double(c.gross)}
+    rows = convert_catalogue(distinct, c).withColumn("_row", F.xxhash64(*distinct.columns))
+
+    def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return split_train_test(df, train, seed, ["_row"])
 
     def fit_rows(df: DataFrame) -> DataFrame:
-        return df if text_fit_on == "all" else split_train_test(df, train, seed, identity)[0]
+        return df if text_fit_on == "all" else train_and_test(df)[0]
 
-    words = remove_stopwords(tokenize(rows, c.overview, "Words"), "Words", "Filtered_Words")
-    vocabulary = fit_term_vectors(
-        fit_rows(words), "Filtered_Words", "Overview_Features", vocab_size, min_df
-    )
-    vectors = materialise(vocabulary.transform(words).drop("Words", "Filtered_Words"), "vectors")
-    topic_model = fit_topics(fit_rows(vectors), "Overview_Features", topics, iterations, seed)
-    mixed = materialise(topic_mixture(vectors, topic_model).drop("Overview_Features"), "topics")
+    words = remove_stopwords(tokenize(rows, c.overview, "_words"), "_words", "_words")
+    words = words.drop(c.overview)
+    vocabulary = fit_term_vectors(fit_rows(words), "_words", "_counts", vocab_size, min_df)
+    vectors = materialise(vocabulary.transform(words).drop("_words"), "vectors")
+    topic_model = fit_topics(fit_rows(vectors), "_counts", topics, iterations, seed)
+    mixed = materialise(topic_mixture(vectors, topic_model).drop("_counts"), "topics")
+    joined = materialise(add_supplement(mixed, supplement, c, s, order_by, broadcast_bytes), "joined")
 
-    train_rows, test_rows = split_train_test(mixed, train, seed, identity)
+    train_rows, test_rows = train_and_test(joined)
     regressor = fit_regressor(
         train_rows,
         c.gross,
@@ -140,12 +172,12 @@ def revenue_model(
         depth=depth,
         seed=seed,
     )
-    predictions = predict(regressor, test_rows)
+    predictions = predict(regressor, test_rows).drop("_row")
     return RevenueModel(
         vocabulary,
         topic_model,
         regressor,
-        revenue_report(catalogue, c),
+        cleaning_report(distinct, _needed(c), conversions).drop("rows_read"),
         predictions,
         r2_score(predictions, c.gross),
         feature_importance(regressor, train_rows),
