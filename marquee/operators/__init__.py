@@ -32,6 +32,7 @@ from marquee.operators.text import (
     fit_topics,
     remove_stopwords,
     term_counts,
+    term_vectors,
     tokenize,
     topic_mixture,
     vector_entries,
@@ -71,6 +72,7 @@ __all__ = [
     "slot_widths",
     "split_train_test",
     "term_counts",
+    "term_vectors",
     "tokenize",
     "top_n",
     "topic_mixture",

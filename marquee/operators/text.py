@@ -52,6 +52,12 @@ def fit_term_vectors(
     ).fit(df)
 
 
+def term_vectors(df: DataFrame, model: CountVectorizerModel) -> DataFrame:
+    """Add count vectors. The model describes every slot in the column's metadata, which for a large
+    vocabulary makes each look at the schema slow and says nothing, so the description is removed."""
+    return model.transform(df).withMetadata(model.getOutputCol(), {})
+
+
 def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     """Non-zero entries of a sparse vector column as rows: ``keep`` columns, ``slot``, ``entry``."""
     inner = F.unwrap_udt(F.col(column))

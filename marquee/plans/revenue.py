@@ -24,6 +24,7 @@ from marquee.operators.text import (
     fit_term_vectors,
     fit_topics,
     remove_stopwords,
+    term_vectors,
     tokenize,
     topic_mixture,
 )
@@ -152,7 +153,7 @@ def revenue_model(
     words = remove_stopwords(tokenize(rows, c.overview, "_words"), "_words", "_words")
     words = words.drop(c.overview)
     vocabulary = fit_term_vectors(fit_rows(words), "_words", "_counts", vocab_size, min_df)
-    vectors = materialise(vocabulary.transform(words).drop("_words"), "vectors")
+    vectors = materialise(term_vectors(words, vocabulary).drop("_words"), "vectors")
     topic_model = fit_topics(fit_rows(vectors), "_counts", topics, iterations, seed)
     mixed = materialise(topic_mixture(vectors, topic_model).drop("_counts"), "topics")
     joined = materialise(add_supplement(mixed, supplement, c, s, order_by, broadcast_bytes), "joined")

@@ -47,6 +47,7 @@ from marquee.operators import (
     remove_stopwords,
     split_train_test,
     term_counts,
+    term_vectors,
     tokenize,
     top_n,
     topic_mixture,
@@ -678,7 +679,8 @@ COMMON_SQL = f"""{FILTERED_SQL}, entries AS (
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = filtered_words_of(spark, sf_dir)
-    return fit_term_vectors(words, "words", "counts", min_df=COMMON_TERMS).transform(words).drop("words")
+    model = fit_term_vectors(words, "words", "counts", min_df=COMMON_TERMS)
+    return term_vectors(words, model).drop("words")
 
 
 @query(

@@ -9,6 +9,7 @@ from marquee.operators import (
     fit_topics,
     remove_stopwords,
     term_counts,
+    term_vectors,
     tokenize,
     topic_mixture,
     vector_entries,
@@ -68,11 +69,12 @@ def test_term_counts(spark):
     assert got == Counter(w for row in WORDS for w in row)
 
 
-def test_term_vectors(spark):
+def test_fit_and_apply_term_vectors(spark):
     df = words(spark)
     model = fit_term_vectors(df, "w", "v")
     assert model.vocabulary[:2] == ["a", "b"]
-    entries = vector_entries(model.transform(df), "v", ["i"]).collect()
+    assert term_vectors(df, model).schema["v"].metadata == {}
+    entries = vector_entries(term_vectors(df, model), "v", ["i"]).collect()
     got = {(r.i, model.vocabulary[r.slot]): r.entry for r in entries}
     assert got == {(0, "a"): 2.0, (0, "b"): 1.0, (1, "b"): 1.0, (1, "c"): 1.0, (3, "a"): 1.0}
 
