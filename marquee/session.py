@@ -48,12 +48,12 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     return f"{shared.rstrip('/')}/marquee-{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, purpose: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a recomputation, and later
     passes stay columnar and pruned.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
