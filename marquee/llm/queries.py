@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import cuckoo, lines, warc
+from marquee.llm import cuckoo, lines, packing, records, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     return function
 
 
+@_query
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "records")
+    records.write_records(table(spark, sf_dir, "documents"), path, end_id=0)
+    found = records.with_global_starts(records.read_records(spark, path), records.read_index(spark, path))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "intact")
+
+
 @_query
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archive")
@@ -41,6 +49,12 @@ SELECT page_id, strlen(body) AS payload_bytes, concat({_BITS}) AS payload_digest
 FROM q"""
 
 
+@_query
+def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @_query
 def op7_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
