@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import cuckoo, lines, packing, records, warc
+from marquee.llm import cuckoo, lines, packing, quality, records, secrets, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,24 @@ def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@_query
+def op6_likelihood_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.verdicts(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = secrets.span_string(secrets.base_spans(F.col("spans")))
+    return found.select(
+        "doc_id",
+        *(secrets.kind_count(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.span_string(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def op7_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
