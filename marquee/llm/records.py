@@ -214,7 +214,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                         raise ValueError(f"{file} ends within a record")
 
     shards = read_index(spark, path).groupBy("shard").agg(F.min("file").alias("file"))
-    return shards.mapInArrow(read, RECORDS)
+    last = shards.agg(F.max("shard")).first()[0]
+    tasks = 1 if last is None else last + 1
+    return shards.repartitionById(tasks, F.col("shard")).mapInArrow(read, RECORDS)
 
 
 def shuffled_records(spark: SparkSession, path: str, seed: int) -> DataFrame:

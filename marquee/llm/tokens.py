@@ -15,12 +15,14 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A worker keeps between one and two times this many characters of words.
-HELD_CHARS = 3_000_000
+HELD_CHARS = 5_000_000
 JOINED = 200
 
 _TWO_WHITE = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 _WHITE = re.compile(r"\s")
+#: So many characters are looked up at once.
+GROUP_CHARS = 1_000_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -38,60 +40,56 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-class _Held:
-    """Encoded words, the older half of which is let go when there are too many."""
-
-    def __init__(self, encode):
-        self.encode, self.young, self.old, self.chars = encode, {}, {}, 0
-
-    def learn(self, wanted: set[str]) -> None:
-        missing = []
-        for word in wanted - self.young.keys():
-            if (ids := self.old.get(word)) is None:
-                missing.append(word)
-            else:
-                self.young[word] = ids
-        self.young.update(self.encode(missing))
-        self.chars += sum(map(len, missing))
-
-    def age(self) -> None:
-        if self.chars > HELD_CHARS:
-            self.old, self.young, self.chars = self.young, {}, 0
-
-
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, equal to the library's for the whole text."""
+    """Ids of texts as little-endian unsigned 32-bit integers, equal to the library's for the whole text.
+
+    ``words`` has the ids of words by a key: ``w`` for a word after a space, ``"\\n" + w`` for one after a line
+    end. Both include what stands before the word. A key that starts with a space stands for what follows it. ``old`` has those of the time before the last clearing.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.end_of_line = self._plain(["\n"])[0]
-        self.after_space = _Held(lambda missing: self._words(missing, " "))
-        self.bare = _Held(lambda missing: self._words(missing, ""))
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.chars = 0
+        self.line_end = self._plain(["\n"])[0]
+        self.mark = int.from_bytes(self.line_end, "little") if len(self.line_end) == 4 else -1
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _words(self, missing: list[str], before: str) -> dict[str, bytes]:
+    def _learn(self, keys: set[str]) -> dict[str, bytes]:
+        """The ids of all keys, remembered from now on."""
+        new = {key: self.old[key] for key in keys if key in self.old}
+        missing = [key for key in keys if key not in new]
+        self.chars += sum(map(len, missing))
+        odd = {key for key in missing if not key or _WHITE.search(key, key[0] == "\n") or key == "\n"}
+        first = [key for key in missing if key[:1] == "\n" and key not in odd]
+        spaced = [key for key in missing if key[:1] != "\n" and key not in odd]
+        new |= self._joined(first, [key[1:] for key in first], self.line_end)
+        new |= self._joined(spaced, [" " + key for key in spaced], b"")
+        rest = [key for key in missing if key not in new]
+        whole = [key if key[:1] == "\n" else key[1:] if key[:1] == " " else " " + key for key in rest]
+        new.update(zip(rest, self._plain(whole)))
+        self.words |= new
+        return new
+
+    def _joined(self, keys: list[str], texts: list[str], before: bytes) -> dict[str, bytes]:
         """Many short words in one call, with line ends between them, which are tokens of their own."""
-        simple = [w for w in missing if w and not _WHITE.search(w)]
         found: dict[str, bytes] = {}
-        groups = [simple[i : i + JOINED] for i in range(0, len(simple), JOINED)]
-        mark = int.from_bytes(self.end_of_line, "little") if len(self.end_of_line) == 4 else -1
-        joined = self.library.encode_batch_fast(
-            ["\n".join(before + w for w in group) for group in groups], add_special_tokens=False
-        )
-        for group, encoding in zip(groups, joined):
+        joined = ["\n".join(texts[i : i + JOINED]) for i in range(0, len(texts), JOINED)]
+        for i, encoding in enumerate(self.library.encode_batch_fast(joined, add_special_tokens=False)):
+            group = keys[i * JOINED : (i + 1) * JOINED]
             ids = np.array(encoding.ids, "<u4")
-            data, ends = ids.tobytes(), (np.flatnonzero(ids == mark) * 4).tolist()
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
             if len(ends) == len(group) - 1:
-                starts = [0, *(e + 4 for e in ends)]
-                found.update(zip(group, (data[a:b] for a, b in zip(starts, [*ends, len(data)]))))
-        rest = [w for w in missing if w not in found]
-        found.update(zip(rest, self._plain([before + w for w in rest])))
+                starts = [0, *[end + 4 for end in ends]]
+                ends.append(len(data))
+                found.update(zip(group, [before + data[a:b] for a, b in zip(starts, ends)]))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -101,36 +99,38 @@ class WordEncoder:
         for text in texts:
             group.append(text)
             chars += len(text)
-            if chars > 1_000_000:
+            if chars > GROUP_CHARS:
                 out += self._group(group)
                 group, chars = [], 0
         return out + self._group(group)
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        odd = {i for i, text in enumerate(texts) if _TWO_WHITE.search(text)}
-        lines = [[] if i in odd else [line.split(" ") for line in text.split("\n")] for i, text in enumerate(texts)]
-        pieces = {i: _CUT.split(texts[i]) for i in odd}
-        bare, spaced = set(), set()
-        for of_text in lines:
-            for first, *rest in of_text:
-                bare.add(first)
-                spaced.update(rest)
-        bare.update(*pieces.values())
-        self.bare.learn(bare)
-        self.after_space.learn(spaced)
-        bare_ids, spaced_ids = self.bare.young, self.after_space.young.__getitem__
-        out = []
-        for i, of_text in enumerate(lines):
-            if i in odd:
-                out.append(b"".join(map(bare_ids.__getitem__, pieces[i])))
-                continue
-            parts: list[bytes] = []
-            for first, *rest in of_text:
-                if parts:
-                    parts.append(self.end_of_line)
-                parts.append(bare_ids[first])
-                parts.extend(map(spaced_ids, rest))
-            out.append(b"".join(parts))
-        self.bare.age()
-        self.after_space.age()
-        return out
+        if self.chars > HELD_CHARS:
+            self.old, self.words, self.chars = self.words, {}, 0
+        keys = [_keys(text) for text in texts]
+        get = self.words.get
+        found = [list(map(get, of_text)) for of_text in keys]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        if lacking:
+            new = self._learn({key for i in lacking for key, ids in zip(keys[i], found[i]) if ids is None})
+            for i in lacking:
+                found[i] = [new[key] if ids is None else ids for key, ids in zip(keys[i], found[i])]
+        # The line end before the first word is not in the text.
+        skip = len(self.line_end)
+        return [b"".join(ids)[skip:] for ids in found]
+
+
+def _keys(text: str) -> list[str]:
+    """Keys of the words of a text; joined, they spell a line end and the text."""
+    if not _TWO_WHITE.search(text) and not text[:1].isspace():
+        return ("\n" + text.replace("\n", " \n")).split(" ")
+    if text[:1].isspace():
+        return ["\n", *map(_key, _CUT.split(text))]
+    return list(map(_key, _CUT.split("\n" + text)))
+
+
+def _key(piece: str) -> str:
+    """A piece with other white space than one space or line end in front gets a key that starts with a space."""
+    if piece[:1] in (" ", "\n") and not piece[1:2].isspace():
+        return piece[1:] if piece[0] == " " else piece
+    return " " + piece
