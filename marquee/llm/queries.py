@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import cuckoo, lines, packing, quality, records, secrets, simhash, warc
+from marquee.llm import cuckoo, lines, nbest, packing, quality, records, secrets, simhash, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ g AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g"""
 
 
+@_query
+def op8_nbest_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nbest.nbest_segments(table(spark, sf_dir, "documents"), n=4)
+    return found.select("doc_id", "rank", "score", "n_pieces", F.crc32("ids").alias("ids_crc32"), "round_trip")
+
+
 @_query
 def op9_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, sf_dir, "documents"))
