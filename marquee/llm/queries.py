@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import cuckoo, lines, nbest, packing, quality, records, secrets, simhash, warc
+from marquee.llm import cuckoo, lines, nbest, packing, quality, records, secrets, simhash, surrogates, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@_query
+def op5_keyed_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"), secret="a key that only its owner knows")
+
+
 @_query
 def op6_likelihood_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
