@@ -148,10 +148,10 @@ class Lattice:
 
     def learn(self, words: set[str]) -> None:
         """Remember of each word the ids of its best path, its score, and how much less the second has."""
-        for word in words & self.old.keys():
-            self.words[word] = self.old[word]
+        known = {word: self.old[word] for word in words if word in self.old}
+        self.words |= known
         ids = self.ids
-        for word, best, second, source in self.forward(sorted(words - self.old.keys())):
+        for word, best, second, source in self.forward(sorted(word for word in words if word not in known)):
             at, parts = len(word), []
             while at:
                 piece = word[source[at] : at]
