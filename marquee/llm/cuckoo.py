@@ -275,3 +275,27 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keys.join(live_keys(index), "key").select(
         "doc_id", "key", "keep_id", "live", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
     )
+
+
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, but one row of each group of equal texts.
+
+    The row with the largest id stays (nulls are the smallest); of rows that repeat it the first by an internal
+    number. Null texts equal empty ones.
+    """
+    names = "_exact_key", "_exact_row"
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([text_key(text) for text in byte_rows(batch.column(text_col))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], schema=batch.schema.append(pa.field(names[0], pa.binary())))
+
+    schema = docs.select("*", F.lit(None).cast("binary").alias(names[0])).schema
+    rows = materialise(
+        docs.mapInArrow(tag, schema).withColumn(names[1], F.monotonically_increasing_id()), "tagged", compression="zstd"
+    )
+    keys = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(names[0]).alias("key"), F.col(names[1]).alias("row"))
+    index = materialise(insert(empty_index(docs.sparkSession), keys.select("doc_id", "key"), bucket_count(keys.count())), "cuckoo")
+    best = keys.join(live_keys(index), "key").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    stay = best.groupBy("key").agg(F.min("row").alias("stays"))
+    return rows.join(stay.select("stays"), F.col(names[1]) == F.col("stays"), "left_semi").drop(*names)

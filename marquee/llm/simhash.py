@@ -95,26 +95,36 @@ def from_column(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(values), ">u8").astype(np.uint64).reshape(len(values), -1)
 
 
-def text_fingerprints(texts: list[bytes], size: int, blocks: int) -> list[bytes]:
-    """Fingerprints of a batch, some texts at a time so that memory stays small."""
+def text_fingerprints(texts: list[bytes], size: int, blocks: int, with_sets: bool = False) -> list[bytes]:
+    """Fingerprints of a batch, some texts at a time so that memory stays small.
+
+    ``with_sets`` adds eight bytes: a hash of the set of different shingles.
+    """
     out: list[bytes] = []
     held: list[np.ndarray] = []
     total = 0
+
+    def made() -> list[bytes]:
+        fps = to_bytes(fingerprints(held, blocks))
+        return [fp + xxhash.xxh64_digest(np.unique(h).tobytes()) for fp, h in zip(fps, held)] if with_sets else fps
+
     for text in texts:
         held.append(shingle_hashes(text, size))
         total += len(held[-1])
         if total > 200_000 or len(held) >= 500:
-            out += to_bytes(fingerprints(held, blocks))
+            out += made()
             held, total = [], 0
-    return out + (to_bytes(fingerprints(held, blocks)) if held else [])
+    return out + (made() if held else [])
 
 
-def with_fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fp", size: int = 4, blocks: int = 1) -> DataFrame:
+def with_fingerprints(
+    docs: DataFrame, text_col: str = "text", name: str = "fp", size: int = 4, blocks: int = 1, with_sets: bool = False
+) -> DataFrame:
     """``docs`` with a binary column ``name``; a null text has the fingerprint zero."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = text_fingerprints(byte_rows(batch.column(text_col)), size, blocks)
+            fps = text_fingerprints(byte_rows(batch.column(text_col)), size, blocks, with_sets)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(fps, pa.binary())], schema=batch.schema.append(pa.field(name, pa.binary()))
             )
@@ -494,19 +504,19 @@ def near_duplicates(
 WIDE_BLOCKS, WIDE_PARTS = 4, 16
 #: Differing bits of 256 up to which a pair is looked at word by word; pairs of similarity 0.8 differ in 39 on average.
 WIDE_ACCEPT = 52
-SETS = "set_fp binary, shingles array<long>"
+SETS = "set_node binary, shingles array<long>"
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """``set_fp`` and the sorted different shingle hashes of ``fp`` and ``text``."""
-    schema = pa.schema([("set_fp", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+    """``set_node`` and the sorted different shingle hashes of ``node`` and ``text``."""
+    schema = pa.schema([("set_node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in byte_rows(batch.column("text"))]
-            yield pa.record_batch([batch.column("fp"), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
+            yield pa.record_batch([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
 
-    return texts.select("fp", "text").mapInArrow(rows, SETS)
+    return texts.select("node", "text").mapInArrow(rows, SETS)
 
 
 def one_of_each_group(
@@ -516,26 +526,32 @@ def one_of_each_group(
 
     Fingerprints of 256 bits in 16 partitions find the candidates: every pair within 15 bits, and most of those
     further apart. A candidate is a link if the sets of ``size``-word shingles have a Jaccard similarity of at
-    least ``similarity``; rows with one fingerprint are linked. Of a component the row with the smallest id
-    stays (null ids last; of several the first by an internal number). An empty table gives an empty result.
+    least ``similarity``; rows with one set are one node. Of a component the row with the smallest id stays
+    (null ids last; of several the first by an internal number). An empty table gives an empty result.
     """
-    tag = "_near_row", "_near_fp"
-    rows = with_fingerprints(docs, text_col, tag[1], size, WIDE_BLOCKS).withColumn(tag[0], F.monotonically_increasing_id())
+    tag, key = "_near_row", "_near_node"
+    rows = with_fingerprints(docs, text_col, key, size, WIDE_BLOCKS, True).withColumn(tag, F.monotonically_increasing_id())
     rows = materialise(rows, "tagged", compression="zstd")
-    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(tag[0]).alias("row"))
-    nodes = rows.groupBy(F.col(tag[1]).alias("fp")).agg(F.min(first).alias("first"))
-    nodes = materialise(nodes, "nodes")
-    pairs = fingerprint_links(nodes, 64 * WIDE_BLOCKS, WIDE_PARTS - 1, WIDE_ACCEPT, WIDE_PARTS)
-    pairs = materialise(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(tag).alias("row"))
+    nodes = rows.groupBy(F.col(key).alias("node")).agg(F.min(first).alias("first"))
+    nodes = materialise(nodes.withColumn("fp", F.substring("node", 1, 8 * WIDE_BLOCKS)), "nodes")
+    # Links of fingerprints are links of the first node of each; the other nodes are candidates of that one.
+    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    found = materialise(fingerprint_links(heads, 64 * WIDE_BLOCKS, WIDE_PARTS - 1, WIDE_ACCEPT, WIDE_PARTS).distinct(), "found")
+    of_u, of_v = (heads.select(F.col("fp").alias(f"fp_{end}"), F.col("head").alias(f"head_{end}")) for end in "uv")
+    far = found.join(of_u, F.col("u") == F.col("fp_u")).join(of_v, F.col("v") == F.col("fp_v"))
+    same = nodes.select("node", "fp").join(heads, "fp").where(F.col("node") != F.col("head"))
+    pairs = far.select(F.least("head_u", "head_v").alias("u"), F.greatest("head_u", "head_v").alias("v")).distinct()
+    pairs = materialise(pairs.union(same.select(F.col("head").alias("u"), F.col("node").alias("v"))), "pairs")
     ends = pairs.select(F.col("u").alias("end")).union(pairs.select("v")).distinct()
-    at = nodes.join(ends, F.col("fp") == F.col("end"), "left_semi").select("fp", F.col("first.row").alias("at"))
-    texts = rows.join(at, F.col(tag[0]) == F.col("at")).select("fp", F.col(text_col).cast("string").alias("text"))
+    at = nodes.join(ends, F.col("node") == F.col("end"), "left_semi").select("node", F.col("first.row").alias("at"))
+    texts = rows.join(at, F.col(tag) == F.col("at")).select("node", F.col(text_col).cast("string").alias("text"))
     sets = materialise(_shingle_sets(texts, size), "sets")
-    other = sets.select(F.col("set_fp").alias("other_fp"), F.col("shingles").alias("others"))
-    both = pairs.join(sets, F.col("u") == F.col("set_fp")).join(other, F.col("v") == F.col("other_fp"))
+    other = sets.select(F.col("set_node").alias("other_node"), F.col("shingles").alias("others"))
+    both = pairs.join(sets, F.col("u") == F.col("set_node")).join(other, F.col("v") == F.col("other_node"))
     shared = F.size(F.array_intersect("shingles", "others"))
     links = both.where(shared >= similarity * (F.size("shingles") + F.size("others") - shared)).select("u", "v")
-    found = components(links)
-    rooted = nodes.join(found, F.col("fp") == F.col("node"), "left").select("first", F.coalesce("root", "fp").alias("root"))
+    roots = components(links).withColumnRenamed("node", "of_node")
+    rooted = nodes.join(roots, F.col("node") == F.col("of_node"), "left").select("first", F.coalesce("root", "node").alias("root"))
     stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_near_stays"))
-    return rows.join(stay, F.col(tag[0]) == F.col("_near_stays"), "left_semi").drop(*tag)
+    return rows.join(stay, F.col(tag) == F.col("_near_stays"), "left_semi").drop(tag, key)
