@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The six ASCII white space characters that separate words and end lines.
 WHITE = " \t\n\x0b\x0c\r"
 
+#: What the operators of this worker process remember from task to task, and how to let it go.
+_HELD: dict[str, Callable[[], None]] = {}
+
 __all__ = ["UPPER", "WHITE", "ascii_lower", "byte_rows", "id_and_text", "materialise", "scratch_dir", "table", "words"]
 
 
@@ -43,6 +46,13 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+def hold(name: str, release: Callable[[], None]) -> None:
+    """State that a task of ``name`` begins and remembers things: a worker keeps those of one operator only."""
+    for other in [key for key in _HELD if key != name]:
+        _HELD.pop(other)()
+    _HELD[name] = release
+
+
 def schema_of(spec: str) -> pa.Schema:
     """An Arrow schema from ``name type`` pairs as written in a Spark DDL string."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}

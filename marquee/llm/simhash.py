@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import byte_rows, id_and_text, materialise, schema_of, words
+from marquee.llm.common import byte_rows, hold, id_and_text, materialise, schema_of, words
 from marquee.llm.components import components
 
 SEED = 42
@@ -123,6 +123,7 @@ def with_fingerprints(
     """``docs`` with a binary column ``name``; a null text has the fingerprint zero."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("fingerprints", int)  # nothing of its own, but others must let go
         for batch in batches:
             fps = text_fingerprints(byte_rows(batch.column(text_col)), size, blocks, with_sets)
             yield pa.RecordBatch.from_arrays(
@@ -457,9 +458,10 @@ def fingerprint_links(nodes: DataFrame, bits: int, radius: int, accept: int | No
     most = radius if accept is None else accept
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("fingerprints", int)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                column = batch.column("fp").slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                column = batch.column("fp").slice(at, 500)
                 keys, owners, roles = probe_rows(from_column(column), plan)
                 yield pa.record_batch([keys, column.take(pa.array(owners)), roles.astype(np.int32)], schema=schema_of(PROBES))
 
@@ -477,7 +479,12 @@ def fingerprint_links(nodes: DataFrame, bits: int, radius: int, accept: int | No
     )
     order = F.when(F.col("role") == PROBER, 1).otherwise(0)
     dealt = placed.repartition("key", "chunk").sortWithinPartitions("key", "chunk", order)
-    return dealt.mapInArrow(lambda batches: verify(batches, most), LINKS)
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("fingerprints", int)
+        yield from verify(batches, most)
+
+    return dealt.mapInArrow(links, LINKS)
 
 
 def near_duplicates(

@@ -12,10 +12,12 @@ import re
 
 import numpy as np
 
+from marquee.llm.common import hold
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A worker keeps between one and two times this many characters of words.
-HELD_CHARS = 5_000_000
+HELD_CHARS = 4_000_000
 JOINED = 200
 
 _TWO_WHITE = re.compile(r"\s\s")
@@ -35,6 +37,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def encoder(path: str) -> WordEncoder:
     """The encoder of this worker process for a vocabulary file."""
+    hold("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
