@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from marquee.session import get_session
@@ -33,7 +34,11 @@ HEADLINE = [
     "tokenize",
     "term_counts",
     "term_vectors",
+    "topic_mixture",
     "index_category",
+    "one_hot",
+    "assemble_features",
+    "predict",
     "feature_importance",
     "revenue_rows",
     "low_rated_stream_absolute",
@@ -52,6 +57,7 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="marquee-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

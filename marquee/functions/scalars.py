@@ -14,7 +14,7 @@ def _col(column: str | Column) -> Column:
 # A failing cast costs an exception inside Spark, some fifty times the price of a good one, so text
 # that cannot be a number is told apart by its form first. Blanks are what a cast trims.
 _BLANK = r"[\x00-\x20]*"
-_WHOLE_NUMBER = rf"^{_BLANK}[+-]?\d{{1,18}}(?:\.\d*)?{_BLANK}$"
+_WHOLE_NUMBER = rf"^{_BLANK}[+-]?0*\d{{1,18}}(?:\.\d*)?{_BLANK}$"
 _REAL_NUMBER = rf"(?i)^{_BLANK}[+-]?(?:\.?\d[\da-z+\-.]*|nan|inf|infinity){_BLANK}$"
 
 

@@ -104,7 +104,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    objects = read_json_objects(spark, args.json, array=not args.lines)
+    objects = read_json_objects(spark, args.json, array=args.array)
     if args.servers:
         publish_json(
             objects, None, "kafka", **{"kafka.bootstrap.servers": args.servers, "topic": args.topic}
@@ -169,7 +169,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job(publish, "send the objects of JSON files to a topic or a text folder")
     sub.add_argument("--json", nargs="+", required=True)
-    sub.add_argument("--lines", action="store_true", help="one object per line, not one array per file")
+    sub.add_argument("--array", action="store_true", help="one array per file, not one object per line")
     sub.add_argument("--servers")
     sub.add_argument("--topic", required=True)
     return root

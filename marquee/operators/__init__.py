@@ -6,9 +6,11 @@ from marquee.operators.features import (
     category_ranks,
     category_stages,
     check_category_bound,
+    hashed_categories,
     index_category,
     one_hot,
 )
+from marquee.operators.ranks import ranks
 from marquee.operators.regression import (
     feature_importance,
     fit_regressor,
@@ -28,8 +30,8 @@ from marquee.operators.reshape import (
 )
 from marquee.operators.stats import agg_distinct, agg_first, agg_mean, agg_stddev, daily_average
 from marquee.operators.text import (
-    fit_term_vectors,
     fit_topics,
+    fit_vocabulary,
     remove_stopwords,
     term_counts,
     term_vectors,
@@ -58,8 +60,9 @@ __all__ = [
     "feature_importance",
     "fill_missing",
     "fit_regressor",
-    "fit_term_vectors",
     "fit_topics",
+    "fit_vocabulary",
+    "hashed_categories",
     "heavy_buckets",
     "index_category",
     "low_rated_absolute",
@@ -68,6 +71,7 @@ __all__ = [
     "one_hot",
     "predict",
     "r2_score",
+    "ranks",
     "remove_stopwords",
     "slot_widths",
     "split_train_test",

@@ -4,41 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.reshape import enrich_left
-from marquee.session import materialise
+from marquee.operators.ranks import ranks
 
 
 def category_ranks(df: DataFrame, column: str, index: str) -> DataFrame:
     """Every value of ``column`` with its rank: most frequent first, ties in text order, from 0.
 
-    The ranking is a distributed sort. Each task numbers its own range of values; the ranges' first
-    ranks come from a running sum with one row per task.
+    Runs a job: the sorted values are saved.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    # The id is (task << 33) + position in the task's sorted range.
-    ranges = materialise(
-        counts.orderBy(F.desc("_n"), F.asc(column)).select(
-            column, F.monotonically_increasing_id().alias("_id")
-        ),
-        "ranks",
-    ).select(
-        column,
-        F.shiftright("_id", 33).alias("_range"),
-        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_position"),
-    )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranges.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    )
-    return ranges.join(F.broadcast(starts), "_range").select(
-        column, (F.col("_start") + F.col("_position")).cast("double").alias(index)
-    )
+    ranked = ranks(counts, index, F.desc("_n"), F.asc(column))
+    return ranked.select(column, F.col(index).cast("double").alias(index))
 
 
 def index_category(
@@ -47,20 +28,22 @@ def index_category(
     """Replace a category by its frequency rank, for any number of categories.
 
     NULL, and values that ``fit_on`` (default ``df``) does not have, get one extra index after all
-    others. Gives what the ``StringIndexer`` of :func:`category_stages` gives, without holding the
+    others. Runs jobs while the frame is built, so a streaming frame is refused. Gives what the ``StringIndexer`` of :func:`category_stages` gives, without holding the
     categories in the driver.
     """
-    ranks = category_ranks(df if fit_on is None else fit_on, column, output)
-    extra = ranks.agg(F.count(F.lit(1)).cast("double").alias("_n")).scalar()
-    ranked = enrich_left(df, ranks, column, unique=True)
+    found = category_ranks(df if fit_on is None else fit_on, column, output)
+    extra = found.agg(F.count(F.lit(1)).cast("double").alias("_n")).scalar()
+    ranked = enrich_left(df, found, column, unique=True)
     return ranked.withColumn(output, F.coalesce(F.col(output), extra))
 
 
 def check_category_bound(df: DataFrame, columns: list[str], most: int) -> None:
     """Refuse columns with more than ``most`` categories: an encoder's labels are held by the
-    driver and every task. One pass over all columns."""
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    over = {c: n for c, n in found.items() if n > most}
+    driver and every task. One pass over all columns; a column whose estimate lies within a tenth of
+    the limit or above is counted exactly."""
+    found = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first().asDict()
+    near = [c for c, n in found.items() if n > most * 0.9]
+    over = {c: n for c in near if (n := df.select(c).where(F.col(c).isNotNull()).distinct().count()) > most}
     if over:
         raise ValueError(f"too many categories to encode (limit {most}): {over}")
 
@@ -78,8 +61,22 @@ def category_stages(columns: dict[str, str]) -> list:
     ]
 
 
+def hashed_categories(columns: dict[str, str], slots: int) -> list:
+    """Pipeline stages that encode ``{category column: vector column}`` in ``slots`` places each.
+
+    A value's place follows from its hash, so nothing is fitted and any number of categories takes the
+    same width; values that meet in a place share it. NULL is the zero vector. No row is dropped.
+    """
+    return [
+        FeatureHasher(inputCols=[c], outputCol=v, numFeatures=slots, categoricalCols=[c]) for c, v in columns.items()
+    ]
+
+
 def one_hot(df: DataFrame, columns: dict[str, str], max_categories: int = 1_000_000) -> DataFrame:
-    """Index and encode categories fitted on ``df`` itself."""
+    """Index and encode categories fitted on ``df`` itself. Runs jobs while the frame is built.
+
+    A column with more than ``max_categories`` is refused; see :func:`hashed_categories` for any number.
+    """
     check_category_bound(df, list(columns), max_categories)
     for stage in category_stages(columns):
         df = stage.fit(df).transform(df)

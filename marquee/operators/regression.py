@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.operators.features import assembler, category_stages, check_category_bound
+from marquee.operators.features import assembler, category_stages, check_category_bound, hashed_categories
 
 _SPLIT_STEPS = 1_000_000
 
@@ -21,14 +21,16 @@ def split_train_test(
 ) -> tuple[DataFrame, DataFrame]:
     """Two disjoint parts that together are ``df``.
 
-    With ``by`` a row's part follows from a hash of these columns, so it does not change when a task
-    is rerun or the data are partitioned differently; give columns that identify the row. Without
+    With ``by`` a row's part follows from the MD5 of ``seed`` and these columns as text, joined by
+    ``|`` (NULL is empty), so it does not change when a task is rerun or the data are partitioned
+    differently; give columns that identify the row. Without
     it Spark's seeded random split is used, which repeats only for the same partitioning.
     """
     if by is None:
         first, second = df.randomSplit([train, 1 - train], seed=seed)
         return first, second
-    place = F.pmod(F.xxhash64(F.lit(seed), *by), F.lit(_SPLIT_STEPS))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by])
+    place = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(_SPLIT_STEPS))
     in_train = place < round(train * _SPLIT_STEPS)
     return df.where(in_train), df.where(~in_train)
 
@@ -43,17 +45,23 @@ def fit_regressor(
     depth: int = 10,
     seed: int = 42,
     max_categories: int = 1_000_000,
+    category_slots: int | None = None,
     **params: Any,
 ) -> PipelineModel:
     """Fit category encoding, assembly and a random forest as one pipeline.
 
     ``categories`` maps category columns to the vector columns made from them. Inputs are assembled
     in the order numeric, categories, vectors. Rows with a missing input or label take no part.
+
+    A category column with more than ``max_categories`` values is refused; with ``category_slots`` every
+    column is encoded by hash in so many slots, whatever its number of values.
     """
     categories = categories or {}
     inputs = [*numeric, *categories.values(), *(vectors or [])]
     stages = []
-    if categories:
+    if categories and category_slots is not None:
+        stages = hashed_categories(categories, category_slots)
+    elif categories:
         check_category_bound(df, list(categories), max_categories)
         stages = category_stages(categories)
     forest = RandomForestRegressor(

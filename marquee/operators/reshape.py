@@ -61,15 +61,44 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the size of ``df`` in memory: one aggregate pass, one number back."""
+def _variable_bytes(column: Column, data_type: T.DataType) -> Column | None:
+    """Bytes of a value beyond 16; None if every value of the type has a fixed size."""
+    if isinstance(data_type, T.UserDefinedType):
+        return _variable_bytes(F.unwrap_udt(column), data_type.sqlType())
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        return F.octet_length(column)
+    if isinstance(data_type, T.VariantType):
+        return F.octet_length(F.to_json(column))
+    if isinstance(data_type, T.StructType):
+        parts = [_variable_bytes(column.getField(f.name), f.dataType) for f in data_type.fields]
+        parts = [F.coalesce(p.cast("bigint"), F.lit(0)) for p in parts if p is not None]
+        return reduce(lambda a, b: a + b, parts, F.lit(16 * len(data_type.fields)).cast("bigint"))
+    if isinstance(data_type, T.ArrayType):
+        inner = _variable_bytes(F.lit(None).cast(data_type.elementType), data_type.elementType)
+        if inner is None:
+            return F.size(column) * 16
+        each = lambda x: F.coalesce(_variable_bytes(x, data_type.elementType).cast("bigint"), F.lit(0)) + 16
+        return F.aggregate(column, F.lit(0).cast("bigint"), lambda total, x: total + each(x))
+    if isinstance(data_type, T.MapType):
+        keys = _variable_bytes(F.map_keys(column), T.ArrayType(data_type.keyType))
+        return keys + _variable_bytes(F.map_values(column), T.ArrayType(data_type.valueType))
+    if isinstance(data_type, T.AtomicType) or isinstance(data_type, T.NullType):
+        return None
+    raise TypeError(f"{data_type.simpleString()} cannot be measured")
+
+
+def measured_bytes(df: DataFrame) -> int | None:
+    """Upper estimate of the size of ``df`` in memory: one aggregate pass, one number back. Vectors count by
+    their stored entries, variants by their text. None if a column has a type that cannot be measured."""
     fixed, variable = 0, []
     for field in df.schema.fields:
         fixed += 16
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            variable.append(F.octet_length(field.name))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            variable.append(F.length(F.to_json(F.struct(field.name))) * 2)
+        try:
+            size = _variable_bytes(F.col(f"`{field.name}`"), field.dataType)
+        except TypeError:
+            return None
+        if size is not None:
+            variable.append(size)
     per_row = reduce(
         lambda a, b: a + b,
         [F.coalesce(v.cast("bigint"), F.lit(0)) for v in variable],
@@ -96,10 +125,15 @@ def heavy_buckets(df: DataFrame, keys: list[str], buckets: int, slices: int) ->
     )
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """Spreads rows, equal rows of different tasks included, and is the same when a task is rerun."""
-    hashable = [f.name for f in df.schema.fields if not _holds(f.dataType, T.MapType, T.VariantType)]
-    return F.xxhash64(*hashable, F.spark_partition_id())
+def _row_hash(df: DataFrame, keys: list[str]) -> Column:
+    """Spreads rows, equal rows of different tasks included, and is the same when a task is rerun.
+
+    Only columns of a fixed size are read for it, texts if there are no others besides the keys.
+    """
+    rest = [f for f in df.schema.fields if f.name not in keys and not _holds(f.dataType, T.MapType, T.VariantType)]
+    narrow = [f.name for f in rest if isinstance(f.dataType, T.AtomicType) and not _holds(f.dataType, T.StringType, T.BinaryType)]
+    hashable = [f.name for f in rest if not isinstance(f.dataType, T.UserDefinedType)]
+    return F.xxhash64(*keys, *(narrow or hashable), F.spark_partition_id())
 
 
 def enrich_left(
@@ -119,7 +153,7 @@ def enrich_left(
     Columns that both sides have besides the key are refused, or, with ``suffix``, renamed on the
     right.
 
-    The data decide how the join runs. The right side is measured and broadcast if it is no larger
+    Runs jobs while the frame is built, as the data decide how the join runs. The right side is measured and broadcast if it is no larger
     than ``broadcast_bytes`` (0: do not measure, do not broadcast). Otherwise both sides are
     shuffled, after one counting pass over the left keys: left rows are cut into ``slices`` (default:
     two per shuffle partition) where their key, NULL included, holds more than one slice, and only
@@ -131,7 +165,10 @@ def enrich_left(
     shared = [c for c in right.columns if c in left.columns and c not in keys]
     if shared and suffix is None:
         raise ValueError(f"both sides have {shared}: rename them or give a suffix")
-    small = broadcast_bytes > 0 and measured_bytes(right) <= broadcast_bytes
+    if left.isStreaming or right.isStreaming:
+        raise ValueError("this join counts both sides first and takes bounded frames only")
+    size = measured_bytes(right) if broadcast_bytes > 0 else None
+    small = size is not None and size <= broadcast_bytes
     if not unique:
         right = dedup_by_key(right, keys, order_by)
     right = right.withColumnsRenamed({c: c + suffix for c in shared}) if shared else right
@@ -152,7 +189,7 @@ def enrich_left(
         bucketed = df.withColumn("_bucket", _bucket(keys, buckets))
         return bucketed.join(heavy_df, "_bucket", "left").fillna(1, ["_fill"])
 
-    cut = with_fill(left.withColumn("_hash", _row_hash(left))).select(
+    cut = with_fill(left.withColumn("_hash", _row_hash(left, keys))).select(
         *left.columns, F.pmod("_hash", "_fill").cast("int").alias("_slice")
     )
     repeated = with_fill(right).select(

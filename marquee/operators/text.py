@@ -5,9 +5,14 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marquee.operators.ranks import ranks
+from marquee.session import materialise, scratch_dir
 
 
 def tokenize(df: DataFrame, column: str, output: str) -> DataFrame:
@@ -36,26 +41,57 @@ def term_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def fit_term_vectors(
-    df: DataFrame, column: str, output: str, vocab_size: int = 1 << 18, min_df: float = 1.0
-) -> CountVectorizerModel:
-    """Vocabulary of the ``vocab_size`` most frequent terms, as a model that turns token lists into
-    sparse count vectors. The vocabulary is held by the driver and every task, hence its limit.
+def fit_vocabulary(
+    df: DataFrame, column: str, vocab_size: int | None = None, min_df: float = 1.0
+) -> DataFrame:
+    """``term``, its occurrences ``n``, the rows ``df`` that have it, and its ``slot``: most frequent
+    first, ties in text order, from 0. All terms, unless the caller sets one of the limits.
 
-    ``min_df`` is the number of rows a term must occur in, or, under 1, their share.
+    ``min_df`` is the number of rows a term must occur in, or, under 1, their share; ``vocab_size``
+    keeps the first so many. One grouping by term; the vocabulary never leaves the cluster. Runs jobs,
+    as the ranked terms are saved.
     """
-    if min_df < 1:
-        # Counting rows here is cheaper than letting the fit keep all token lists to count them.
-        min_df = max(1.0, min_df * df.count())
-    return CountVectorizer(
-        inputCol=column, outputCol=output, vocabSize=vocab_size, minDF=min_df
-    ).fit(df)
+    words, different = F.col(column), F.array_distinct(column)
+    marked = F.concat(
+        F.transform(words, lambda term: F.struct(term.alias("term"), F.lit(0).alias("row"))),
+        F.transform(different, lambda term: F.struct(term.alias("term"), F.lit(1).alias("row"))),
+    )
+    counts = (
+        df.select(F.explode(marked).alias("t"))
+        .groupBy("t.term")
+        .agg(F.sum(1 - F.col("t.row")).alias("n"), F.sum("t.row").alias("df"))
+    )
+    if min_df > 1:
+        counts = counts.where(F.col("df") >= min_df)
+    elif min_df < 1:
+        counts = counts.where(F.col("df") >= min_df * df.count())
+    ranked = ranks(counts, "slot", F.desc("n"), F.asc("term"))
+    return ranked if vocab_size is None else ranked.where(F.col("slot") < vocab_size)
+
 
+def term_vectors(df: DataFrame, column: str, output: str, vocabulary: DataFrame) -> DataFrame:
+    """Add sparse count vectors over a :func:`fit_vocabulary`; other terms are not counted.
 
-def term_vectors(df: DataFrame, model: CountVectorizerModel) -> DataFrame:
-    """Add count vectors. The model describes every slot in the column's metadata, which for a large
-    vocabulary makes each look at the schema slow and says nothing, so the description is removed."""
-    return model.transform(df).withMetadata(model.getOutputCol(), {})
+    Rows are numbered and saved, their terms counted and joined with the vocabulary's slots, and the
+    vectors saved in the form in which Spark stores them. A row without a term of the vocabulary, or
+    with NULL for words, has a vector without entries.
+    """
+    spark = df.sparkSession
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "words")
+    size = vocabulary.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).cast("int").alias("n")).scalar()
+    each = rows.select("_row", F.explode(column).alias("_term")).groupBy("_row", "_term").agg(F.count(F.lit(1)).alias("_n"))
+    slots = vocabulary.select(F.col("term").alias("_term"), F.col("slot").cast("int").alias("_slot"))
+    entries = each.join(slots, "_term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_slot", "_n"))).alias("_e"))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        size.alias("size"),
+        F.coalesce(F.col("_e._slot"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")).alias("values"),
+    )
+    path = scratch_dir(spark, "vectors")
+    rows.join(entries, "_row", "left").select(*df.columns, vector.alias(output)).write.parquet(path)
+    kept = [field for field in df.schema.fields if field.name != output]
+    return spark.read.schema(T.StructType([*kept, T.StructField(output, VectorUDT())])).parquet(path)
 
 
 def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
@@ -66,10 +102,21 @@ def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
 
 
 def fit_topics(
-    df: DataFrame, column: str, k: int = 5, iterations: int = 10, seed: int = 42, **params: Any
+    df: DataFrame,
+    column: str,
+    k: int = 5,
+    iterations: int = 10,
+    seed: int = 42,
+    sampling: float = 0.05,
+    **params: Any,
 ) -> LDAModel:
-    """Topic model over count vectors. Every iteration reads ``df`` again: materialise it first."""
-    return LDA(k=k, maxIter=iterations, featuresCol=column, seed=seed, **params).fit(df)
+    """Topic model over count vectors. Every iteration reads ``df`` again: materialise it first.
+
+    ``sampling`` is the share of rows an iteration learns from, by default Spark's; with 1.0 every text
+    takes part in every iteration. The model is a matrix of 8 bytes per topic and term, which the driver
+    and every task hold: ten million terms and five topics make 400 MB.
+    """
+    return LDA(k=k, maxIter=iterations, featuresCol=column, seed=seed, subsamplingRate=sampling, **params).fit(df)
 
 
 def topic_mixture(df: DataFrame, model: LDAModel, output: str = "topicDistribution") -> DataFrame:

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDAModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +20,8 @@ from marquee.operators.regression import (
 )
 from marquee.operators.reshape import dedup_rows, enrich_left
 from marquee.operators.text import (
-    fit_term_vectors,
     fit_topics,
+    fit_vocabulary,
     remove_stopwords,
     term_vectors,
     tokenize,
@@ -34,7 +33,7 @@ from marquee.session import materialise
 
 @dataclass(frozen=True)
 class RevenueModel:
-    vocabulary: CountVectorizerModel
+    vocabulary: DataFrame
     topics: LDAModel
     regressor: PipelineModel
     report: DataFrame
@@ -94,9 +93,10 @@ def prepare_revenue_rows(
     """Distinct, complete catalogue rows with the supplement joined on the title.
 
     Duplicates and incomplete rows go before the join: as every title has one supplement row, the
-    result is the same and less is shuffled.
+    result is the same and less is shuffled. The distinct rows are saved, as the join may read them
+    twice.
     """
-    rows = convert_catalogue(distinct_catalogue(catalogue, columns), columns)
+    rows = convert_catalogue(materialise(distinct_catalogue(catalogue, columns), "distinct"), columns)
     return add_supplement(rows, supplement, columns, supplement_columns, order_by, broadcast_bytes)
 
 
@@ -118,21 +118,29 @@ def revenue_model(
     order_by: list[str] | None = None,
     topics: int = 5,
     iterations: int = 10,
-    vocab_size: int = 1 << 18,
+    vocab_size: int | None = None,
     min_df: float = 1.0,
+    sampling: float = 0.05,
     trees: int = 50,
     depth: int = 10,
     train: float = 0.8,
     seed: int = 42,
     text_fit_on: str = "all",
     broadcast_bytes: int = 64 << 20,
+    max_categories: int = 1_000_000,
+    category_slots: int | None = None,
 ) -> RevenueModel:
     """Fit topics on the overviews, then revenue on ratings, running time, supplement values,
     encoded categories and topic shares; score on the held-out part.
 
     Rows without supplement values keep their topics but are skipped by the assembler, so the
     forest sees matched titles only. ``text_fit_on="train"`` keeps held-out texts out of the
-    vocabulary and the topics.
+    vocabulary and the topics. All terms are counted unless ``vocab_size`` or ``min_df`` say otherwise;
+    ``sampling`` is the share of texts that an iteration of the topic fit learns from.
+
+    Categories are one-hot: a column with more than ``max_categories`` is refused, as the forest's binned
+    rows take about 4 bytes per slot. ``category_slots`` encodes any number of them by hash in so many
+    slots a column instead.
 
     What several passes read is written to the scratch folder: distinct rows, count vectors, topic
     shares, joined rows. Topics come before the join, so no text is shuffled for it.
@@ -152,9 +160,10 @@ def revenue_model(
 
     words = remove_stopwords(tokenize(rows, c.overview, "_words"), "_words", "_words")
     words = words.drop(c.overview)
-    vocabulary = fit_term_vectors(fit_rows(words), "_words", "_counts", vocab_size, min_df)
-    vectors = materialise(term_vectors(words, vocabulary).drop("_words"), "vectors")
-    topic_model = fit_topics(fit_rows(vectors), "_counts", topics, iterations, seed)
+    words = materialise(words, "words")
+    vocabulary = fit_vocabulary(fit_rows(words), "_words", vocab_size, min_df)
+    vectors = term_vectors(words, "_words", "_counts", vocabulary).drop("_words")
+    topic_model = fit_topics(fit_rows(vectors), "_counts", topics, iterations, seed, sampling)
     mixed = materialise(topic_mixture(vectors, topic_model).drop("_counts"), "topics")
     joined = materialise(add_supplement(mixed, supplement, c, s, order_by, broadcast_bytes), "joined")
 
@@ -172,6 +181,8 @@ def revenue_model(
         trees=trees,
         depth=depth,
         seed=seed,
+        max_categories=max_categories,
+        category_slots=category_slots,
     )
     predictions = predict(regressor, test_rows).drop("_row")
     return RevenueModel(

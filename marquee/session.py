@@ -36,11 +36,12 @@ def get_session(app_name: str = "marquee", **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     """A fresh path in the folder shared by all executors (``spark.checkpoint.dir``).
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a session that shows a local master may fall back to a temporary folder of this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", None) or ""
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if not _LOCAL_SCRATCH:
             _LOCAL_SCRATCH.append(tempfile.TemporaryDirectory(prefix="marquee-"))

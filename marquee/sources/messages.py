@@ -105,30 +105,36 @@ def parse_json_messages(
     """Typed rows from JSON in ``value``.
 
     Malformed text gives a row of NULLs, a field of the wrong type gives NULL in that field.
-    ``rejects`` names an extra column that keeps the raw text of such messages.
+    ``rejects`` names an extra column that keeps the raw text of such messages, and of those with a
+    date that is not in the format.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     options = {}
     if rejects is not None:
         struct = T.StructType([*struct.fields, T.StructField(rejects, T.StringType())])
         options["columnNameOfCorruptRecord"] = rejects
-    parsed = log.select(F.from_json(F.col("value").cast("string"), struct, options).alias("r"))
-    rows = parsed.select("r.*")
+    text = F.col("value").cast("string")
+    parsed = log.select(F.from_json(text, struct, options).alias("r"), text.alias("_text"))
     if date_column is None:
-        return rows
-    return rows.withColumn(date_column, parse_date(date_column, date_format))
+        return parsed.select("r.*")
+    day = parse_date(F.col("r").getField(date_column), date_format)
+    columns = [day.alias(n) if n == date_column else F.col("r").getField(n).alias(n) for n in struct.names]
+    if rejects is not None:
+        wrong = F.col("r").getField(date_column).isNotNull() & day.isNull()
+        raw = F.coalesce(F.col("r").getField(rejects), F.when(wrong, F.col("_text")))
+        columns = [raw.alias(rejects) if n == rejects else c for n, c in zip(struct.names, columns)]
+    return parsed.select(*columns)
 
 
 def read_json_objects(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
-    array: bool = True,
+    array: bool = False,
 ) -> DataFrame:
-    """Objects of JSON files: one array per file, or (``array=False``) one object per line.
+    """Objects of JSON files: one object per line, or (``array=True``) one array per file.
 
-    An array file cannot be split between tasks, so large inputs should come as many files or as
-    lines.
+    An array file cannot be split between tasks, so large arrays should come as many files.
     """
     reader = spark.read.option("multiLine", array)
     if schema is not None:

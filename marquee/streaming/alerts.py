@@ -24,7 +24,13 @@ def low_rated_stream(
     available and stops. Give a ``checkpoint`` folder to continue after a restart; by default each
     start has its own and reads the source from its beginning. The caller decides whether to wait
     for the returned query.
+
+    Other modes hand over changed rows only and never take one back, so a sink that replaces the
+    result would lose rows: they are refused unless ``write_batch`` has an attribute ``merges`` that
+    is true, by which a sink of the caller's own states that it merges and takes back.
     """
+    if mode != "complete" and not getattr(write_batch, "merges", False):
+        raise ValueError(f"mode {mode!r} gives changed rows only; this sink replaces the whole result")
     writer = (
         alerts.writeStream.outputMode(mode)
         .foreachBatch(write_batch)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from marquee.sources.tables import write_table
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+_MARKER = "version bigint, folder string, published_at double"
+
 
 def overwrite_each_batch(target: str | None, fmt: str | None = None, **options: Any) -> BatchWriter:
     """Batch function that overwrites one table, as :func:`write_table` does.
@@ -26,39 +30,50 @@ def overwrite_each_batch(target: str | None, fmt: str | None = None, **options:
     return write
 
 
-def publish_each_batch(path: str, keep: int = 3) -> BatchWriter:
+def publish_each_batch(path: str, keep: int = 3, keep_seconds: float = 600.0) -> BatchWriter:
     """Batch function that writes complete versions for :func:`read_published`.
 
-    Versions go round ``keep`` folders, and a one-row marker per folder is written once its data
-    are complete, so a reader always finds the last whole result, empty ones included. A batch that
-    was already published is left alone when it is run again.
+    Every batch is evaluated and written to a folder of its own, then a one-row marker with the next
+    version number makes it the newest; a batch that is run again is a new version with the same rows.
+    Numbers go on from what is published under ``path``, not from the query's batches, so a start
+    without the old checkpoint works on an existing target. There must be one writer at a time.
+
+    Versions are removed once they are older than ``keep_seconds`` and not among the newest ``keep``:
+    a reader may use a version for that long after it was replaced.
     """
     if keep < 2:
         raise ValueError("keep at least two versions")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        slot = batch_id % keep
-        marker = f"{path}/marker/slot={slot}"
-        if (slot, batch_id) in _published(spark, path):
-            return
-        batch.write.mode("overwrite").parquet(f"{path}/data/slot={slot}")
-        spark.range(batch_id, batch_id + 1, 1, 1).withColumnRenamed("id", "batch_id").write.mode(
-            "overwrite"
-        ).json(marker)
+        folder = f"{path}/data/{uuid.uuid4().hex}"
+        batch.write.parquet(folder)
+        versions = sorted(_published(spark, path), key=lambda v: v.version)
+        version, now = (versions[-1].version + 1 if versions else 0), time.time()
+        row = spark.createDataFrame([(version, folder, now)], _MARKER).coalesce(1)
+        row.write.mode("append").json(f"{path}/marker/of={version}")
+        # What was replaced more than keep_seconds ago: the version after it is that old.
+        for old, after in zip(versions[: max(0, len(versions) + 1 - keep)], versions[1:]):
+            if after.published_at < now - keep_seconds:
+                _remove(spark, old.folder)
+                _remove(spark, f"{path}/marker/of={old.version}")
 
     return write
 
 
-def _published(spark: SparkSession, path: str) -> set[tuple[int, int]]:
-    """(slot, batch id) of the versions under ``path``: at most one row per slot."""
+def _remove(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _published(spark: SparkSession, path: str) -> list[Row]:
+    """Markers under ``path``: one row per version that is kept."""
     try:
-        markers = spark.read.schema("batch_id bigint, slot int").json(f"{path}/marker")
-        return {(row.slot, row.batch_id) for row in markers.collect()}
+        return spark.read.schema(_MARKER).json(f"{path}/marker").select("version", "folder", "published_at").collect()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return set()
+        return []
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
@@ -66,5 +81,4 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     versions = _published(spark, path)
     if not versions:
         raise ValueError(f"nothing has been published under {path}")
-    slot, _ = max(versions, key=lambda version: version[1])
-    return spark.read.parquet(f"{path}/data/slot={slot}")
+    return spark.read.parquet(max(versions, key=lambda v: v.version).folder)

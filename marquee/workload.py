@@ -36,8 +36,8 @@ from marquee.operators import (
     feature_importance,
     fill_missing,
     fit_regressor,
-    fit_term_vectors,
     fit_topics,
+    fit_vocabulary,
     index_category,
     low_rated_absolute,
     low_rated_relative,
@@ -70,6 +70,7 @@ from marquee.sources import (
     parse_json_messages,
     preview_table,
     publish_json,
+    read_json_objects,
     read_offset_range,
     read_partition,
     scan_csv,
@@ -77,7 +78,7 @@ from marquee.sources import (
     stream_source,
     write_table,
 )
-from marquee.streaming import low_rated_stream, publish_each_batch, read_published
+from marquee.streaming import low_rated_stream, overwrite_each_batch, publish_each_batch, read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,7 +159,7 @@ def with_overall(reviews: DataFrame) -> DataFrame:
     """Add each user's mean over all events. Users differ a lot in activity, so this is a join of
     reduced rows rather than a window over a user's rows."""
     overall = reviews.groupBy("user_id").agg(agg_mean("value", "overall"))
-    return enrich_left(reviews, overall, "user_id", unique=True, broadcast_bytes=0)
+    return enrich_left(reviews, overall, "user_id", unique=True)
 
 
 EVENT_MESSAGE = "event_id bigint, user_id bigint, value double, day string"
@@ -221,7 +222,7 @@ def label_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with a line-item supplement that many parts lack."""
+    """Parts with their first line item as a supplement."""
     parts = table(spark, sf_dir, "part")
     return enrich_left(
         parts, line_supplement(spark, sf_dir), "p_partkey", LINE_ORDER, broadcast_bytes=0
@@ -232,11 +233,7 @@ LINE_ORDER = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 
 
 def line_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49))
-        .select(F.col("l_partkey").alias("p_partkey"), *LINE_ORDER)
-    )
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), *LINE_ORDER)
 
 
 LINE_SUPPLEMENT_SQL = """supplement AS (
@@ -244,7 +241,7 @@ LINE_SUPPLEMENT_SQL = """supplement AS (
         SELECT l_partkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice,
                row_number() OVER (PARTITION BY l_partkey
                    ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS rn
-        FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49)
+        FROM lineitem)
     WHERE rn = 1)"""
 
 
@@ -666,54 +663,65 @@ def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_counts(filtered_words_of(spark, sf_dir), "words")
 
 
-# Terms of at least one document in a hundred. However long the texts get, a document holds so many
-# different terms at most, so the number of such terms is bounded and no vocabulary limit cuts in.
-COMMON_TERMS = 0.01
-COMMON_SQL = f"""{FILTERED_SQL}, entries AS (
+ENTRIES_SQL = f"""{FILTERED_SQL}, entries AS (
         SELECT doc_id, term, count(*) AS n
         FROM (SELECT doc_id, unnest(words) AS term FROM filtered) GROUP BY 1, 2),
-    common AS (
-        SELECT term FROM entries GROUP BY 1
-        HAVING count(*) >= {COMMON_TERMS} * (SELECT count(*) FROM documents))"""
+    vocabulary AS (
+        SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*) AS df,
+               row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS slot
+        FROM entries GROUP BY 1)"""
 
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = filtered_words_of(spark, sf_dir)
-    model = fit_term_vectors(words, "words", "counts", min_df=COMMON_TERMS)
-    return term_vectors(words, model).drop("words")
+    words = materialise(filtered_words_of(spark, sf_dir), "words")
+    return term_vectors(words, "words", "counts", fit_vocabulary(words, "words")).drop("words")
+
+
+@query("fit_vocabulary", f"WITH {ENTRIES_SQL} SELECT term, n, df, slot FROM vocabulary")
+def _fit_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fit_vocabulary(filtered_words_of(spark, sf_dir), "words").select(
+        "term", "n", F.col("df").cast("bigint").alias("df"), "slot"
+    )
 
 
 @query(
     "term_vectors",
-    f"""WITH {COMMON_SQL}
-        SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS DOUBLE) AS n_words
-        FROM entries JOIN common USING (term) GROUP BY 1""",
+    f"""WITH {ENTRIES_SQL}
+        SELECT doc_id, count(*) AS n_terms, CAST(sum(entries.n) AS DOUBLE) AS n_words,
+               CAST(sum(slot * entries.n) AS DOUBLE) AS slot_words
+        FROM entries JOIN vocabulary USING (term) GROUP BY 1""",
 )
 def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = vector_entries(document_vectors(spark, sf_dir), "counts", ["doc_id"])
     return entries.groupBy("doc_id").agg(
-        F.count("slot").alias("n_terms"), F.sum("entry").alias("n_words")
+        F.count("slot").alias("n_terms"),
+        F.sum("entry").alias("n_words"),
+        F.sum(F.col("slot") * F.col("entry")).alias("slot_words"),
     )
 
 
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = materialise(document_vectors(spark, sf_dir), "vectors")
-    mixed = topic_mixture(vectors, fit_topics(vectors, "counts"), "mixture")
+    vectors = document_vectors(spark, sf_dir)
+    mixed = topic_mixture(vectors, fit_topics(vectors, "counts", sampling=1.0), "mixture")
     return mixed.select("doc_id", vector_to_array("mixture").alias("share"))
 
 
-@query("topic_mixture")
+@query(
+    "topic_mixture",
+    """SELECT doc_id, CAST(topic AS INT) AS topic, true AS is_share
+       FROM documents, (SELECT unnest(range(5)) AS topic)""",
+)
 def _topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_topics(spark, sf_dir).select(
-        "doc_id", F.posexplode("share").alias("topic", "share")
-    )
+    """The shares depend on the optimiser's arithmetic, so the row says whether each is one."""
+    shares = document_topics(spark, sf_dir).select("doc_id", F.posexplode("share").alias("topic", "share"))
+    return shares.select("doc_id", "topic", F.col("share").between(0.0, 1.0).alias("is_share"))
 
 
 @query(
     "topic_mixture_totals",
-    f"""WITH {COMMON_SQL}
+    f"""WITH {ENTRIES_SQL}
         SELECT doc_id, CAST(5 AS INT) AS topics,
-               CAST(doc_id IN (SELECT doc_id FROM entries JOIN common USING (term)) AS DOUBLE) AS total
+               CAST(doc_id IN (SELECT doc_id FROM entries) AS DOUBLE) AS total
         FROM documents""",
 )
 def _topic_mixture_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -772,6 +780,9 @@ def _assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.select("p_partkey", slots[0].alias("size"), slots[1].alias("quantity"))
 
 
+# Forests depend on the sampler's and the sums' order, so the queries on them give what holds for each
+# fit: which rows take part, the table's form, and bounds that a right fit must keep.
+HELD_OUT_SQL = "(('0x' || substr(md5('42|' || p_partkey), 1, 8))::BIGINT % 1000000 >= 800000)"
 PART_INPUTS = {
     "label": "p_retailprice",
     "numeric": ["p_size", "l_quantity", "l_extendedprice"],
@@ -783,34 +794,63 @@ PART_INPUTS = {
     "fit_regressor",
     f"""WITH {LINE_SUPPLEMENT_SQL}
         SELECT CAST(50 AS INT) AS n_trees,
-               CAST(3 + count(DISTINCT p_brand) + count(DISTINCT p_type) AS INT) AS n_slots FROM part""",
+               (SELECT CAST(3 + count(DISTINCT p_brand) + count(DISTINCT p_type) AS INT) FROM part) AS n_slots,
+               count(*) AS fitted_rows, true AS better_than_mean
+        FROM part JOIN supplement ON p_partkey = l_partkey""",
 )
 def _fit_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = fit_regressor(materialise(part_features(spark, sf_dir)), **PART_INPUTS).stages[-1]
-    return spark.createDataFrame(
-        [(forest.getNumTrees, forest.numFeatures)], "n_trees int, n_slots int"
+    rows = materialise(part_features(spark, sf_dir))
+    model = fit_regressor(rows, **PART_INPUTS)
+    forest, fitted = model.stages[-1], materialise(predict(model, rows).select("p_retailprice", "prediction"))
+    score = r2_score(fitted, "p_retailprice").select((F.col("r2") > 0).alias("better_than_mean"))
+    return fitted.agg(F.count(F.lit(1)).alias("fitted_rows")).select(
+        F.lit(forest.getNumTrees).alias("n_trees"),
+        F.lit(forest.numFeatures).alias("n_slots"),
+        "fitted_rows",
+        score.scalar().alias("better_than_mean"),
     )
 
 
-@query("feature_importance")
+def importance_form(importances: DataFrame) -> DataFrame:
+    """One row per input, with what must hold of its importance and of their sum."""
+    total = importances.agg(F.round(F.sum("Importance"), 6)).scalar()
+    return importances.select(
+        "Feature", F.col("Importance").between(0.0, 1.0).alias("is_share"), total.alias("total")
+    )
+
+
+@query(
+    "feature_importance",
+    """SELECT unnest(['p_size', 'l_quantity', 'l_extendedprice', 'brand_vector', 'type_vector']) AS "Feature",
+              true AS is_share, 1.0::DOUBLE AS total""",
+)
 def _feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(part_features(spark, sf_dir))
-    return feature_importance(fit_regressor(rows, **PART_INPUTS), rows)
+    return importance_form(feature_importance(fit_regressor(rows, **PART_INPUTS), rows))
 
 
-@query("split_train_test", "SELECT p_partkey, CAST(1 AS BIGINT) AS parts FROM part")
+@query("split_train_test", f"SELECT p_partkey, {HELD_OUT_SQL} AS held_out FROM part")
 def _split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split_train_test(table(spark, sf_dir, "part"), by=["p_partkey"])
-    both = train.select("p_partkey").unionAll(test.select("p_partkey"))
-    return both.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("parts"))
+    return train.select("p_partkey", F.lit(False).alias("held_out")).unionAll(
+        test.select("p_partkey", F.lit(True).alias("held_out"))
+    )
 
 
-@query("predict")
+@query(
+    "predict",
+    f"""WITH {LINE_SUPPLEMENT_SQL}
+        SELECT p_partkey, p_retailprice, true AS in_range
+        FROM part JOIN supplement ON p_partkey = l_partkey WHERE {HELD_OUT_SQL}""",
+)
 def _predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest's prediction is a mean of labels it has seen, so it lies between them."""
     rows = materialise(part_features(spark, sf_dir))
     train, test = split_train_test(rows, by=["p_partkey"])
+    seen = train.agg(F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high"))
+    low, high = seen.select(F.col("low") - 1e-6).scalar(), seen.select(F.col("high") + 1e-6).scalar()
     return predict(fit_regressor(train, **PART_INPUTS), test).select(
-        "p_partkey", "p_retailprice", "prediction"
+        "p_partkey", "p_retailprice", F.col("prediction").between(low, high).alias("in_range")
     )
 
 
@@ -870,11 +910,21 @@ def _revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_report(document_catalogue(spark, sf_dir), DOCUMENTS)
 
 
-@query("revenue_model")
+@query(
+    "revenue_model",
+    """SELECT unnest(['Rating', 'Runtime', 'quality', 'toxic', 'lang_Encoded', 'source_Encoded', 'grade_Encoded',
+                      'topicDistribution']) AS "Feature",
+              true AS is_share, 1.0::DOUBLE AS total""",
+)
 def _revenue_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_model(
-        document_catalogue(spark, sf_dir), label_supplement(spark, sf_dir), DOCUMENTS, DOCUMENT_LABELS
-    ).importances
+    model = revenue_model(
+        document_catalogue(spark, sf_dir),
+        label_supplement(spark, sf_dir),
+        DOCUMENTS,
+        DOCUMENT_LABELS,
+        sampling=1.0,
+    )
+    return importance_form(model.importances)
 
 
 # --- streaming -----------------------------------------------------------------------------------
@@ -903,3 +953,29 @@ def _low_rated_stream_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = stream_source(spark, "text", topic, "value string")
     alerts = run_stream(relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS))
     return rounded(alerts, 9, "Daily_Average_Rating", "overall", "Rating_Difference")
+
+
+@query(
+    "json_files_to_messages",
+    """SELECT event_id, user_id, round(value, 9) AS value, CAST(ts AS DATE) AS day FROM events""",
+)
+def _json_files_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects in JSON files, one message for each, typed rows again."""
+    files, topic = scratch_dir(spark, "objects"), scratch_dir(spark, "topic")
+    wire_form(event_reviews(spark, sf_dir)).write.json(files)
+    publish_json(read_json_objects(spark, files, EVENT_MESSAGE), topic)
+    typed = parse_json_messages(scan_table(spark, topic, "text"), EVENT_MESSAGE, "day")
+    return rounded(typed, 9, "value").select("event_id", "user_id", "value", "day")
+
+
+@query("low_rated_overwrite", ORACLES["low_rated_absolute"])
+def _low_rated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table, overwritten by each of at least four micro-batches; low values come first, so means rise
+    and items leave the table again."""
+    topic, target = scratch_dir(spark, "topic"), scratch_dir(spark, "table")
+    ordered = event_reviews(spark, sf_dir).repartitionByRange(8, "value")
+    publish_json(wire_form(ordered), topic)
+    messages = stream_source(spark, "text", topic, "value string", maxFilesPerTrigger=2)
+    alerts = absolute_alerts(messages, 10.0, EVENT_MESSAGE, EVENTS)
+    low_rated_stream(alerts, overwrite_each_batch(target, "parquet"), every=None).awaitTermination()
+    return rounded(scan_table(spark, target, "parquet"), 9, "Daily_Average_Rating")

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def build_session():
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="marquee-tests-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -107,3 +107,8 @@ def test_rating_gap(spark):
     plain = [r[0] for r in df.select(rating_gap("o", "d")).collect()]
     assert plain == [2.9999999999999996, None, None]
     assert df.select(rating_gap(F.col("o"), F.col("d"), 9)).first()[0] == 3.0
+
+
+def test_leading_zeros_are_no_digits(spark):
+    df = spark.createDataFrame([("0000000000000000000142 min",), ("-00007",), ("0" * 40,)], "t string")
+    assert [r[0] for r in df.select(strip_unit("t")).collect()] == [142, -7, 0]

@@ -16,16 +16,16 @@ from marquee.sources import (
 )
 
 REVIEW = {
-    "Review_ID": 28,
-    "Movie_ID": "Amélie",
-    "Reviewer_Name": "A B",
-    "Review_Rating": 9,
-    "Reviewer_Nationality": "Canada",
-    "Reviewer_Age": 29,
-    "Review_Date": "6/1/2024",
-    "Sex": "Female",
+    "Review_ID": 710_001,
+    "Movie_ID": "Østavind",
+    "Reviewer_Name": "Tester Seven",
+    "Review_Rating": 3,
+    "Reviewer_Nationality": "Nowhere",
+    "Reviewer_Age": 101,
+    "Review_Date": "12/30/2031",
+    "Sex": "Unknown",
 }
-JUNE = datetime.date(2024, 6, 1)
+DAY = datetime.date(2031, 12, 30)
 
 
 def log(spark, rows):
@@ -65,12 +65,12 @@ def messages(spark, *values):
 def test_parse_review(spark):
     got = parse_json_messages(messages(spark, REVIEW), REVIEW_MESSAGE)
     assert dict(got.dtypes)["Review_Date"] == "date" and dict(got.dtypes)["Review_Rating"] == "bigint"
-    assert tuple(got.first()) == ("28", "Amélie", "A B", 9, "Canada", 29, JUNE, "Female")
+    assert tuple(got.first()) == ("710001", "Østavind", "Tester Seven", 3, "Nowhere", 101, DAY, "Unknown")
 
 
 def test_parse_review_with_overall(spark):
     got = parse_json_messages(messages(spark, {**REVIEW, "Overall_Rating": 8}), REVIEW_MESSAGE_WITH_OVERALL)
-    assert (got.first().Review_Rating, got.first().Overall_Rating) == (9.0, 8.0)
+    assert (got.first().Review_Rating, got.first().Overall_Rating) == (3.0, 8.0)
 
 
 def test_bad_messages_become_null(spark):
@@ -84,8 +84,8 @@ def test_bad_messages_become_null(spark):
     )
     got = parse_json_messages(bad, REVIEW_MESSAGE).collect()
     assert got[0].asDict() == dict.fromkeys(got[0].asDict()) == got[1].asDict()
-    assert got[2].Review_Rating is None and got[2].Movie_ID == "Amélie"
-    assert got[3].Review_Date is None and got[3].Review_Rating == 9
+    assert got[2].Review_Rating is None and got[2].Movie_ID == "Østavind"
+    assert got[3].Review_Date is None and got[3].Review_Rating == 3
     assert got[4].Movie_ID == "M" and got[4].Sex is None
 
 
@@ -114,10 +114,10 @@ def test_publish_with_key(spark, tmp_path):
 def test_read_json_objects(spark, tmp_path):
     (tmp_path / "array.json").write_text(json.dumps([REVIEW, REVIEW], indent=2))
     (tmp_path / "lines.json").write_text(json.dumps(REVIEW) + "\n" + json.dumps(REVIEW))
-    as_array = read_json_objects(spark, str(tmp_path / "array.json"), REVIEW_MESSAGE)
-    as_lines = read_json_objects(spark, str(tmp_path / "lines.json"), REVIEW_MESSAGE, array=False)
+    as_array = read_json_objects(spark, str(tmp_path / "array.json"), REVIEW_MESSAGE, array=True)
+    as_lines = read_json_objects(spark, str(tmp_path / "lines.json"), REVIEW_MESSAGE)
     assert as_array.collect() == as_lines.collect() and as_array.count() == 2
-    assert dict(read_json_objects(spark, str(tmp_path / "array.json")).dtypes)["Review_ID"] == "bigint"
+    assert dict(read_json_objects(spark, str(tmp_path / "array.json"), array=True).dtypes)["Review_ID"] == "bigint"
 
 
 def test_topic_options():
@@ -131,3 +131,10 @@ def test_topic_options():
     assert json.loads(bounded["startingOffsets"]) == {"t": {"1": 5}}
     assert json.loads(bounded["endingOffsets"]) == {"t": {"1": 9}}
     assert (bounded["minPartitions"], bounded["maxOffsetsPerTrigger"]) == ("64", "1000")
+
+
+def test_rejects_keep_wrong_dates(spark):
+    wrong = {**REVIEW, "Review_Date": "2031-12-30"}
+    got = parse_json_messages(messages(spark, REVIEW, wrong, "not json"), REVIEW_MESSAGE, rejects="raw").collect()
+    assert [r.raw for r in got] == [None, json.dumps(wrong), "not json"]
+    assert got[0].Review_Date == DAY and got[1].Review_Date is None and got[1].Movie_ID == "Østavind"

@@ -161,7 +161,8 @@ def test_revenue_model(spark, text_fit_on):
     # Held-out rows without a supplement cannot be predicted, all others are.
     assert result.predictions.where("Budget IS NULL OR prediction IS NULL").count() == 0
     assert tuple(result.report.first()) == (120, 119)
-    assert "sea" in result.vocabulary.vocabulary and "the" not in result.vocabulary.vocabulary
+    terms = {r.term for r in result.vocabulary.collect()}
+    assert "sea" in terms and "the" not in terms
 
 
 def test_revenue_model_refuses_unknown_scope(spark):

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -101,3 +102,24 @@ def test_unseen_category_is_predicted(spark, model, sample):
 
     new = sample.limit(5).withColumn("kind", F.lit("new"))
     assert predict(model, new).where("prediction IS NOT NULL").count() == 5
+
+
+def test_hashed_categories_take_any_number_of_values(spark):
+    rows = [(i, f"c{i}", float(i % 7)) for i in range(2000)] + [(-1, None, 1.0)]
+    df = spark.createDataFrame(rows, "x int, c string, y double")
+    model = fit_regressor(df, "y", ["x"], {"c": "c_vec"}, trees=3, depth=3, max_categories=10, category_slots=32)
+    assert model.stages[-1].numFeatures == 33 and predict(model, df).count() == 2001
+    table = {r.Feature: r.Importance for r in feature_importance(model, df).collect()}
+    assert set(table) == {"x", "c_vec"} and sum(table.values()) == pytest.approx(1)
+
+
+def test_hash_split_follows_its_rule(spark):
+    df = spark.createDataFrame([(i, "a") for i in range(2000)] + [(None, "b")], "i int, s string")
+    train, test = split_train_test(df, 0.8, 42, ["i", "s"])
+    expected = {
+        (r.i, r.s)
+        for r in df.collect()
+        if int(hashlib.md5(f"42|{'' if r.i is None else r.i}|{r.s}".encode()).hexdigest()[:8], 16) % 1_000_000 < 800_000
+    }
+    assert {(r.i, r.s) for r in train.collect()} == expected and train.count() + test.count() == 2001
+    assert 0.77 < len(expected) / 2001 < 0.83

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from marquee.operators import (
@@ -162,6 +163,40 @@ def test_measured_bytes_grows_with_content(spark):
     assert measured_bytes(small.limit(0)) == 0
 
 
+def test_measure_sees_vectors_and_variants(spark):
+    vectors = spark.createDataFrame([(k, Vectors.dense([1.0] * 100_000)) for k in range(3)], ["k", "v"])
+    assert measured_bytes(vectors) > 3 * 8 * 100_000
+    sparse = spark.createDataFrame([(1, Vectors.sparse(10**9, {5: 1.0}))], ["k", "v"])
+    assert measured_bytes(sparse) < 1000
+    text = spark.range(1).select("id", F.parse_json(F.concat(F.lit('"'), F.repeat(F.lit("x"), 1 << 20), F.lit('"'))).alias("v"))
+    assert measured_bytes(text) > 1 << 20
+    nested = spark.createDataFrame([(1, {"a": ["x" * 5000]})], "k int, m map<string, array<string>>")
+    assert measured_bytes(nested) > 5000
+
+
+def test_large_vectors_are_not_broadcast(spark):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    right = spark.createDataFrame([(k, Vectors.dense([float(k)] * 20_000)) for k in range(20)], ["k", "v"])
+    joined = enrich_left(left, right, "k", unique=True, broadcast_bytes=1 << 20)
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
+    assert joined.where(F.col("v").isNotNull()).count() == 20
+
+
+def test_heavy_path_reads_no_unused_text(spark, tmp_path):
+    left = spark.range(20_000).select((F.col("id") % 3 * 0).alias("k"), "id", F.repeat(F.lit("text"), 20).alias("t"))
+    left.write.parquet(str(tmp_path / "left"))
+    right = spark.createDataFrame([(0, "a")], "k bigint, v string")
+    joined = enrich_left(spark.read.parquet(str(tmp_path / "left")), right, "k", broadcast_bytes=0, slices=4)
+    plan = joined.select("id", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "t:string" not in plan and joined.select("id", "v").count() == 20_000
+
+
+def test_streaming_side_is_refused(spark):
+    stream = spark.readStream.format("rate").load().withColumnRenamed("value", "k")
+    with pytest.raises(ValueError, match="bounded"):
+        enrich_left(stream, spark.range(3).withColumnRenamed("id", "k"), "k")
+
+
 def test_top_n(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (None, "n"), (2, "b")], "k int, v string")
     assert [r.k for r in top_n(df, 2, F.asc_nulls_first("k")).collect()] == [None, 1]

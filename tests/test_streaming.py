@@ -111,15 +111,15 @@ def test_published_versions(spark, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(ValueError, match="nothing"):
         read_published(spark, out)
-    write = publish_each_batch(out, keep=2)
+    write = publish_each_batch(out, keep=2, keep_seconds=0)
     for batch in range(5):
         write(spark.range(batch), batch)
         assert read_published(spark, out).count() == batch
     assert len(list((tmp_path / "out" / "data").iterdir())) == 2
-    # A batch run again after it was published changes nothing; an empty result replaces the old.
-    write(spark.range(99), 4)
-    assert read_published(spark, out).count() == 4
-    write(spark.range(0), 5)
+    # Batch numbers that start anew do not hide the newest version; an empty result replaces the old.
+    write(spark.range(7), 0)
+    assert read_published(spark, out).count() == 7
+    write(spark.range(0), 1)
     assert read_published(spark, out).count() == 0
     with pytest.raises(ValueError, match="two"):
         publish_each_batch(out, keep=1)
@@ -129,8 +129,57 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     out = str(tmp_path / "out")
     write = publish_each_batch(out)
     write(spark.range(3), 0)
-    # Data of batch 1 without its marker: the writer died in between.
-    spark.range(7).write.parquet(f"{out}/data/slot=1")
+    # Data of a batch without its marker: the writer died in between.
+    spark.range(7).write.parquet(f"{out}/data/unfinished")
     assert read_published(spark, out).count() == 3
     write(spark.range(5), 1)
     assert read_published(spark, out).count() == 5
+
+
+def test_slow_reader_keeps_its_version(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = publish_each_batch(out, keep=2)
+    write(spark.range(3), 0)
+    reader = read_published(spark, out)
+    for batch in range(1, 6):
+        write(spark.range(10 + batch), batch)
+    assert reader.count() == 3 and read_published(spark, out).count() == 15
+
+
+def lost_commit(checkpoint, batch):
+    """As after a crash between the sink and the commit of a batch."""
+    for name in (str(batch), f".{batch}.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("sink", ["publish", "overwrite"])
+def test_replay_after_a_lost_commit(spark, tmp_path, sink):
+    folder, out, checkpoint = tmp_path / "topic", str(tmp_path / "out"), tmp_path / "checkpoint"
+    writer = publish_each_batch(out) if sink == "publish" else overwrite_each_batch(out, "parquet")
+    read = (lambda: read_published(spark, out)) if sink == "publish" else (lambda: spark.read.parquet(out))
+    add_file(folder, "0.json", [review(1, "A", 2)])
+    run(absolute_alerts(topic(spark, folder)), writer, str(checkpoint))
+    lost_commit(checkpoint, 0)
+    add_file(folder, "1.json", [review(2, "B", 3)])
+    run(absolute_alerts(topic(spark, folder)), writer, str(checkpoint))
+    assert sorted(r.Movie_ID for r in read().collect()) == ["A", "B"]
+
+
+def test_start_without_checkpoint_over_a_target(spark, tmp_path):
+    folder, out = tmp_path / "topic", str(tmp_path / "out")
+    for k in range(3):
+        add_file(folder, f"{k}.json", [review(k, f"m{k}", 2)])
+    run(absolute_alerts(topic(spark, folder, maxFilesPerTrigger=1)), publish_each_batch(out))
+    assert read_published(spark, out).count() == 3
+    # Fewer batches than before, and a mean that has risen.
+    add_file(folder, "3.json", [review(9, "m0", 10)])
+    run(absolute_alerts(topic(spark, folder)), publish_each_batch(out))
+    assert sorted(r.Movie_ID for r in read_published(spark, out).collect()) == ["m1", "m2"]
+
+
+def test_modes_that_lose_rows_are_refused(spark, tmp_path):
+    add_file(tmp_path / "topic", "0.json", [review(1, "A", 2)])
+    alerts = absolute_alerts(topic(spark, tmp_path / "topic"))
+    for mode in ("update", "append"):
+        with pytest.raises(ValueError, match="changed rows"):
+            low_rated_stream(alerts, overwrite_each_batch(str(tmp_path / "o"), "parquet"), mode=mode)

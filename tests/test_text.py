@@ -2,10 +2,11 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from marquee.operators import (
-    fit_term_vectors,
+    fit_vocabulary,
     fit_topics,
     remove_stopwords,
     term_counts,
@@ -71,26 +72,47 @@ def test_term_counts(spark):
 
 def test_fit_and_apply_term_vectors(spark):
     df = words(spark)
-    model = fit_term_vectors(df, "w", "v")
-    assert model.vocabulary[:2] == ["a", "b"]
-    assert term_vectors(df, model).schema["v"].metadata == {}
-    entries = vector_entries(term_vectors(df, model), "v", ["i"]).collect()
-    got = {(r.i, model.vocabulary[r.slot]): r.entry for r in entries}
-    assert got == {(0, "a"): 2.0, (0, "b"): 1.0, (1, "b"): 1.0, (1, "c"): 1.0, (3, "a"): 1.0}
+    vocabulary = fit_vocabulary(df, "w")
+    found = {r.term: (r.n, r.df, r.slot) for r in vocabulary.collect()}
+    assert found == {"a": (3, 2, 0), "b": (2, 2, 1), "c": (1, 1, 2)}
+    vectors = term_vectors(df, "w", "v", vocabulary)
+    got = {r.i: r.v for r in vectors.collect()}
+    assert got[0] == SparseVector(3, {0: 2.0, 1: 1.0}) and got[2] == SparseVector(3, {})
+    entries = {(r.i, r.slot): r.entry for r in vector_entries(vectors, "v", ["i"]).collect()}
+    assert entries == {(0, 0): 2.0, (0, 1): 1.0, (1, 1): 1.0, (1, 2): 1.0, (3, 0): 1.0}
+
+
+def test_vectors_of_null_words_and_other_terms(spark):
+    df = spark.createDataFrame([(1, None), (2, ["x", "a"])], "i int, w array<string>")
+    got = {r.i: r.v for r in term_vectors(df, "w", "v", fit_vocabulary(words(spark), "w")).collect()}
+    assert got == {1: SparseVector(3, {}), 2: SparseVector(3, {0: 1.0})}
+
+
+def test_vocabulary_has_every_term(spark):
+    # More terms than a default CountVectorizer would keep.
+    n = 270_000
+    df = spark.range(n // 10).select(
+        "id", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: (F.col("id") * 10 + k).cast("string")).alias("w")
+    )
+    vocabulary = fit_vocabulary(df, "w")
+    assert vocabulary.count() == n and vocabulary.agg(F.max("slot")).first()[0] == n - 1
+    vectors = term_vectors(df, "w", "v", vocabulary)
+    assert vector_entries(vectors, "v", ["id"]).agg(F.countDistinct("slot")).first()[0] == n
 
 
 def test_vocabulary_limits(spark):
-    assert fit_term_vectors(words(spark), "w", "v", vocab_size=1).vocabulary == ["a"]
+    terms = lambda **limits: sorted(r.term for r in fit_vocabulary(words(spark), "w", **limits).collect())
+    assert terms(vocab_size=1) == ["a"]
     for min_df in (2, 0.5):
-        assert sorted(fit_term_vectors(words(spark), "w", "v", min_df=min_df).vocabulary) == ["a", "b"]
-    assert len(fit_term_vectors(words(spark), "w", "v", min_df=0.1).vocabulary) == 3
+        assert terms(min_df=min_df) == ["a", "b"]
+    assert len(terms(min_df=0.1)) == 3
 
 
 def test_topic_mixture(spark):
     df = spark.createDataFrame(
         [(i, (["sea", "ship"] if i % 2 else ["star", "moon"]) * 5) for i in range(40)], "i int, w array<string>"
     ).coalesce(1)
-    vectors = fit_term_vectors(df, "w", "v").transform(df)
+    vectors = term_vectors(df, "w", "v", fit_vocabulary(df, "w")).coalesce(1)
     mixtures = []
     for _ in range(2):
         model = fit_topics(vectors, "v", k=2, iterations=10)
@@ -103,6 +125,6 @@ def test_topic_mixture(spark):
 
 def test_empty_text_has_no_topics(spark):
     df = words(spark)
-    vectors = fit_term_vectors(df, "w", "v").transform(df)
+    vectors = term_vectors(df, "w", "v", fit_vocabulary(df, "w"))
     got = topic_mixture(vectors, fit_topics(vectors, "v", iterations=2), "m")
     assert got.where("i = 2").select(F.array_max(vector_to_array("m"))).first()[0] == 0.0
