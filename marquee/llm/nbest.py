@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marquee.llm.common import id_and_text
+from marquee.llm.common import hold, id_and_text
 
 SPACE = "▁"
 #: A character that no piece covers scores this much less than the lowest piece, and is spelled in bytes.
@@ -52,6 +52,7 @@ def model_file(name: str = "piece_bpe_32k.model") -> str:
 
 def lattice(path: str) -> Lattice:
     """The lattice of this worker process for a model file."""
+    hold("lattice", _LATTICES.clear)
     if path not in _LATTICES:
         from sentencepiece import SentencePieceProcessor
 
@@ -83,8 +84,11 @@ class Lattice:
         self.ids = {piece: np.array([i], "<u4").tobytes() for piece, (i, _) in pieces.items()}
         self.byte_ids = byte_ids
         self.unknown = min((s for _, s in pieces.values() if s > UNTRAINED), default=0) - UNKNOWN_PENALTY
-        self.spelled = {i: piece.replace(SPACE, " ").encode() for piece, (i, _) in pieces.items()}
-        self.spelled |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        self.spelled = np.full(1 + max([i for i, _ in pieces.values()] + byte_ids), b"", object)
+        for piece, (i, _) in pieces.items():
+            self.spelled[i] = piece.replace(SPACE, " ").encode()
+        for b, i in enumerate(byte_ids):
+            self.spelled[i] = bytes([b])
         self.words: dict[str, tuple[bytes, int, int]] = {}
         self.old: dict[str, tuple[bytes, int, int]] = {}
         self.searched: dict[tuple[str, int], list[tuple[int, bytes]]] = {}
@@ -187,7 +191,7 @@ class Lattice:
 
     def decode(self, ids: bytes) -> str:
         """Text of a sequence of ids; the mark before the first word is not part of it."""
-        data = b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        data = b"".join(self.spelled[np.frombuffer(ids, "<u4")].tolist())
         return data.decode("utf-8", "replace").removeprefix(" ")
 
     def nbest(self, texts: list[str], n: int) -> list[list[tuple[int, bytes]]]:
