@@ -297,5 +297,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(names[0]).alias("key"), F.col(names[1]).alias("row"))
     index = materialise(insert(empty_index(docs.sparkSession), keys.select("doc_id", "key"), bucket_count(keys.count())), "cuckoo")
     best = keys.join(live_keys(index), "key").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    stay = best.groupBy("key").agg(F.min("row").alias("stays"))
-    return rows.join(stay.select("stays"), F.col(names[1]) == F.col("stays"), "left_semi").drop(*names)
+    stay = best.groupBy("key").agg(F.min("row").alias("_exact_stays"))
+    return rows.join(stay.select("_exact_stays"), F.col(names[1]) == F.col("_exact_stays"), "left_semi").drop(*names)

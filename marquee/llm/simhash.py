@@ -552,7 +552,7 @@ def one_of_each_group(
     pairs = materialise(pairs.union(same.select(F.col("head").alias("u"), F.col("node").alias("v"))), "pairs")
     ends = pairs.select(F.col("u").alias("end")).union(pairs.select("v")).distinct()
     at = nodes.join(ends, F.col("node") == F.col("end"), "left_semi").select("node", F.col("first.row").alias("at"))
-    texts = rows.join(at, F.col(tag) == F.col("at")).select("node", F.col(text_col).cast("string").alias("text"))
+    texts = rows.select(tag, F.col(text_col).cast("string").alias("text")).join(at, F.col(tag) == F.col("at"))
     sets = materialise(_shingle_sets(texts, size), "sets")
     other = sets.select(F.col("set_node").alias("other_node"), F.col("shingles").alias("others"))
     both = pairs.join(sets, F.col("u") == F.col("set_node")).join(other, F.col("v") == F.col("other_node"))
