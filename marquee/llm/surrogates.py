@@ -292,7 +292,8 @@ def replace_entities(docs: DataFrame, secret: str, id_col: str = "doc_id", text_
     joined = F.array_join(
         F.zip_with(between, F.concat("new", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""
     )
-    return rows.join(materialise(placed, "placed"), same, "left").select(
+    # A broadcast of the documents with entities would fit small corpora only, so texts are always dealt out.
+    return rows.join(materialise(placed, "placed").hint("merge"), same, "left").select(
         "doc_id",
         F.when(F.col("new").isNull(), F.col("text")).otherwise(joined).alias("text"),
         F.coalesce(F.size("new"), F.lit(0)).cast("long").alias("n_entities"),
