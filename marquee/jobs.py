@@ -15,7 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans import absolute_alerts, decade_trends, relative_alerts, revenue_model, tag_ratings
-from marquee.schemas import CatalogueColumns, SupplementColumns
+from marquee.schemas import (
+    REVIEW_DATE_FORMAT,
+    REVIEW_MESSAGE,
+    REVIEW_MESSAGE_WITH_OVERALL,
+    CatalogueColumns,
+    ReviewColumns,
+    SupplementColumns,
+)
 from marquee.session import get_session
 from marquee.sources import (
     ingest_csv,
@@ -64,9 +71,15 @@ def revenue(spark: SparkSession, args: argparse.Namespace) -> None:
     supplement_columns = SupplementColumns(args.location, tuple(args.numeric))
     result = revenue_model(
         _source(spark, args),
-        scan_csv(spark, args.supplement),
+        scan_csv(spark, args.supplement, args.supplement_schema),
         _catalogue_columns(args),
         supplement_columns,
+        order_by=args.order_by,
+        vocab_size=args.vocab_size,
+        min_df=args.min_df,
+        sampling=args.sampling,
+        max_categories=args.max_categories,
+        category_slots=args.category_slots,
     )
     result.report.show()
     result.r2.show()
@@ -84,10 +97,14 @@ def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = stream_source(spark, **options)
     else:
         messages = stream_source(spark, "text", args.topic, "value string")
+    columns = dataclasses.replace(ReviewColumns(), **_pairs(args.column))
     if args.gap is None:
-        frame = absolute_alerts(messages, args.below)
+        frame = absolute_alerts(messages, args.below, args.schema or REVIEW_MESSAGE, columns, args.date_format)
     else:
-        frame = relative_alerts(messages, args.gap)
+        schema = args.schema or REVIEW_MESSAGE_WITH_OVERALL
+        frame = relative_alerts(
+            messages, args.gap, schema, columns, args.date_format, args.digits, args.first_by
+        )
     target = _target(args, args.target)
     query = low_rated_stream(
         frame, overwrite_each_batch(**target), args.checkpoint, every=None if args.once else args.every
@@ -146,6 +163,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--location", default=SupplementColumns.location)
     sub.add_argument("--numeric", nargs="+", default=list(SupplementColumns.numeric))
     sub.add_argument("--importances", required=True, help="table for the importances")
+    sub.add_argument("--supplement-schema", help="DDL of the supplement (default: inferred in one more pass)")
+    sub.add_argument("--order-by", nargs="+", help="which supplement row of a title counts: the first by these")
+    sub.add_argument("--vocab-size", type=int, help="most frequent terms to keep (default: all)")
+    sub.add_argument("--min-df", type=float, default=1.0, help="rows, or under 1 their share, that a term needs")
+    sub.add_argument("--sampling", type=float, default=0.05, help="share of texts an iteration learns from")
+    sub.add_argument("--max-categories", type=int, default=1_000_000)
+    sub.add_argument("--category-slots", type=int, help="encode categories by hash in so many slots")
 
     sub = job(alerts, "low-rating alerts over a topic, or over a folder of text files")
     target_arguments(sub)
@@ -153,6 +177,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--topic", required=True)
     sub.add_argument("--below", type=float, default=6.0, help="alert under this daily mean")
     sub.add_argument("--gap", type=float, help="alert this far under the overall rating instead")
+    sub.add_argument("--column", action="append", metavar="ROLE=NAME", help="column of a role")
+    sub.add_argument("--schema", help="DDL of a message")
+    sub.add_argument("--date-format", default=REVIEW_DATE_FORMAT)
+    sub.add_argument("--digits", type=int, help="round gaps to so many digits")
+    sub.add_argument("--first-by", help="column that says which overall rating of a day counts")
     sub.add_argument("--target", required=True)
     sub.add_argument("--checkpoint")
     sub.add_argument("--every", default="2 seconds")

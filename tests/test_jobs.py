@@ -64,3 +64,21 @@ def test_ingest(spark, tmp_path, capsys):
     target = str(tmp_path / "t")
     main(["ingest", "--csv", str(tmp_path / "a.csv"), "--target", target, "--target-format", "parquet"], spark)
     assert "Ann" in capsys.readouterr().out and spark.read.parquet(target).count() == 1
+
+
+ROLES = {"review": "id", "entity": "item", "day": "day", "rating": "stars", "overall": "all"}
+
+
+def test_alert_options(spark, tmp_path):
+    lines = [{"item": "low", "stars": 2.0, "day": "2024-06-01", "all": 8.04}, {"item": "high", "stars": 9.0, "day": "2024-06-01", "all": 8.0}]
+    topic, target = tmp_path / "topic", str(tmp_path / "alerts")
+    topic.mkdir()
+    (topic / "a.json").write_text("\n".join(json.dumps({"id": i, **line}) for i, line in enumerate(lines)))
+    main(
+        ["alerts", "--topic", str(topic), "--target", target, "--target-format", "parquet", "--once", "--gap", "6.0"]
+        + ["--schema", "id bigint, item string, stars double, day string, all double", "--date-format", "yyyy-MM-dd"]
+        + ["--digits", "1", "--first-by", "id"]
+        + sum((["--column", f"{role}={name}"] for role, name in ROLES.items()), []),
+        spark,
+    )
+    assert [r["item"] for r in spark.read.parquet(target).collect()] == ["low"]
