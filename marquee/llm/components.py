@@ -15,9 +15,8 @@ from marquee.llm.common import materialise
 
 
 def _directed(pairs: DataFrame) -> DataFrame:
-    """Distinct edges from the larger to the smaller end, without loops."""
-    ends = pairs.where(F.col("u") != F.col("v"))
-    return ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    """Edges from the larger to the smaller end, without loops."""
+    return pairs.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,9 +44,10 @@ def components(pairs: DataFrame) -> DataFrame:
     ``pairs`` has two columns of one ordered type, ``u`` and ``v``; order, repeats and loops do not matter. A
     null end makes a pair no edge. Nodes without an edge to another do not appear.
     """
-    edges = materialise(_directed(pairs), "edges")
+    edges = materialise(_directed(pairs).distinct(), "edges")
     before, now = None, _mark(edges)
     while now != before:
-        edges = materialise(_directed(_small_star(_directed(_large_star(edges)))), "edges")
+        # Repeats do not change a minimum, so they are dropped once a round only.
+        edges = materialise(_directed(_small_star(_directed(_large_star(edges)))).distinct(), "edges")
         before, now = now, _mark(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
