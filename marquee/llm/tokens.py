@@ -70,7 +70,7 @@ class WordEncoder:
         new = {key: self.old[key] for key in keys if key in self.old}
         missing = [key for key in keys if key not in new]
         self.chars += sum(map(len, missing))
-        odd = {key for key in missing if not key or _WHITE.search(key, key[0] == "\n") or key == "\n"}
+        odd = {key for key in missing if not key or key == "\n" or _WHITE.search(key.removeprefix("\n"))}
         first = [key for key in missing if key[:1] == "\n" and key not in odd]
         spaced = [key for key in missing if key[:1] != "\n" and key not in odd]
         new |= self._joined(first, [key[1:] for key in first], self.line_end)

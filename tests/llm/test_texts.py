@@ -266,8 +266,7 @@ def test_clean_texts_and_loops():
         assert secrets.find(text) == []
     # A layer that decodes to itself ends its chain.
     assert secrets.find("%25" * 50) == []
-    layer = _self_like = "a" * 40
-    assert secrets.find(layer) == [("hex", 0, 40, "")] and _self_like
+    assert secrets.find("a" * 40) == [("hex", 0, 40, "")]
     bomb = b64(gzip.compress(b" " * 30_000_000 + SECRET.encode()))
     assert [s[0] for s in secrets.find(f"x {bomb} y")] == ["assign"]
 
