@@ -29,7 +29,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10
 #: Scores at or under this mark pieces that training never made; they do not lower the score of unknown ones.
 UNTRAINED = -1_000_000_000
-HELD_CHARS = 3_000_000
+HELD_CHARS = 4_500_000
 HELD_SEARCHES = 20_000
 #: Marks that no sum of scores reaches.
 NO_PIECE, NONE, NO_SECOND = 1 << 50, -(1 << 44), 1 << 34
