@@ -1,0 +1,52 @@
+"""Near dedup against components of all pairs of a Jaccard similarity of 0.8 or more."""
+
+import random
+
+import numpy as np
+
+from marquee.llm import simhash
+from tests.llm import brute
+
+
+def stays(texts: list[str]) -> set[int]:
+    """First places of the components over all pairs."""
+    sets = [brute.shingles(t) for t in texts]
+    at = {s: i for i, s in enumerate({s for one in sets for s in one})}
+    grid = np.zeros((len(sets), len(at)), np.float32)
+    for i, one in enumerate(sets):
+        grid[i, [at[s] for s in one]] = 1
+    shared, sizes = grid @ grid.T, grid.sum(1)
+    links = np.argwhere(np.triu(shared >= 0.8 * (sizes[:, None] + sizes[None, :] - shared) - 1e-3, 1))
+    return set(brute.components(len(sets), links.tolist()))
+
+
+def kept(spark, texts: list[str]) -> set[int]:
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    return {r.doc_id for r in simhash.one_of_each_group(docs).collect()}
+
+
+def edited(rng: random.Random, words: list[str], n: int) -> list[str]:
+    out = list(words)
+    for at in rng.sample(range(len(words)), n):
+        out[at] = f"n{rng.random()}"
+    return out
+
+
+def test_large_families_around_the_threshold(spark):
+    rng, texts = random.Random(12), []
+    for size in (1500, 300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join(edited(rng, words, rng.randint(1, 5))) for _ in range(size)]
+    expected = stays(texts)
+    assert len(expected) > 20
+    assert kept(spark, texts) == expected
+
+
+def test_common_passages_do_not_hide_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 100)
+    rng, texts = random.Random(14), []
+    passage = [f"p{i}" for i in range(40)]
+    for _ in range(300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        texts += [" ".join(passage + words), " ".join(passage + edited(rng, words, rng.randint(2, 4)))]
+    assert kept(spark, texts) == stays(texts)
