@@ -32,6 +32,16 @@ def edited(rng: random.Random, words: list[str], n: int) -> list[str]:
     return out
 
 
+def test_isolated_pairs_from_the_threshold_on(spark):
+    rng, texts = random.Random(11), []
+    for _ in range(250):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        texts += [" ".join(words), " ".join(edited(rng, words, rng.randint(5, 8)))]
+    expected = stays(texts)
+    assert 300 < len(expected) < 480  # many pairs lie on either side
+    assert kept(spark, texts) == expected
+
+
 def test_large_families_around_the_threshold(spark):
     rng, texts = random.Random(12), []
     for size in (1500, 300):
