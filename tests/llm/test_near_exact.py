@@ -52,6 +52,16 @@ def test_large_families_around_the_threshold(spark):
     assert kept(spark, texts) == expected
 
 
+def test_texts_that_mostly_repeat_one_shingle(spark):
+    rng, texts = random.Random(13), []
+    for _ in range(20):
+        tail = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        texts += [" ".join(["same"] * 400 + words) for words in (tail, edited(rng, tail, 1))]
+    expected = stays(texts)
+    assert len(expected) == 20
+    assert kept(spark, texts) == expected
+
+
 def test_common_passages_do_not_hide_pairs(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 100)
     rng, texts = random.Random(14), []
