@@ -1,8 +1,8 @@
 """Secret scans through nested encodings.
 
 Three kinds of secrets are looked for in every text. Then a worklist unwraps what is encoded:
-percent-escapes and Unicode escapes of a whole layer, runs of base64, and compressed bytes found
-inside those. Each layer is scanned and unwrapped again until nothing new comes out. A layer that
+percent-escapes and Unicode escapes of a whole layer, runs of base64, also over several lines and
+from any of their characters, and compressed bytes found inside those. Each layer is scanned and unwrapped again until nothing new comes out. A layer that
 equals one it came from ends its chain, so data that unpack to themselves do not loop. Spans are
 always given in code points of the original text: escapes keep a place for every character,
 anything inside base64 stands for the whole run.
@@ -12,7 +12,6 @@ All is per document in one pass over the table: no shuffle, and a task holds a b
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -40,6 +39,10 @@ ASSIGNED, ACCESS_CHARS = 12, 18
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
+#: Lines of base64 that go on in the next line, which can be shorter.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+\r?\n[ \t]*+)+[A-Za-z0-9+/_-]+={0,2}")
+#: Where packed bytes can begin within a run: at or after a character that also separates words. Magic numbers in base64.
+PACKED = re.compile(r"(?:(?<=[+/_-])(?:H4sI|e[AFJN]|Qlpo)|[/_]Td6WFoA)")
 LONG_WORD = 16
 #: A compressed layer is read in windows of so many bytes that overlap, whatever it unpacks to.
 WINDOW_BYTES, OVERLAP_BYTES = 8 << 20, 64 << 10
@@ -131,23 +134,22 @@ def _unescape(layer: _Layer, pattern: re.Pattern, decode, name: str) -> _Layer |
     return _Layer("".join(parts), (*layer.names, name), layer.starts[first], layer.ends[last - 1], layer.ancestors)
 
 
-def _from_base64(run: str) -> bytes | None:
+def _from_base64(run: str) -> bytes:
+    """What whole groups of characters give; a last character that is alone gives nothing."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
 
 
-def _readable(data: bytes) -> str | None:
-    """UTF-8 without control characters other than white space; words that only look like base64 hardly ever are."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _decodings(run: str) -> Iterator[tuple[bytes, bool]]:
+    """Bytes of a run of base64, and whether only packed bytes count.
+
+    Base64 can begin inside a run, as in a path or behind a dash; then one of the four alignments has its bytes after others.
+    """
+    for skip in range(4):
+        yield _from_base64(run[skip:]), False
+    for m in PACKED.finditer(run, 1):
+        yield _from_base64(run[m.start() :]), True
 
 
 def _unpacker(data: bytes):
@@ -164,30 +166,43 @@ def _unpacker(data: bytes):
 
 
 def _unpacked(data: bytes, unpacker) -> Iterator[bytes]:
-    """Windows of the unpacked bytes; what is broken ends them."""
+    """Windows of the unpacked bytes, of all members in a row and what follows them; what is broken ends them."""
     held, rest = b"", data
     try:
         while True:
             made = unpacker.decompress(rest, WINDOW_BYTES)
             rest = unpacker.unconsumed_tail if hasattr(unpacker, "unconsumed_tail") else b""
-            if not made:
-                break
-            yield held + made
-            held = (held + made)[-OVERLAP_BYTES:]
+            if made:
+                yield held + made
+                held = (held + made)[-OVERLAP_BYTES:]
             if unpacker.eof:
+                rest = unpacker.unused_data
+                if not rest:
+                    break
+                if (more := _unpacker(rest)) is None:
+                    yield held + rest
+                    break
+                unpacker = more[1]
+            elif not made:
                 break
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return
 
 
-def _opened(data: bytes, names: tuple[str, ...], ancestors: tuple[bytes, ...]) -> Iterator[tuple[str, tuple[str, ...], tuple[bytes, ...]]]:
-    """Texts inside bytes: the bytes themselves, or what they unpack to, through any number of packings."""
+def _opened(
+    data: bytes, names: tuple[str, ...], ancestors: tuple[bytes, ...], packed: bool
+) -> Iterator[tuple[str, tuple[str, ...], tuple[bytes, ...]]]:
+    """Texts inside bytes: the bytes themselves (unless ``packed``) and what they unpack to, through any number of packings.
+
+    Bytes that are no UTF-8 become replacement characters; those of the patterns stay as they are.
+    """
     work = deque([(data, names, ancestors)])
     while work:
         data, names, ancestors = work.popleft()
-        if (text := _readable(data)) is not None:
-            yield text, names, ancestors
-        elif (found := _unpacker(data)) is not None and (mark := hashlib.sha256(data).digest()) not in ancestors:
+        if not packed:
+            yield data.decode("utf-8", "replace"), names, ancestors
+        packed = False
+        if (found := _unpacker(data)) is not None and (mark := hashlib.sha256(data).digest()) not in ancestors:
             name, unpacker = found
             work.extend((window, (*names, name), (*ancestors, mark)) for window in _unpacked(data, unpacker))
 
@@ -211,10 +226,10 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
             for pattern, decode, name in ((PERCENT, _percent, "url"), (ESCAPE, _escape, "unicode")):
                 if (inner := _unescape(layer, pattern, decode, name)) is not None:
                     _follow(work, inner)
-            for m in BASE64.finditer(layer.text):
-                if (data := _from_base64(m[0])) is not None:
-                    region = layer.place(m.start(), m.end())
-                    for inside, names, ancestors in _opened(data, (*layer.names, "base64"), layer.ancestors):
+            for m in (*BASE64.finditer(layer.text), *WRAPPED.finditer(layer.text)):
+                region = layer.place(m.start(), m.end())
+                for data, packed in _decodings("".join(m[0].split())):
+                    for inside, names, ancestors in _opened(data, (*layer.names, "base64"), layer.ancestors, packed):
                         _follow(work, _Layer(inside, names, *region, ancestors))
     order = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [(*span, spans[span]) for span in order]

@@ -1,0 +1,65 @@
+"""Base64 at odd places, over several lines, and with bytes that are no plain text."""
+
+import base64
+import bz2
+import gzip
+import lzma
+import random
+import zlib
+
+import pytest
+
+from marquee.llm import secrets
+
+SECRET = 'password = "abcdefghijklmnop1"'
+
+
+def b64(data: bytes | str) -> str:
+    return base64.b64encode(data.encode() if isinstance(data, str) else data).decode()
+
+
+def found(text: str) -> set[str]:
+    return {kind for kind, *_ in secrets.find(text)}
+
+
+@pytest.mark.parametrize("before", ["", "h.example/get/", "https://h.example/d/", "x-", "xy_", "abc+", "abcd/", "q="])
+@pytest.mark.parametrize("after", ["", "/tail", "-t", "?x=1"])
+def test_base64_begins_and_ends_inside_a_run(before, after):
+    body = b64("here is " + SECRET + " and more").rstrip("=")
+    text = f"see {before}{body}{after} there"
+    assert found(text) == {"assign"} and body not in secrets.mask(text)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("before", ["", "h.example/get/", "x-", "https://h.example/d/"])
+def test_packed_base64_in_paths(pack, before):
+    assert found(f"see {before}{b64(pack(SECRET.encode()))} there") == {"assign"}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("width", [60, 64, 76])
+def test_base64_over_several_lines(end, width):
+    noise = random.Random(1).randbytes(300)
+    for data in (gzip.compress(noise + SECRET.encode()), b"x" * 44 + SECRET.encode() + b"y" * 60, b"z" * 30 + SECRET.encode()):
+        body = b64(data)
+        text = "Head:\n\n" + end.join(body[i : i + width] for i in range(0, len(body), width)) + "\n\nend"
+        assert found(text) == {"assign"}
+        assert not any(body[i : i + 20] in secrets.mask(text) for i in range(len(body) - 20))
+
+
+@pytest.mark.parametrize("odd", ["\ufeff", "\u00a0", "\u200b", "\u3000", "\0", "\x1b[0m"])
+def test_odd_characters_do_not_hide_a_layer(odd):
+    assert found(f"a {b64(odd + SECRET + odd)} b") == {"assign"}
+    assert found(f"a {b64(bytes([255, 254]) + SECRET.encode() + bytes([128]))} b") == {"assign"}
+
+
+def test_what_follows_a_packed_member_is_read():
+    two = gzip.compress(b"nothing here") + gzip.compress(SECRET.encode())
+    assert found(f"a {b64(two)} b") == {"assign"}
+    assert found(f"a {b64(gzip.compress(b'nothing here') + SECRET.encode())} b") == {"assign"}
+
+
+def test_ordinary_long_words_have_no_spans():
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    assert not any(found("".join(rng.choices(letters, k=80))) for _ in range(500))
