@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: list[tempfile.TemporaryDirectory] = []
+#: Folders of saved frames, for as long as the frames are held.
+_SAVED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_RUN: ContextVar[Stages | None] = ContextVar("marquee_run", default=None)
 
 
 def get_session(app_name: str = "marquee", **conf: str) -> SparkSession:
@@ -46,15 +53,74 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
         if not _LOCAL_SCRATCH:
             _LOCAL_SCRATCH.append(tempfile.TemporaryDirectory(prefix="marquee-"))
         shared = _LOCAL_SCRATCH[0].name
-    return f"{shared.rstrip('/')}/marquee-{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/marquee-{purpose}-{uuid.uuid4().hex}"
+    if (run := _RUN.get()) is not None:
+        run.paths.add(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of any file system that Spark reads; one that is not there is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame, purpose: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a recomputation, and later
-    passes stay columnar and pruned.
+    passes stay columnar and pruned. Inside :func:`stages` the folder belongs to that run.
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    _SAVED[saved] = path
+    return saved
+
+
+class Stages:
+    """The scratch folders of one run, see :func:`stages`."""
+
+    def __init__(self, spark: SparkSession, around: Stages | None):
+        self.spark, self.around, self.paths = spark, around, set()
+
+    def keep(self, df: DataFrame, purpose: str = "kept", **options: str) -> DataFrame:
+        """``df`` in a form that outlives this run: it belongs to the run around it, or to nobody.
+
+        A frame that :func:`materialise` has returned stays as it is; any other is saved first, as it may read
+        stages that go.
+        """
+        saved = df if _SAVED.get(df) in self.paths else materialise(df, purpose, **options)
+        self.paths.discard(path := _SAVED[saved])
+        if self.around is not None:
+            self.around.paths.add(path)
+        return saved
+
+    def release(self, *frames: DataFrame) -> None:
+        """Delete the folders of saved frames that nothing reads any more; frames of others are left alone."""
+        for frame in frames:
+            if (path := _SAVED.get(frame)) in self.paths:
+                self.paths.discard(path)
+                remove_path(self.spark, path)
+
+    def end(self) -> None:
+        while self.paths:
+            remove_path(self.spark, self.paths.pop())
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[Stages]:
+    """A run that owns the scratch folders made inside it and deletes them at its end, failed or not.
+
+    What must stay is named with ``keep``, what is used up earlier can go with ``release``. Runs nest: a
+    kept frame then belongs to the outer run. Frames built inside must not be read after the end unless
+    kept, as they read folders that are gone; a saved stage has no lineage, so a lost executor never needs
+    the stages before it.
+    """
+    run = Stages(spark, _RUN.get())
+    token = _RUN.set(run)
+    try:
+        yield run
+    finally:
+        _RUN.reset(token)
+        run.end()

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from marquee.session import remove_path
 from marquee.sources.tables import write_table
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -55,17 +56,12 @@ def publish_each_batch(path: str, keep: int = 3, keep_seconds: float = 600.0) ->
         # What was replaced more than keep_seconds ago: the version after it is that old.
         for old, after in zip(versions[: max(0, len(versions) + 1 - keep)], versions[1:]):
             if after.published_at < now - keep_seconds:
-                _remove(spark, old.folder)
-                _remove(spark, f"{path}/marker/of={old.version}")
+                remove_path(spark, old.folder)
+                remove_path(spark, f"{path}/marker/of={old.version}")
 
     return write
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def _published(spark: SparkSession, path: str) -> list[Row]:
     """Markers under ``path``: one row per version that is kept."""
     try:
