@@ -17,7 +17,7 @@ WHITE = " \t\n\x0b\x0c\r"
 #: What the operators of this worker process remember from task to task, and how to let it go.
 _HELD: dict[str, Callable[[], None]] = {}
 
-__all__ = ["UPPER", "WHITE", "ascii_lower", "byte_rows", "id_and_text", "materialise", "scratch_dir", "table", "words"]
+__all__ = ["UPPER", "WHITE", "ascii_lower", "byte_rows", "id_and_text", "materialise", "scratch_dir", "table", "unused_name", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def words(text: bytes) -> list[bytes]:
     """Runs of ``[^\\x20\\x09-\\x0D]``: what ``bytes.split`` cuts at is just this white space."""
     return text.split()
@@ -57,22 +65,3 @@ def schema_of(spec: str) -> pa.Schema:
     """An Arrow schema from ``name type`` pairs as written in a Spark DDL string."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in spec.split(","))])
-
-
-def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
-    """Consecutive rows with one value of ``key``, from batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    current: object = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key).to_numpy(zero_copy_only=False)
-        starts = [0, *((values[1:] != values[:-1]).nonzero()[0] + 1).tolist(), len(values)]
-        for a, b in zip(starts, starts[1:]):
-            if held and values[a] != current:
-                yield current, pa.Table.from_batches(held)
-                held = []
-            current = values[a]
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield current, pa.Table.from_batches(held)

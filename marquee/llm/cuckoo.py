@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import byte_rows, id_and_text, materialise, schema_of
+from marquee.llm.common import byte_rows, id_and_text, materialise, schema_of, unused_name
+from marquee.session import stages
 
 SLOTS = 4
 MOST_KICKS = 200
@@ -281,21 +282,23 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs``, all columns as they are, but one row of each group of equal texts.
 
     The row with the largest id stays (nulls are the smallest); of rows that repeat it the first by an internal
-    number. Null texts equal empty ones.
+    number. Null texts equal empty ones. Working columns get names that ``docs`` does not have.
     """
-    names = "_exact_key", "_exact_row"
+    key, row, stays = (unused_name(docs, name) for name in ("_exact_key", "_exact_row", "_exact_stays"))
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pa.array([text_key(text) for text in byte_rows(batch.column(text_col))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], schema=batch.schema.append(pa.field(names[0], pa.binary())))
-
-    schema = docs.select("*", F.lit(None).cast("binary").alias(names[0])).schema
-    rows = materialise(
-        docs.mapInArrow(tag, schema).withColumn(names[1], F.monotonically_increasing_id()), "tagged", compression="zstd"
-    )
-    keys = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(names[0]).alias("key"), F.col(names[1]).alias("row"))
-    index = materialise(insert(empty_index(docs.sparkSession), keys.select("doc_id", "key"), bucket_count(keys.count())), "cuckoo")
-    best = keys.join(live_keys(index), "key").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    stay = best.groupBy("key").agg(F.min("row").alias("_exact_stays"))
-    return rows.join(stay.select("_exact_stays"), F.col(names[1]) == F.col("_exact_stays"), "left_semi").drop(*names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], schema=batch.schema.append(pa.field(key, pa.binary())))
+
+    with stages(docs.sparkSession) as run:
+        schema = docs.select("*", F.lit(None).cast("binary").alias(key)).schema
+        rows = docs.mapInArrow(tag, schema).withColumn(row, F.monotonically_increasing_id())
+        rows = materialise(rows, "tagged", compression="zstd")
+        keys = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(key).alias("key"), F.col(row).alias("row"))
+        index = materialise(insert(empty_index(docs.sparkSession), keys.select("doc_id", "key"), bucket_count(keys.count())), "cuckoo")
+        # One row per key on both sides, summed up within tasks first, so a text that a third of all rows have is no burden.
+        last = keys.groupBy("key").agg(F.max(F.struct("doc_id", (-F.col("row")).alias("back"))).alias("last"))
+        best = last.join(live_keys(index), "key").where(F.col("last.doc_id").eqNullSafe(F.col("keep_id")))
+        stay = run.keep(best.select((-F.col("last.back")).alias(stays)), "stay")
+        return run.keep(rows).join(stay, F.col(row) == F.col(stays), "left_semi").drop(key, row)

@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import byte_rows, hold, id_and_text, materialise, runs, schema_of, words
+from marquee.llm.common import byte_rows, hold, id_and_text, materialise, schema_of, unused_name, words
 from marquee.llm.components import components
+from marquee.session import stages
 
 SEED = 42
 CHUNK = 4096
@@ -95,38 +96,30 @@ def from_column(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(values), ">u8").astype(np.uint64).reshape(len(values), -1)
 
 
-def text_fingerprints(texts: list[bytes], size: int, blocks: int, with_sets: bool = False) -> list[bytes]:
-    """Fingerprints of a batch, some texts at a time so that memory stays small.
-
-    ``with_sets`` takes different shingles only and adds eight bytes: a hash of their set.
-    """
+def text_fingerprints(texts: list[bytes], size: int, blocks: int) -> list[bytes]:
+    """Fingerprints of a batch, some texts at a time so that memory stays small."""
     out: list[bytes] = []
     held: list[np.ndarray] = []
     total = 0
 
-    def made() -> list[bytes]:
-        fps = to_bytes(fingerprints(held, blocks))
-        return [fp + xxhash.xxh64_digest(h.tobytes()) for fp, h in zip(fps, held)] if with_sets else fps
-
     for text in texts:
-        hashes = shingle_hashes(text, size)
-        held.append(np.unique(hashes) if with_sets else hashes)
+        held.append(shingle_hashes(text, size))
         total += len(held[-1])
         if total > 200_000 or len(held) >= 500:
-            out += made()
+            out += to_bytes(fingerprints(held, blocks))
             held, total = [], 0
-    return out + (made() if held else [])
+    return out + (to_bytes(fingerprints(held, blocks)) if held else [])
 
 
 def with_fingerprints(
-    docs: DataFrame, text_col: str = "text", name: str = "fp", size: int = 4, blocks: int = 1, with_sets: bool = False
+    docs: DataFrame, text_col: str = "text", name: str = "fp", size: int = 4, blocks: int = 1
 ) -> DataFrame:
     """``docs`` with a binary column ``name``; a null text has the fingerprint zero."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("fingerprints", int)  # nothing of its own, but others must let go
         for batch in batches:
-            fps = text_fingerprints(byte_rows(batch.column(text_col)), size, blocks, with_sets)
+            fps = text_fingerprints(byte_rows(batch.column(text_col)), size, blocks)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(fps, pa.binary())], schema=batch.schema.append(pa.field(name, pa.binary()))
             )
@@ -488,6 +481,17 @@ def fingerprint_links(nodes: DataFrame, bits: int, radius: int, accept: int | No
     return dealt.mapInArrow(links, LINKS)
 
 
+def roots(nodes: DataFrame, radius: int, parts: int | None = None) -> DataFrame:
+    """``fp`` and ``root``, the smallest fingerprint that links of up to ``radius`` bits reach, saved.
+
+    ``nodes`` holds each fingerprint once in ``fp`` (64 bits).
+    """
+    with stages(nodes.sparkSession) as run:
+        found = components(fingerprint_links(nodes, 64, radius, parts=parts))
+        rooted = nodes.select("fp").join(found, F.col("fp") == F.col("node"), "left")
+        return run.keep(rooted.select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4, parts: int | None = None
 ) -> DataFrame:
@@ -499,209 +503,26 @@ def near_duplicates(
     """
     tagged = materialise(with_fingerprints(id_and_text(docs, id_col, text_col), "text", "fp", size).drop("text"), "fingerprints")
     nodes = materialise(tagged.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    found = components(fingerprint_links(nodes, 64, radius, parts=parts))
-    rooted = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialise(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id")
+    rooted = materialise(roots(nodes, radius, parts).join(nodes, "fp"), "leasts")
+    # Saved, so that the join meets no grouping on its way and Spark can split a root with very many fingerprints.
+    least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    of_fp = materialise(rooted.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id"), "of-fp")
     return tagged.join(of_fp, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
 
 
-# --- one document of each group ------------------------------------------------------------------------------
-
-WIDE_BLOCKS, WIDE_PARTS = 4, 16
-#: Differing bits of 256 up to which a pair that fingerprints find is looked at word by word.
-WIDE_ACCEPT = 52
-#: The same for pairs that share a shingle of their prefixes: at 0.8 they differ in 39 bits, with a deviation of 5.7.
-SHARED_ACCEPT = 84
-#: Shingles of so many sampled documents come last in the order of shingles, up to so many of them.
-SAMPLE, COMMON, MOST_COMMON = 8, 16, 1 << 20
-SETS = "set_node binary, shingles array<long>"
-#: Candidates of other components that a row gets in the first round, and how many times more in each that follows.
-NEAREST, MORE_NEAREST = 8, 8
-CROSSING = "x long, y long, more boolean"
-
-
-def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """``set_node`` and the sorted different shingle hashes of ``node`` and ``text``."""
-    schema = pa.schema([("set_node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in byte_rows(batch.column("text"))]
-            yield pa.record_batch([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
-
-    return texts.select("node", "text").mapInArrow(rows, SETS)
-
-
-def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
-    """The first of a set's sorted shingles, those of ``common`` last: sets of the similarity share one of them."""
-    n = len(shingles)
-    if len(common) and n:
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        late = common[at] == shingles
-        shingles = np.concatenate([shingles[~late], shingles[late]])
-    return shingles[: n - int(np.ceil(similarity * n - 1e-6)) + 1]
-
-
-def _emitted(texts: DataFrame, size: int, chosen) -> DataFrame:
-    """``key``, ``id``: the chosen ones of the different shingles of each text."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("fingerprints", int)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                keys = [chosen(np.unique(shingle_hashes(t, size))) for t in byte_rows(part.column("text"))]
-                if keys:
-                    ids = np.repeat(part.column("id").to_numpy(), [len(k) for k in keys])
-                    yield pa.record_batch([np.concatenate(keys).view(np.int64), ids], schema=schema_of("key long, id long"))
-
-    return texts.select("text", "id").mapInArrow(rows, "key long, id long")
-
-
-def shared_prefixes(texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``key`` and ``id`` of the prefix shingles that different sets have; ``texts`` has ``id`` and ``text``.
-
-    The order of shingles is that of their hashes, but those that many of a sample of documents have come last.
-    Any order gives all pairs; this one keeps passages that many documents hold out of most prefixes.
-    """
-    sample = _emitted(texts.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0), size, lambda shingles: shingles)
-    often = sample.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
-    found = often.orderBy(F.desc("n"), "key").limit(MOST_COMMON).select("key").toArrow().column("key")
-    common = np.sort(found.to_numpy().astype(np.int64).view(np.uint64))
-    rows = materialise(_emitted(texts, size, lambda shingles: prefix(shingles, similarity, common)), "prefixes")
-    several = rows.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    return rows.join(several.select("key"), "key", "left_semi")
-
-
-def crossing_pairs(fps: np.ndarray, labels: np.ndarray, sides: np.ndarray, accept: int, most: int) -> Iterator[tuple]:
-    """(rows, others, more) of pairs with different labels: for each row the nearest, ``most`` of them at most.
-
-    ``more`` says of every pair whether its row has others beyond those. Sides 0 and 1 meet; where all are 0,
-    all rows meet. Pairs that did not come out are of two rows that both have more.
-    """
-    if sides.any():
-        for here, there in ((0, 1), (1, 0)):
-            yield from _nearest(fps, labels, np.flatnonzero(sides == here), np.flatnonzero(sides == there), accept, most)
-    else:
-        yield from _nearest(fps, labels, np.arange(len(fps)), np.arange(len(fps)), accept, most)
-
-
-def _nearest(fps: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray, accept: int, most: int) -> Iterator[tuple]:
-    for at in range(0, len(left), 256):
-        block = left[at : at + 256]
-        far = np.zeros((len(block), len(right)), np.int16)
-        for k in range(fps.shape[1]):
-            far += np.bitwise_count(fps[block, k, None] ^ fps[None, right, k])
-        far[(far > accept) | (labels[block, None] == labels[None, right])] = 1 << 10
-        counts = (far < 1 << 10).sum(1)
-        if most < len(right) and (counts > most).any():
-            keep = np.argpartition(far, most - 1, 1)[:, :most]
-            rows = np.repeat(np.arange(len(block)), most)
-            columns = keep.reshape(-1)
-            real = far[rows, columns] < 1 << 10
-            rows, columns = rows[real], columns[real]
-        else:
-            rows, columns = np.nonzero(far < 1 << 10)
-        if len(rows):
-            yield block[rows], right[columns], counts[rows] > most
-
-
-def crossing_links(shared: DataFrame, tagged: DataFrame, accept: int, most: int) -> DataFrame:
-    """Pairs ``x``, ``y`` of ids with a key in common and different labels; ``tagged`` has ``id``, ``fp`` and ``label``.
-
-    Keys with one label give nothing. Many rows of a key are cut into slices, and all pairs of slices meet.
-    """
-    placed = materialise(shared.join(tagged, "id"), "placed")
-    kept = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-    kept = kept.where("lo <> hi").select(F.col("key").alias("of_key"), F.ceil(F.col("n") / CHUNK).cast("int").alias("slices"))
-    rows = placed.join(kept, F.col("key") == F.col("of_key"))
-    own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    rows = rows.select("key", "id", "fp", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other"))
-    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    rows = rows.select("key", "id", "fp", "label", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"))
-    dealt = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    dealt = dealt.select(F.xxhash64("key", "low", "high").alias("group"), "id", "fp", "label", "side")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, but one row of each component of :func:`near_duplicates`.
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("fingerprints", int)
-        for _, group in runs(batches, "group"):
-            ids, labels, sides = (group.column(c).to_numpy() for c in ("id", "label", "side"))
-            if (labels == labels[0]).all():
-                continue
-            fps = from_column(group.column("fp").combine_chunks())
-            for x, y, more in crossing_pairs(fps, labels, sides, accept, most):
-                yield pa.record_batch([ids[x], ids[y], more], schema=schema_of(CROSSING))
-
-    return materialise(dealt.mapInArrow(links, CROSSING).groupBy("x", "y").agg(F.max("more").alias("more")), "crossing")
-
-
-def one_of_each_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, but one row of each group of near duplicates.
-
-    Two rows are linked if their sets of ``size``-word shingles have a Jaccard similarity of at least
-    ``similarity``; rows with one set are one node. Fingerprints of 256 bits find most links cheaply. A join on
-    prefixes of the sets then gives every pair that can still join two components, so large groups of copies
-    are not compared pair by pair: a row gets its nearest candidates of other components, and more of them in
-    the next round if it has any left. Of a component the row with the smallest id stays (null ids last; of
-    several the first by an internal number). An empty table gives an empty result.
+    The row with the smallest id stays; null ids come last, and of several rows with one id the first by an
+    internal number. Null and empty texts, and texts without words, have the fingerprint zero and are one
+    group. An empty table gives an empty result. Working columns get names that ``docs`` does not have.
     """
-    tag, key = "_near_row", "_near_node"
-    rows = with_fingerprints(docs, text_col, key, size, WIDE_BLOCKS, True).withColumn(tag, F.monotonically_increasing_id())
-    rows = materialise(rows, "tagged", compression="zstd")
-    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(tag).alias("row"))
-    nodes = rows.groupBy(F.col(key).alias("node")).agg(F.min(first).alias("first"))
-    nodes = nodes.withColumn("fp", F.substring("node", 1, 8 * WIDE_BLOCKS)).withColumn("id", F.xxhash64("node"))
-    nodes = materialise(nodes, "nodes")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs ``u``, ``v`` of nodes that are similar."""
-        ends = pairs.select(F.col("u").alias("end")).union(pairs.select("v")).distinct()
-        at = nodes.join(ends, F.col("node") == F.col("end"), "left_semi").select("node", F.col("first.row").alias("at"))
-        texts = rows.select(tag, F.col(text_col).cast("string").alias("text")).join(at, F.col(tag) == F.col("at"))
-        sets = materialise(_shingle_sets(texts, size), "sets")
-        # Sixteen bits of each shingle bound what two sets share from above; few pairs need the whole sets.
-        short = F.array_distinct(F.transform("shingles", lambda h: (h.bitwiseAND(F.lit(65535)) - 32768).cast("short")))
-        small = sets.select("set_node", short.alias("short"), F.size("shingles").alias("n"))
-        small_other = small.select(F.col("set_node").alias("other_node"), F.col("short").alias("short_other"), F.col("n").alias("m"))
-        close = pairs.join(small, F.col("u") == F.col("set_node")).join(small_other, F.col("v") == F.col("other_node"))
-        bound = F.size(F.array_intersect("short", "short_other")) + F.col("n") - F.size("short")
-        close = materialise(close.where(bound * (1 + similarity) >= similarity * (F.col("n") + F.col("m")) - 1e-6).select("u", "v"), "close")
-        other = sets.select(F.col("set_node").alias("other_node"), F.col("shingles").alias("others"))
-        both = close.join(sets, F.col("u") == F.col("set_node")).join(other, F.col("v") == F.col("other_node"))
-        shared = F.size(F.array_intersect("shingles", "others"))
-        return materialise(both.where(shared >= similarity * (F.size("shingles") + F.size("others") - shared)).select("u", "v"), "links")
-
-    # Links of fingerprints are links of the first node of each.
-    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
-    found = materialise(fingerprint_links(heads, 64 * WIDE_BLOCKS, WIDE_PARTS - 1, WIDE_ACCEPT, WIDE_PARTS).distinct(), "found")
-    of_u, of_v = (heads.select(F.col("fp").alias(f"fp_{end}"), F.col("head").alias(f"head_{end}")) for end in "uv")
-    far = found.join(of_u, F.col("u") == F.col("fp_u")).join(of_v, F.col("v") == F.col("fp_v"))
-    same = nodes.select("node", "fp").join(heads, "fp").where(F.col("node") != F.col("head"))
-    pairs = far.select(F.least("head_u", "head_v").alias("u"), F.greatest("head_u", "head_v").alias("v")).distinct()
-    links = verified(materialise(pairs.union(same.select(F.col("head").alias("u"), F.col("node").alias("v"))), "pairs"))
-
-    def rooted(links: DataFrame) -> DataFrame:
-        roots = components(links).withColumnRenamed("node", "of_node")
-        return nodes.join(roots, F.col("node") == F.col("of_node"), "left").select("*", F.coalesce("root", "node").alias("of_root")).drop("of_node", "root")
-
-    texts = rows.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(key).alias("id"))
-    shared = materialise(shared_prefixes(texts, size, similarity), "shared")
-    most, more = NEAREST, True
-    while more:
-        tagged = rooted(links).select("id", "fp", F.xxhash64("of_root").alias("label"))
-        crossing = crossing_links(shared, tagged, SHARED_ACCEPT, most)
-        of_x, of_y = (nodes.select(F.col("id").alias(f"id_{end}"), F.col("node").alias(end)) for end in "uv")
-        ends = crossing.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        pairs = ends.join(of_x, F.col("x") == F.col("id_u")).join(of_y, F.col("y") == F.col("id_v")).select("u", "v")
-        # What is left to compare lies between rows that have more.
-        left = materialise(crossing.where("more").select(F.col("x").alias("id")).distinct(), "left")
-        more = bool(left.limit(1).count())
-        if more:
-            shared = materialise(shared.join(left, "id", "left_semi"), "shared")
-        links, most = links.unionByName(verified(materialise(pairs, "pairs"))), most * MORE_NEAREST
-    stay = rooted(links).groupBy(F.col("of_root")).agg(F.min("first").alias("first")).select(F.col("first.row").alias("_near_stays"))
-    return rows.join(stay, F.col(tag) == F.col("_near_stays"), "left_semi").drop(tag, key)
+    with stages(docs.sparkSession) as run:
+        fp, row, stays = (unused_name(docs, name) for name in ("_near_fp", "_near_row", "_near_stays"))
+        rows = with_fingerprints(docs, text_col, fp, size).withColumn(row, F.monotonically_increasing_id())
+        rows = materialise(rows, "tagged", compression="zstd")
+        first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+        nodes = materialise(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "nodes")
+        best = roots(nodes, radius).join(nodes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+        stay = run.keep(best.select(F.col("first.row").alias(stays)), "stay")
+        return run.keep(rows).join(stay, F.col(row) == F.col(stays), "left_semi").drop(fp, row)

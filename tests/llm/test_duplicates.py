@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import cuckoo, lines, simhash, surrogates, warc
+from marquee.llm import components as components_module
+from marquee.llm.common import materialise
 from marquee.llm.components import components
 from marquee.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
@@ -159,27 +161,64 @@ def test_thresholds_add_up_and_cost_least(spark):
         assert sum(costs[i][row, got[row, i] + 1] for i in range(3)) == pytest.approx(least)
 
 
+def brute_stays(rows):
+    """Rows (id, text) that stay: of each component of fingerprints one with the smallest id, nulls last."""
+    fps = [brute.fingerprint(text) for _, text in rows]
+    pairs = [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    groups = defaultdict(list)
+    for at, root in enumerate(brute.components(len(fps), pairs)):
+        groups[root].append(rows[at][0])
+    return Counter(min((i for i in ids if i is not None), default=None) for ids in groups.values())
+
+
 def test_near_stage_keeps_one_of_each_group(spark, hard):
     random.seed(4)
     words = [f"w{i}" for i in range(3000)]
-    rows, expected = [], set()
+    rows = []
     for group in range(30):
         text = random.choices(words, k=300)
-        expected.add(10 * group)
         for copy in range(3):
             other = list(text)
             for k in random.sample(range(300), copy):
                 other[k] = "changed"
-            rows.append((10 * group + copy, " ".join(other), "x"))
-    rows += [(1000 + i, " ".join(random.choices(words, k=80)), "y") for i in range(200)]
-    expected |= {1000 + i for i in range(200)}
-    docs = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(4)
-    kept = simhash.one_of_each_group(docs)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == expected
-    some = simhash.one_of_each_group(hard)
-    sets = {frozenset(brute.shingles(t)) for _, t in brute.hard_rows()}
-    assert some.columns == hard.columns and some.count() <= len(sets)
-    assert simhash.one_of_each_group(hard.limit(0)).count() == 0
+            rows.append((10 * group + copy, " ".join(other)))
+    rows += [(1000 + i, " ".join(random.choices(words, k=80))) for i in range(200)]
+    named = [(*r, "x", 1, None) for r in rows]
+    docs = spark.createDataFrame(named, "doc_id long, text string, node string, _near_row int, _NEAR_FP binary").repartition(4)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    expected = brute_stays(rows)
+    assert Counter(r.doc_id for r in kept.collect()) == expected and len(rows) > len(expected) >= 200
+    some = simhash.keep_one(hard)
+    assert some.columns == hard.columns and Counter(r.doc_id for r in some.collect()) == brute_stays(brute.hard_rows())
+    assert simhash.keep_one(hard.limit(0)).count() == 0
+
+
+def test_exact_stage_takes_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", 5, b"k"), (2, "A", 6, None)], "doc_id long, text string, _exact_row int, _EXACT_KEY binary")
+    assert [tuple(r) for r in cuckoo.drop_exact_duplicates(docs).collect()] == [(2, "A", 6, None)]
+
+
+def test_a_hub_with_most_edges_is_split(spark):
+    """Joins of the rounds meet a saved side, so that Spark may cut a node with very many edges."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        edges = materialise(spark.range(40_000).select((F.col("id") + 10).alias("u"), F.lit(0).cast("long").alias("v")).repartition(8, F.xxhash64("u")))
+        moved = components_module._large_star(edges)
+        summed = moved.agg(F.count("u"), F.sum(F.xxhash64("u").cast("decimal(38,0)")))
+        assert summed.first()[0] == 40_000
+        assert "skew=true" in summed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
 
 
 def test_components_of_chains_stars_and_loops(spark):
