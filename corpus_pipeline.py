@@ -13,11 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import cuckoo, packing, quality, secrets, simhash
-from marquee.llm.common import materialise, table
+from marquee.llm.common import table
+from marquee.session import stages
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose base rules and likelihood ratio pass; the model is fitted on these documents and ``labels``."""
+    """Documents whose base rules and likelihood ratio pass; the model is fitted on these documents and ``labels``.
+
+    A null or empty text has no words and goes. Every row is judged by its own text, so repeated rows and ids
+    stay or go together. An empty table stays empty.
+    """
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -27,8 +32,8 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates (Jaccard similarity of five-word shingles at least 0.8) the one with the smallest id."""
-    return simhash.one_of_each_group(docs, size=5, similarity=0.8)
+    """Of each group of documents that fingerprints of four-word shingles link at four or fewer bits, the one with the smallest id."""
+    return simhash.keep_one(docs, size=4, radius=4)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +43,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document with its ids and its place in a sequence of 1024 tokens."""
+    """A row per piece of a document with its ids and its place in a sequence of 1024 tokens.
+
+    A null text is empty and gives one piece with the end id; rows that repeat an id or text are documents of
+    their own. An empty table gives no row.
+    """
     return packing.pack_documents(docs, capacity=1024, end_id=2)
 
 
@@ -55,7 +64,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The packed rows, saved. A stage's documents are deleted once the next stage is written."""
+    with stages(spark) as whole:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            with stages(spark) as own:
+                after = own.keep(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+            whole.release(docs)
+            docs = after
+        return whole.keep(docs)
