@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import cuckoo, lines, nbest, packing, quality, records, secrets, simhash, surrogates, warc
+from marquee.llm import collocations, cuckoo, importance, lines, nbest, packing, quality, records, secrets, simhash, surrogates, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,36 @@ b AS (SELECT doc_id, string_agg(start || '+' || len, ',' ORDER BY start) AS bitm
 t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256 FROM m GROUP BY doc_id)
 SELECT t.doc_id, n_lines, n_dropped, kept_sha256, coalesce(bitmap, '') AS bitmap FROM t LEFT JOIN b ON t.doc_id = b.doc_id"""
+
+
+@_query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), most=2000, least=30, longest=4, covered=80)
+
+
+ORACLES["op12_phrase_collocations"] = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, list_slice(words, i, i + k - 1) AS ws, count(*) AS n FROM g GROUP BY ALL),
+a AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE len(ws) = 1 GROUP BY lang),
+c AS (SELECT lang, ws, n FROM f WHERE len(ws) > 1 AND n >= 30),
+j AS (SELECT lang, ws, n, unnest(range(1, len(ws))) AS cut FROM c),
+s AS (SELECT j.lang, j.ws, j.n, j.cut, l.n AS l, r.n AS r, 2000000::HUGEINT * j.n // (l.n + r.n) AS score
+  FROM j JOIN f AS l ON l.lang = j.lang AND l.ws = list_slice(j.ws, 1, cut)
+  JOIN f AS r ON r.lang = j.lang AND r.ws = list_slice(j.ws, cut + 1, len(j.ws))),
+b AS (SELECT lang, ws, n AS a, l, r, score::BIGINT AS score FROM s
+  QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, cut) = 1),
+u AS (SELECT lang, ws, n, x, unnest(range(1, len(ws) - x + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS x) WHERE len(ws) > x),
+m AS (SELECT lang, list_slice(ws, i, i + x - 1) AS ws, max(n) AS most FROM u GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN m ON m.lang = b.lang AND m.ws = b.ws WHERE most IS NULL OR 100 * most < 80 * a),
+o AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM k)
+SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, o.a DESC, phrase) AS rank, phrase, o.a, l, r, a.n, score
+FROM o JOIN a ON a.lang = o.lang QUALIFY rank <= 2000"""
+
+
+@_query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
