@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import collocations, cuckoo, importance, lines, nbest, packing, quality, records, secrets, simhash, surrogates, warc
+from marquee.llm import collocations, cuckoo, importance, lines, nbest, packing, parity, quality, records, secrets, simhash, surrogates, warc
 from marquee.llm.common import UPPER, scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,25 @@ t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_drop
 SELECT t.doc_id, n_lines, n_dropped, kept_sha256, coalesce(bitmap, '') AS bitmap FROM t LEFT JOIN b ON t.doc_id = b.doc_id"""
 
 
+@_query
+def op11_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.similar_documents(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+ORACLES["op11_parity_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM d),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS shingle FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+l AS MATERIALIZED (SELECT u, v FROM i JOIN n AS a ON a.doc_id = u JOIN n AS b ON b.doc_id = v WHERE 100 * both >= 85 * (a.n + b.n - both)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.v FROM r JOIN l ON l.u = r.reached)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 @_query
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), most=2000, least=30, longest=4, covered=80)

@@ -1,0 +1,138 @@
+"""The parity-sketch join against all pairs."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from marquee.llm import parity
+from tests.llm import brute
+
+
+def joined(rows, percent=85, size=4):
+    """(doc_id, n_shingles, component_id) over all pairs."""
+    sets = [brute.shingles(text, size) for _, text in rows]
+    holders = defaultdict(list)
+    for at, one in enumerate(sets):
+        for shingle in one:
+            holders[shingle].append(at)
+    shared = Counter((a, b) for ats in holders.values() for a in ats for b in ats if a < b)
+    links = [p for p, both in shared.items() if 100 * both >= percent * (len(sets[p[0]]) + len(sets[p[1]]) - both)]
+    roots = brute.components(len(rows), links)
+    least = defaultdict(list)
+    for at, root in enumerate(roots):
+        least[root].append(rows[at][0])
+    smallest = {root: min((i for i in ids if i is not None), default=None) for root, ids in least.items()}
+    return Counter((rows[at][0], len(sets[at]), smallest[root]) for at, root in enumerate(roots))
+
+
+def got(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return Counter(map(tuple, parity.similar_documents(docs, **options).collect()))
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for at in rng.sample(range(len(words)), min(n, len(words))):
+        out[at] = f"n{rng.random()}"
+    return out
+
+
+@pytest.mark.parametrize("percent", [85, 60, 97])
+def test_bands_hold_every_similar_pair(percent):
+    for n in range(1, 3000):
+        for m in {n, (n + parity.partner(n, percent)) // 2, parity.partner(n, percent)}:
+            assert set(parity.bands(n, percent)) & set(parity.bands(m, percent))
+    assert all(len(parity.bands(n, percent)) <= 1 + 1 / (1 - np.log2(100 / percent)) for n in range(1, 3000))
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_similar_sets_share_a_key(percent):
+    """Pairs as far apart as the threshold lets them be, of every small size and of some large ones."""
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 120), 500, 3000, 20_000]:
+        for _ in range(6 if n < 1000 else 2):
+            whole = rng.integers(0, 1 << 64, 2 * n + 2, np.uint64)
+            for gone in range(n + 1) if n < 40 else [most_gone(n, percent)]:
+                a, b = np.unique(whole[:n]), np.unique(whole[gone : n + rng.integers(0, gone + 1)])
+                if len(b) and parity.similar(a, b, percent):
+                    assert set(parity.block_keys(a, percent).tolist()) & set(parity.block_keys(b, percent).tolist())
+
+
+def most_gone(n, percent):
+    return max(g for g in range(n) if 100 * (n - g) >= percent * (n + g))
+
+
+def test_distance_of_sketches_bounds_the_difference_from_below():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 300, 5000, 40_000):
+        whole = rng.integers(0, 1 << 64, 2 * n, np.uint64)
+        a, b = np.unique(whole[:n]), np.unique(whole[n // 3 : n + n // 5])
+        x, y = parity.sketch(a), parity.sketch(b)
+        width = min(len(x), len(y)) // 8
+        far = int(np.bitwise_count(parity.folded(x, width) ^ parity.folded(y, width)).sum())
+        apart = len(np.setxor1d(a, b))
+        assert 0.7 * apart - 1 <= far <= apart and (far - apart) % 2 == 0
+
+
+def test_isolated_pairs_near_the_threshold(spark):
+    rng, rows = random.Random(1), []
+    for i in range(200):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([5, 8, 20, 90, 400]))]
+        n = round(len(words) * 0.02)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited(rng, words, rng.randint(max(0, n - 1), n + 1))))]
+    expected = joined(rows)
+    assert 220 < len({c for _, _, c in expected}) < 390  # many pairs lie on either side
+    assert got(spark, rows) == expected
+
+
+def test_family_below_the_threshold_is_not_verified_pair_by_pair(spark, monkeypatch):
+    """300 texts at a similarity of 0.53 to 0.70 meet, but their sketches rule every link out."""
+    rng, verified = random.Random(2), []
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(edited(rng, words, rng.randint(6, 9)))) for i in range(300)]
+    plain = parity.materialise
+    monkeypatch.setattr(parity, "materialise", lambda df, purpose="stage", **o: count(plain(df, purpose, **o), purpose))
+
+    def count(df, purpose):
+        if purpose == "verified":
+            verified.append(df.count())
+        return df
+
+    assert got(spark, rows) == joined(rows)
+    assert sum(verified) <= 1200 and len(verified) == parity.STAR_ROUNDS + 1
+
+
+def test_large_families_around_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(parity, "CHUNK", 100)
+    monkeypatch.setattr(parity, "HEAVY", 3)
+    rng, rows = random.Random(3), []
+    for size in (700, 150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows += [(len(rows) + i, " ".join(edited(rng, words, rng.randint(0, 4)))) for i in range(size)]
+    rows += [(10_000 + i, rows[0][1]) for i in range(300)]
+    expected = joined(rows)
+    assert len({c for _, _, c in expected}) > 20
+    assert got(spark, rows) == expected
+
+
+def test_common_passages_do_not_hide_pairs(spark):
+    rng, rows = random.Random(4), []
+    passage = [f"p{i}" for i in range(60)]
+    for i in range(200):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        rows += [(2 * i, " ".join(passage + words)), (2 * i + 1, " ".join(edited(rng, passage, rng.randint(0, 2)) + words))]
+    assert got(spark, rows) == joined(rows)
+
+
+def test_hard_rows(spark):
+    rows = brute.hard_rows()
+    docs = brute.hard_docs(spark).selectExpr("*", "1 AS node", "'x' AS sketch", "2 AS n")
+    found = parity.similar_documents(docs)
+    assert found.columns == ["doc_id", "n_shingles", "component_id"]
+    # A set of no shingles is linked with nothing, whatever the other rows are.
+    own = Counter({(i, n, c if n else i): k for (i, n, c), k in joined(rows).items()})
+    assert Counter(map(tuple, found.collect())) == own
+    assert parity.similar_documents(docs.limit(0)).count() == 0
+    assert parity.similar_documents(docs.where("text is null")).count() == 1
