@@ -301,4 +301,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         last = keys.groupBy("key").agg(F.max(F.struct("doc_id", (-F.col("row")).alias("back"))).alias("last"))
         best = last.join(live_keys(index), "key").where(F.col("last.doc_id").eqNullSafe(F.col("keep_id")))
         stay = run.keep(best.select((-F.col("last.back")).alias(stays)), "stay")
-        return run.keep(rows).join(stay, F.col(row) == F.col(stays), "left_semi").drop(key, row)
+        # Small corpora run the plan of large ones.
+        return run.keep(rows).join(stay.hint("merge"), F.col(row) == F.col(stays), "left_semi").drop(key, row)

@@ -525,4 +525,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
         nodes = materialise(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "nodes")
         best = roots(nodes, radius).join(nodes, "fp").groupBy("root").agg(F.min("first").alias("first"))
         stay = run.keep(best.select(F.col("first.row").alias(stays)), "stay")
-        return run.keep(rows).join(stay, F.col(row) == F.col(stays), "left_semi").drop(fp, row)
+        # Small corpora run the plan of large ones.
+        return run.keep(rows).join(stay.hint("merge"), F.col(row) == F.col(stays), "left_semi").drop(fp, row)
