@@ -30,6 +30,7 @@ from marquee.operators.reshape import (
 )
 from marquee.operators.stats import agg_distinct, agg_first, agg_mean, agg_stddev, daily_average
 from marquee.operators.text import (
+    counted_terms,
     fit_topics,
     fit_vocabulary,
     remove_stopwords,
@@ -57,6 +58,7 @@ __all__ = [
     "drop_missing",
     "enrich_left",
     "explode_tags",
+    "counted_terms",
     "feature_importance",
     "fill_missing",
     "fit_regressor",

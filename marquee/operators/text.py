@@ -7,12 +7,13 @@ from typing import Any
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.operators.ranks import ranks
-from marquee.session import materialise, scratch_dir
+from marquee.operators.reshape import measured_bytes
+from marquee.session import materialise, scratch_dir, stages
 
 
 def tokenize(df: DataFrame, column: str, output: str) -> DataFrame:
@@ -41,25 +42,46 @@ def term_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def counted_terms(words: str | Column) -> Column:
+    """The different words of an array in text order with their counts: an array of ``term`` and ``n``.
+
+    Counting stays within the row: the words are sorted, and a run's count is the distance to the next run's
+    start, in time linear in the number of words but for the sort. NULL words are not counted, and NULL has none.
+    """
+
+    def counted(of_row: Column) -> Column:
+        first = F.when(F.size(of_row) > 0, F.sequence(F.lit(0), F.size(of_row) - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(first, lambda i: (i == 0) | (F.get(of_row, i) != F.get(of_row, i - 1)))
+        ends = lambda at: F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(F.size(of_row)))
+        run = lambda start, end: F.struct(F.get(of_row, start).alias("term"), (end - start).cast("bigint").alias("n"))
+        # An array of one element binds a value to a name, so that it is computed once a row.
+        pairs = F.transform(F.array(starts), lambda at: F.zip_with(at, ends(at), run))
+        return F.filter(F.get(pairs, F.lit(0)), lambda pair: pair["term"].isNotNull())
+
+    column = F.col(words) if isinstance(words, str) else words
+    return F.get(F.transform(F.array(F.sort_array(F.array_compact(column))), counted), F.lit(0))
+
+
+def _counted(df: DataFrame, column: str) -> Column:
+    """Counted terms of a column of words, or the column itself if it holds them already."""
+    element = df.schema[column].dataType.elementType
+    return F.col(column) if isinstance(element, T.StructType) else counted_terms(column)
+
+
 def fit_vocabulary(
     df: DataFrame, column: str, vocab_size: int | None = None, min_df: float = 1.0
 ) -> DataFrame:
     """``term``, its occurrences ``n``, the rows ``df`` that have it, and its ``slot``: most frequent
     first, ties in text order, from 0. All terms, unless the caller sets one of the limits.
 
-    ``min_df`` is the number of rows a term must occur in, or, under 1, their share; ``vocab_size``
-    keeps the first so many. One grouping by term; the vocabulary never leaves the cluster. Runs jobs,
-    as the ranked terms are saved.
+    ``column`` holds words, or what :func:`counted_terms` makes of them. ``min_df`` is the number of rows a
+    term must occur in, or, under 1, their share; ``vocab_size`` keeps the first so many. One grouping by
+    term; the vocabulary never leaves the cluster. Runs jobs, as the ranked terms are saved.
     """
-    words, different = F.col(column), F.array_distinct(column)
-    marked = F.concat(
-        F.transform(words, lambda term: F.struct(term.alias("term"), F.lit(0).alias("row"))),
-        F.transform(different, lambda term: F.struct(term.alias("term"), F.lit(1).alias("row"))),
-    )
     counts = (
-        df.select(F.explode(marked).alias("t"))
+        df.select(F.explode(_counted(df, column)).alias("t"))
         .groupBy("t.term")
-        .agg(F.sum(1 - F.col("t.row")).alias("n"), F.sum("t.row").alias("df"))
+        .agg(F.sum("t.n").alias("n"), F.count(F.lit(1)).alias("df"))
     )
     if min_df > 1:
         counts = counts.where(F.col("df") >= min_df)
@@ -69,29 +91,61 @@ def fit_vocabulary(
     return ranked if vocab_size is None else ranked.where(F.col("slot") < vocab_size)
 
 
-def term_vectors(df: DataFrame, column: str, output: str, vocabulary: DataFrame) -> DataFrame:
+def _head(vocabulary: DataFrame, size: int, most_bytes: int) -> int:
+    """How many of the first slots may be broadcast: a quarter less and less until they are small enough."""
+    head = min(size, max(1, most_bytes // 64))
+    while head and measured_bytes(vocabulary.where(F.col("slot") < head).select("term", "slot")) > most_bytes:
+        head //= 4
+    return head
+
+
+def term_vectors(
+    df: DataFrame,
+    column: str,
+    output: str,
+    vocabulary: DataFrame,
+    row_id: str | None = None,
+    keep_words: bool = True,
+    broadcast_bytes: int = 64 << 20,
+) -> DataFrame:
     """Add sparse count vectors over a :func:`fit_vocabulary`; other terms are not counted.
 
-    Rows are numbered and saved, their terms counted and joined with the vocabulary's slots, and the
-    vectors saved in the form in which Spark stores them. A row without a term of the vocabulary, or
-    with NULL for words, has a vector without entries.
+    ``column`` holds words, or what :func:`counted_terms` makes of them. Terms are counted within their row.
+    The first slots, which most words fall on, are measured and broadcast, as many as ``broadcast_bytes``
+    hold; only rarer terms are shuffled to their slots, so no frequent term is a hot key. Entries then go to
+    their row, without the words if these are not kept. A row without a term of the vocabulary, or with NULL
+    for words, has a vector without entries.
+
+    Rows are numbered and saved first, unless ``row_id`` names a column that tells them apart in a frame that
+    reads the same every time. The vectors are saved in the form in which Spark stores them; slots left at 0
+    broadcast bytes are all shuffled.
     """
     spark = df.sparkSession
-    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "words")
-    size = vocabulary.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).cast("int").alias("n")).scalar()
-    each = rows.select("_row", F.explode(column).alias("_term")).groupBy("_row", "_term").agg(F.count(F.lit(1)).alias("_n"))
-    slots = vocabulary.select(F.col("term").alias("_term"), F.col("slot").cast("int").alias("_slot"))
-    entries = each.join(slots, "_term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_slot", "_n"))).alias("_e"))
-    vector = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        size.alias("size"),
-        F.coalesce(F.col("_e._slot"), F.array().cast("array<int>")).alias("indices"),
-        F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")).alias("values"),
-    )
-    path = scratch_dir(spark, "vectors")
-    rows.join(entries, "_row", "left").select(*df.columns, vector.alias(output)).write.parquet(path)
-    kept = [field for field in df.schema.fields if field.name != output]
-    return spark.read.schema(T.StructType([*kept, T.StructField(output, VectorUDT())])).parquet(path)
+    with stages(spark) as run:
+        row, terms = row_id or "_row", "_counted"
+        numbered = df if row_id else df.withColumn(row, F.monotonically_increasing_id())
+        numbered = numbered.withColumn(terms, _counted(df, column))
+        rows = numbered if row_id else materialise(numbered if keep_words else numbered.drop(column), "counted")
+        size = vocabulary.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).cast("int").alias("n")).first()["n"]
+        head = _head(vocabulary, size, broadcast_bytes)
+        each = rows.select(F.col(row).alias("_of"), F.inline(terms).alias("_term", "_n"))
+        slots = vocabulary.select(F.col("term").alias("_term"), F.col("slot").cast("int").alias("_slot"))
+        found = each.join(F.broadcast(slots.where(F.col("_slot") < head)), "_term")
+        if head < size:
+            found = found.unionByName(each.join(slots.where(F.col("_slot") >= head), "_term"))
+        entries = found.groupBy("_of").agg(F.sort_array(F.collect_list(F.struct("_slot", "_n"))).alias("_e"))
+        vector = F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            F.lit(size).alias("size"),
+            F.coalesce(F.col("_e._slot"), F.array().cast("array<int>")).alias("indices"),
+            F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")).alias("values"),
+        )
+        wanted = [c for c in df.columns if c != output and (keep_words or c != column)]
+        path = scratch_dir(spark, "vectors")
+        joined = rows.drop(terms).join(entries, F.col(row) == F.col("_of"), "left")
+        joined.select(*wanted, vector.alias(output)).write.parquet(path)
+        kept = [field for field in df.schema.fields if field.name in wanted]
+        return run.keep_path(path, T.StructType([*kept, T.StructField(output, VectorUDT())]))
 
 
 def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:

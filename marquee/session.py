@@ -10,6 +10,7 @@ from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _LOCAL_SCRATCH: list[tempfile.TemporaryDirectory] = []
 #: Folders of saved frames, for as long as the frames are held.
@@ -91,10 +92,20 @@ class Stages:
         stages that go.
         """
         saved = df if _SAVED.get(df) in self.paths else materialise(df, purpose, **options)
-        self.paths.discard(path := _SAVED[saved])
+        self._hand_over(_SAVED[saved])
+        return saved
+
+    def keep_path(self, path: str, schema: StructType) -> DataFrame:
+        """The same for Parquet files that were written to ``path``, to be read with ``schema``."""
+        saved = self.spark.read.schema(schema).parquet(path)
+        _SAVED[saved] = path
+        self._hand_over(path)
+        return saved
+
+    def _hand_over(self, path: str) -> None:
+        self.paths.discard(path)
         if self.around is not None:
             self.around.paths.add(path)
-        return saved
 
     def release(self, *frames: DataFrame) -> None:
         """Delete the folders of saved frames that nothing reads any more; frames of others are left alone."""

@@ -27,6 +27,7 @@ from marquee.operators import (
     agg_stddev,
     assemble_features,
     cleaning_report,
+    counted_terms,
     daily_average,
     dedup_by_key,
     dedup_rows,
@@ -63,7 +64,7 @@ from marquee.plans import (
     tag_ratings,
 )
 from marquee.schemas import CatalogueColumns, ReviewColumns, SupplementColumns
-from marquee.session import materialise, scratch_dir
+from marquee.session import materialise, scratch_dir, stages
 from marquee.sources import (
     decode_messages,
     ingest_csv,
@@ -673,8 +674,14 @@ ENTRIES_SQL = f"""{FILTERED_SQL}, entries AS (
 
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = materialise(filtered_words_of(spark, sf_dir), "words")
-    return term_vectors(words, "words", "counts", fit_vocabulary(words, "words")).drop("words")
+    """Each text is counted once; the vocabulary and the vectors are made from the saved counts."""
+    counted = filtered_words_of(spark, sf_dir).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", counted_terms("words").alias("terms")
+    )
+    with stages(spark) as run:
+        terms = materialise(counted, "counted")
+        vectors = term_vectors(terms, "terms", "counts", fit_vocabulary(terms, "terms"), "row", keep_words=False)
+        return run.keep(vectors).drop("row")
 
 
 @query("fit_vocabulary", f"WITH {ENTRIES_SQL} SELECT term, n, df, slot FROM vocabulary")

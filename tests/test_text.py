@@ -1,4 +1,6 @@
+import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -6,6 +8,7 @@ from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from marquee.operators import (
+    counted_terms,
     fit_vocabulary,
     fit_topics,
     remove_stopwords,
@@ -15,6 +18,7 @@ from marquee.operators import (
     topic_mixture,
     vector_entries,
 )
+from marquee.session import materialise
 from marquee.workload import ENGLISH_STOP_WORDS
 
 
@@ -88,6 +92,44 @@ def test_vectors_of_null_words_and_other_terms(spark):
     assert got == {1: SparseVector(3, {}), 2: SparseVector(3, {0: 1.0})}
 
 
+def test_counted_terms(spark):
+    rows = [["b", "a", "b", "", "c", "b"], [], None, [None, "x", None, "x"], ["é", "e", "É", "é"], ["z"]]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, w array<string>")
+    got = {r.i: [tuple(x) for x in r.t] for r in df.select("i", counted_terms("w").alias("t")).collect()}
+    expected = {i: sorted(Counter(x for x in w or [] if x is not None).items(), key=lambda p: p[0].encode()) for i, w in enumerate(rows)}
+    assert got == expected
+
+
+def test_counting_is_linear_in_the_length_of_a_text(spark):
+    df = spark.range(2).select(F.transform(F.sequence(F.lit(0), F.lit(400_000)), lambda k: F.concat(F.lit("w"), k % 50_000)).alias("w"))
+    one = df.select(F.explode(counted_terms("w")).alias("t")).agg(F.count("t"), F.sum("t.n"), F.max("t.n")).first()
+    assert tuple(one) == (100_000, 800_002, 9)
+
+
+@pytest.mark.parametrize("most", [0, 64 * 3, 1 << 20])
+@pytest.mark.parametrize("counted", [False, True])
+def test_head_and_tail_of_the_vocabulary_give_one_vector(spark, most, counted):
+    rng = random.Random(9)
+    rows = [[f"t{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.randint(0, 50))] for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(rows)), "i long, w array<string>").repartition(5)
+    vocabulary = fit_vocabulary(df, "w")
+    slots = {r.term: r.slot for r in vocabulary.collect()}
+    df = materialise(df.withColumn("w", counted_terms("w"))) if counted else df
+    vectors = term_vectors(df, "w", "v", vocabulary, "i" if counted else None, keep_words=not counted, broadcast_bytes=most)
+    assert vectors.columns == (["i", "v"] if counted else ["i", "w", "v"])
+    got = {r.i: r.v for r in vectors.collect()}
+    assert got == {i: SparseVector(len(slots), {slots[t]: float(n) for t, n in Counter(w).items()}) for i, w in enumerate(rows)}
+
+
+def test_vectors_shuffle_entries_by_row_only_if_the_head_is_everything(spark):
+    df = materialise(words(spark).withColumn("w", counted_terms("w")))
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+    vectors = term_vectors(df, "w", "v", fit_vocabulary(df, "w"), "i", keep_words=False)
+    # What is left is the vectors and the ranked vocabulary.
+    assert len(set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir()) - before) == 2
+    assert vectors.count() == 4
+
+
 def test_vocabulary_has_every_term(spark):
     # More terms than a default CountVectorizer would keep.
     n = 270_000
