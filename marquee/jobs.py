@@ -77,9 +77,9 @@ def revenue(spark: SparkSession, args: argparse.Namespace) -> None:
         order_by=args.order_by,
         vocab_size=args.vocab_size,
         min_df=args.min_df,
-        sampling=args.sampling,
         max_categories=args.max_categories,
         category_slots=args.category_slots,
+        encode=args.encode,
     )
     result.report.show()
     result.r2.show()
@@ -167,8 +167,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--order-by", nargs="+", help="which supplement row of a title counts: the first by these")
     sub.add_argument("--vocab-size", type=int, help="most frequent terms to keep (default: all)")
     sub.add_argument("--min-df", type=float, default=1.0, help="rows, or under 1 their share, that a term needs")
-    sub.add_argument("--sampling", type=float, default=0.05, help="share of texts an iteration learns from")
-    sub.add_argument("--max-categories", type=int, default=1_000_000)
+    sub.add_argument("--max-categories", type=int, default=100_000, help="refuse one-hot columns with more")
+    sub.add_argument("--encode", choices=["one_hot", "label_means"], default="one_hot", help="how categories become inputs")
     sub.add_argument("--category-slots", type=int, help="encode categories by hash in so many slots")
 
     sub = job(alerts, "low-rating alerts over a topic, or over a folder of text files")

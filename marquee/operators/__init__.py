@@ -1,6 +1,8 @@
 from marquee.operators.alerts import low_rated_absolute, low_rated_relative
 from marquee.operators.cleaning import cleaning_report, drop_missing, fill_missing
 from marquee.operators.features import (
+    CategoryMeans,
+    encode_by_label,
     assemble_features,
     assembler,
     category_ranks,
@@ -41,7 +43,15 @@ from marquee.operators.text import (
     vector_entries,
 )
 
+from marquee.operators.topics import TopicTable, fit_topic_table, topic_shares, topic_terms
+
 __all__ = [
+    "CategoryMeans",
+    "TopicTable",
+    "encode_by_label",
+    "fit_topic_table",
+    "topic_shares",
+    "topic_terms",
     "agg_distinct",
     "agg_first",
     "agg_mean",

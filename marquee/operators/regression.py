@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.operators.features import assembler, category_stages, check_category_bound, hashed_categories
+from marquee.operators.features import assembler, category_stages, check_category_bound, encode_by_label, hashed_categories
+from marquee.session import materialise
 
 _SPLIT_STEPS = 1_000_000
 
@@ -44,8 +45,10 @@ def fit_regressor(
     trees: int = 50,
     depth: int = 10,
     seed: int = 42,
-    max_categories: int = 1_000_000,
+    max_categories: int = 100_000,
     category_slots: int | None = None,
+    encode: str = "one_hot",
+    fold_by: list[str] | None = None,
     **params: Any,
 ) -> PipelineModel:
     """Fit category encoding, assembly and a random forest as one pipeline.
@@ -53,20 +56,29 @@ def fit_regressor(
     ``categories`` maps category columns to the vector columns made from them. Inputs are assembled
     in the order numeric, categories, vectors. Rows with a missing input or label take no part.
 
-    A category column with more than ``max_categories`` values is refused; with ``category_slots`` every
-    column is encoded by hash in so many slots, whatever its number of values.
+    Categories are one-hot by default. A column with more than ``max_categories`` values is refused, as the
+    forest holds a bin for every slot and row; with ``category_slots`` every column is encoded by hash in so
+    many slots. ``encode="label_means"`` makes any number of categories one column, see
+    :func:`encode_by_label` (``fold_by`` names the columns that set a row's fold), and drops no row for them.
     """
+    if encode not in ("one_hot", "label_means"):
+        raise ValueError("encode must be 'one_hot' or 'label_means'")
     categories = categories or {}
+    forest = RandomForestRegressor(
+        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, **params
+    )
     inputs = [*numeric, *categories.values(), *(vectors or [])]
     stages = []
     if categories and category_slots is not None:
         stages = hashed_categories(categories, category_slots)
-    elif categories:
+    elif categories and encode == "one_hot":
         check_category_bound(df, list(categories), max_categories)
         stages = category_stages(categories)
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, **params
-    )
+    if categories and encode == "label_means":
+        known, means = encode_by_label(df.dropna(subset=[label]), categories, label, fold_by=fold_by)
+        joined = materialise(known.select(*inputs, label), "encoded")
+        fitted = Pipeline(stages=[assembler(inputs), forest]).fit(joined)
+        return PipelineModel([means, *fitted.stages])
     return Pipeline(stages=[*stages, assembler(inputs), forest]).fit(df.dropna(subset=[label]))
 
 

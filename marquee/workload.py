@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import (
@@ -37,7 +38,8 @@ from marquee.operators import (
     feature_importance,
     fill_missing,
     fit_regressor,
-    fit_topics,
+    encode_by_label,
+    fit_topic_table,
     fit_vocabulary,
     index_category,
     low_rated_absolute,
@@ -51,7 +53,7 @@ from marquee.operators import (
     term_vectors,
     tokenize,
     top_n,
-    topic_mixture,
+    topic_shares,
     vector_entries,
 )
 from marquee.plans import (
@@ -708,9 +710,14 @@ def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = document_vectors(spark, sf_dir)
-    mixed = topic_mixture(vectors, fit_topics(vectors, "counts", sampling=1.0), "mixture")
-    return mixed.select("doc_id", vector_to_array("mixture").alias("share"))
+    with stages(spark) as run:
+        vectors = document_vectors(spark, sf_dir)
+        rows = vectors.withColumn("row", F.monotonically_increasing_id())
+        saved = materialise(rows, "numbered")
+        terms = saved.select(F.coalesce(F.max(F.unwrap_udt("counts").getField("size")), F.lit(0))).first()[0]
+        model = fit_topic_table(saved, "counts", terms, "row")
+        mixed = topic_shares(saved, model, "counts", "row", "mixture")
+        return run.keep(mixed.select("doc_id", vector_to_array("mixture").alias("share")), "mixtures")
 
 
 @query(
@@ -818,22 +825,74 @@ def _fit_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def importance_form(importances: DataFrame) -> DataFrame:
-    """One row per input, with what must hold of its importance and of their sum."""
+def importance_form(importances: DataFrame, model: PipelineModel) -> DataFrame:
+    """One row per input with its place among the model's inputs, and what must hold of its importance and of their sum."""
     total = importances.agg(F.round(F.sum("Importance"), 6)).scalar()
+    inputs = F.array(*[F.lit(name) for name in model.stages[-2].getInputCols()])
     return importances.select(
-        "Feature", F.col("Importance").between(0.0, 1.0).alias("is_share"), total.alias("total")
+        "Feature",
+        (F.array_position(inputs, F.col("Feature")) - 1).alias("place"),
+        F.col("Importance").between(0.0, 1.0).alias("is_share"),
+        total.alias("total"),
     )
 
 
+def rows_used(model: PipelineModel, rows: DataFrame, label: str) -> Column:
+    """How many rows the forest was given: those that the model's own stages before it do not drop."""
+    before = PipelineModel(model.stages[:-1]).transform(rows.dropna(subset=[label]))
+    return before.agg(F.count(F.lit(1))).scalar()
+
+
 @query(
     "feature_importance",
-    """SELECT unnest(['p_size', 'l_quantity', 'l_extendedprice', 'brand_vector', 'type_vector']) AS "Feature",
-              true AS is_share, 1.0::DOUBLE AS total""",
+    f"""WITH {LINE_SUPPLEMENT_SQL}, inputs AS (
+            SELECT ['p_size', 'l_quantity', 'l_extendedprice', 'brand_vector', 'type_vector'] AS names)
+        SELECT unnest(names) AS "Feature", unnest(range(len(names))) AS place, true AS is_share, 1.0::DOUBLE AS total,
+               (SELECT count(*) FROM part JOIN supplement ON p_partkey = l_partkey) AS fitted_rows
+        FROM inputs""",
 )
 def _feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(part_features(spark, sf_dir))
-    return importance_form(feature_importance(fit_regressor(rows, **PART_INPUTS), rows))
+    model = fit_regressor(rows, **PART_INPUTS)
+    form = importance_form(feature_importance(model, rows), model)
+    return form.withColumn("fitted_rows", rows_used(model, rows, "p_retailprice"))
+
+
+@query(
+    "encode_by_label",
+    f"""WITH rows AS (
+            SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS y,
+                   ('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT % 10 AS fold FROM lineitem),
+        m AS (SELECT avg(y) AS prior FROM rows),
+        a AS (SELECT l_partkey, sum(y) AS s, count(*) AS c FROM rows GROUP BY 1),
+        f AS (SELECT l_partkey, fold, sum(y) AS s, count(*) AS c FROM rows GROUP BY 1, 2)
+        SELECT l_orderkey, l_linenumber, round((a.s - f.s + 10 * prior) / (a.c - f.c + 10), 4) AS from_others,
+               round((a.s + 10 * prior) / (a.c + 10), 4) AS from_all
+        FROM rows JOIN a USING (l_partkey) JOIN f USING (l_partkey, fold), m""",
+)
+def _encode_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category with a value per part: one number from the rows of other folds, one from all rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    keys = ["l_orderkey", "l_linenumber"]
+    known, means = encode_by_label(lines, {"l_partkey": "from_others"}, "l_extendedprice", fold_by=keys)
+    means.columns = {"l_partkey": "from_all"}
+    return rounded(means.transform(known), 4, "from_others", "from_all").select(*keys, "from_others", "from_all")
+
+
+@query(
+    "fit_regressor_label_means",
+    """SELECT count(*) AS fitted_rows, CAST(2 AS INT) AS n_slots, true AS better_than_mean FROM lineitem""",
+)
+def _fit_regressor_label_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many categories as parts in one column, and every line takes part."""
+    lines = materialise(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    inputs = {"label": "l_extendedprice", "numeric": ["l_quantity"], "categories": {"l_partkey": "part_mean"}}
+    model = fit_regressor(lines, **inputs, trees=10, encode="label_means", fold_by=["l_orderkey", "l_linenumber"])
+    fitted = materialise(predict(model, lines).select("l_extendedprice", "prediction"))
+    score = r2_score(fitted, "l_extendedprice").select((F.col("r2") > 0).alias("better_than_mean"))
+    return fitted.agg(F.count(F.lit(1)).alias("fitted_rows")).select(
+        "fitted_rows", F.lit(model.stages[-1].numFeatures).alias("n_slots"), score.scalar().alias("better_than_mean")
+    )
 
 
 @query("split_train_test", f"SELECT p_partkey, {HELD_OUT_SQL} AS held_out FROM part")
@@ -919,19 +978,30 @@ def _revenue_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "revenue_model",
-    """SELECT unnest(['Rating', 'Runtime', 'quality', 'toxic', 'lang_Encoded', 'source_Encoded', 'grade_Encoded',
-                      'topicDistribution']) AS "Feature",
-              true AS is_share, 1.0::DOUBLE AS total""",
+    DOCUMENT_ROWS_SQL
+    + """, matched AS (
+            SELECT ('0x' || substr(md5('42|' || k.doc_id), 1, 8))::BIGINT % 1000000 >= 800000 AS held_out
+            FROM kept k JOIN labels l ON k.doc_id = l.doc_id),
+        inputs AS (SELECT ['Rating', 'Runtime', 'quality', 'toxic', 'lang_Encoded', 'source_Encoded', 'grade_Encoded',
+                           'topicDistribution'] AS names)
+        SELECT unnest(names) AS "Feature", unnest(range(len(names))) AS place, true AS is_share, 1.0::DOUBLE AS total,
+               (SELECT count(*) FROM kept) AS joined_rows,
+               (SELECT count(*) FROM matched WHERE NOT held_out) AS fitted_rows,
+               (SELECT count(*) FROM matched WHERE held_out) AS held_out_rows
+        FROM inputs""",
 )
 def _revenue_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the model's own frames beside the importances' form."""
     model = revenue_model(
-        document_catalogue(spark, sf_dir),
-        label_supplement(spark, sf_dir),
-        DOCUMENTS,
-        DOCUMENT_LABELS,
-        sampling=1.0,
+        document_catalogue(spark, sf_dir), label_supplement(spark, sf_dir), DOCUMENTS, DOCUMENT_LABELS, split_by=["doc_id"]
+    )
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return importance_form(model.importances, model.regressor).select(
+        "*",
+        rows(model.joined).alias("joined_rows"),
+        rows_used(model.regressor, model.train_rows, "Gross").alias("fitted_rows"),
+        rows(model.predictions).alias("held_out_rows"),
     )
-    return importance_form(model.importances)
 
 
 # --- streaming -----------------------------------------------------------------------------------

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -9,8 +10,10 @@ from marquee.operators import (
     category_ranks,
     category_stages,
     check_category_bound,
+    encode_by_label,
     index_category,
     one_hot,
+    slot_widths,
     vector_entries,
 )
 
@@ -63,7 +66,61 @@ def test_unseen_category_is_the_zero_vector(spark):
 def test_category_bound(spark):
     check_category_bound(frame(spark), ["c"], 10)
     with pytest.raises(ValueError, match="'c': "):
-        one_hot(frame(spark), {"c": "v"}, max_categories=2)
+        check_category_bound(frame(spark), ["c"], 2)
+
+
+def test_one_hot_is_that_of_sparks_stages(spark):
+    rng = random.Random(6)
+    values = [f"v{rng.randrange(30)}" for _ in range(300)] + [None]
+    df = frame(spark, values).withColumn("d", F.when(F.col("i") % 3 > 0, F.concat(F.lit("x"), F.col("i") % 7))).repartition(5)
+    expected = df
+    for stage in category_stages({"c": "cv", "d": "dv"}):
+        expected = stage.fit(expected).transform(expected)
+    got = one_hot(df, {"c": "cv", "d": "dv"})
+    names = ["i", "c", "d", "c_Indexed", "d_Indexed", "cv", "dv"]
+    assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(map(tuple, expected.select(*names).collect()), key=repr)
+    assert slot_widths(got, ["cv", "dv"]) == slot_widths(expected, ["cv", "dv"])
+
+
+def test_one_hot_of_any_number_of_categories(spark):
+    df = spark.range(120_000).select("id", F.sha1(F.col("id").cast("string")).alias("c"))
+    slots = vector_entries(one_hot(df, {"c": "v"}), "v", ["id"]).agg(F.count("slot"), F.countDistinct("slot"), F.max("slot"))
+    assert tuple(slots.first()) == (120_000, 120_000, 119_999)
+
+
+def by_label(rows, folds, weight):
+    """(out of fold, over all) smoothed means, by the rule in plain Python."""
+    fold = [int(hashlib.md5(str(r[0]).encode()).hexdigest()[:8], 16) % folds for r in rows]
+    known = [(f, c, y) for f, (_, c, y) in zip(fold, rows) if y is not None]
+    prior = sum(y for *_, y in known) / len(known)
+    mean = lambda ys: (sum(ys) + prior * weight) / (len(ys) + weight)
+    out = {}
+    for f, (i, c, _) in zip(fold, rows):
+        mine = [(g, y) for g, d, y in known if c is not None and d == c]
+        out[i] = (mean([y for g, y in mine if g != f]), mean([y for _, y in mine]))
+    return out
+
+
+def test_label_means_leave_out_the_own_fold(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice(["a", "b", "c", f"once{i}", None]), rng.choice([rng.random() * 10, None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, c string, y double").repartition(4)
+    expected = by_label(rows, 5, 3.0)
+    known, means = encode_by_label(df, {"c": "m"}, "y", folds=5, weight=3.0, fold_by=["i"])
+    assert known.columns == ["i", "c", "y", "m"]
+    got = {r.i: r.m for r in known.collect()}
+    assert got == pytest.approx({i: out for i, (out, _) in expected.items()})
+    assert {r.i: r.m for r in means.transform(df).collect()} == pytest.approx({i: full for i, (_, full) in expected.items()})
+    prior = means.prior
+    new = spark.createDataFrame([("never",), (None,)], "c string")
+    assert [r.m for r in means.transform(new).collect()] == [prior, prior]
+
+
+def test_label_means_do_not_leak_the_label(spark):
+    """Categories of one row each say nothing: out of fold they are all the mean of all rows."""
+    df = spark.range(500).select("id", F.concat(F.lit("c"), "id").alias("c"), F.rand(3).alias("y"))
+    known, means = encode_by_label(df, {"c": "m"}, "y", fold_by=["id"])
+    assert known.select("m").distinct().count() == 1 and means.transform(df).select("m").distinct().count() == 500
 
 
 def test_assemble_features_skips_missing(spark):

@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,9 +132,11 @@ def test_rows_that_differ_in_an_unused_column_both_stay(spark):
     assert prepare_revenue_rows(doubled, supplement, COLUMNS, SUPPLEMENT).count() == 18
 
 
-@pytest.mark.parametrize("text_fit_on", ["all", "train"])
-def test_revenue_model(spark, text_fit_on):
+@pytest.mark.parametrize("text_fit_on, encode", [("all", "one_hot"), ("train", "one_hot"), ("all", "label_means")])
+def test_revenue_model(spark, text_fit_on, encode):
     catalogue, supplement = revenue_inputs(spark)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
     result = revenue_model(
         catalogue,
         supplement,
@@ -143,7 +146,10 @@ def test_revenue_model(spark, text_fit_on):
         iterations=3,
         trees=10,
         text_fit_on=text_fit_on,
+        encode=encode,
     )
+    # What the result reads is left: vocabulary, topics, report, joined rows, and the categories' means.
+    assert len(set(shared.iterdir()) - before) == (4 if encode == "one_hot" else 7)
     importances = {r.Feature: r.Importance for r in result.importances.collect()}
     assert set(importances) == {
         "Stars",
@@ -161,6 +167,7 @@ def test_revenue_model(spark, text_fit_on):
     # Held-out rows without a supplement cannot be predicted, all others are.
     assert result.predictions.where("Budget IS NULL OR prediction IS NULL").count() == 0
     assert tuple(result.report.first()) == (120, 119)
+    assert result.joined.count() == 119 and result.train_rows.count() < 119
     terms = {r.term for r in result.vocabulary.collect()}
     assert "sea" in terms and "the" not in terms
 

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from marquee.operators import (
     feature_importance,
@@ -13,6 +14,7 @@ from marquee.operators import (
     slot_widths,
     split_train_test,
 )
+from marquee.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -113,6 +115,29 @@ def test_hashed_categories_take_any_number_of_values(spark):
     assert set(table) == {"x", "c_vec"} and sum(table.values()) == pytest.approx(1)
 
 
+def test_a_million_categories_are_one_column(spark):
+    n = 1_000_000
+    df = materialise(spark.range(n + 100_000).select("id", F.concat(F.lit("c"), F.col("id") % n).alias("c"), (F.col("id") % n / n).alias("y"), F.lit(1.0).alias("x")))
+    model = fit_regressor(df, "y", ["x"], {"c": "m"}, trees=2, depth=3, encode="label_means", fold_by=["id"])
+    assert model.stages[-1].numFeatures == 2
+    predicted = predict(model, df)
+    assert predicted.count() == n + 100_000
+    table = {r.Feature: r.Importance for r in feature_importance(model, df).collect()}
+    assert table == {"x": 0.0, "m": pytest.approx(1.0)}
+    with pytest.raises(ValueError, match="label means"):
+        fit_regressor(df, "y", ["x"], {"c": "m"})
+    with pytest.raises(ValueError, match="encode"):
+        fit_regressor(df, "y", ["x"], {"c": "m"}, encode="by hand")
+
+
+def test_label_means_learn_from_categories(sample):
+    model = fit_regressor(sample, "y", ["x", "noise"], CATEGORIES, ["topic"], trees=10, depth=5, encode="label_means", fold_by=["i"])
+    assert predict(model, sample).count() == 400
+    assert r2_score(predict(model, sample), "y").first().r2 > 0.5
+    table = {r.Feature: r.Importance for r in feature_importance(model, sample).collect()}
+    assert table["kind_vec"] + table["kind_vec_2"] > 0.5 > table["noise"]
+
+
 def test_hash_split_follows_its_rule(spark):
     df = spark.createDataFrame([(i, "a") for i in range(2000)] + [(None, "b")], "i int, s string")
     train, test = split_train_test(df, 0.8, 42, ["i", "s"])
