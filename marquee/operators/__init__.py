@@ -24,6 +24,7 @@ from marquee.operators.regression import (
 from marquee.operators.reshape import (
     dedup_by_key,
     dedup_rows,
+    drop_repeats,
     enrich_left,
     explode_tags,
     heavy_buckets,
@@ -65,6 +66,7 @@ __all__ = [
     "daily_average",
     "dedup_by_key",
     "dedup_rows",
+    "drop_repeats",
     "drop_missing",
     "enrich_left",
     "explode_tags",

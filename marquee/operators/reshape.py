@@ -61,6 +61,22 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def drop_repeats(df: DataFrame, by: str, time: str, late: str = "1 day") -> DataFrame:
+    """Rows with an id ``by`` that no earlier row has, bounded or streaming.
+
+    A stream remembers ids until the watermark, ``late`` behind the latest ``time`` (a date or timestamp), has
+    passed them, so its state does not grow with the stream; rows that come later than that are dropped, as
+    their ids may be forgotten. A message that is sent or read twice changes nothing within that time. Rows
+    without an id are repeats if they are equal in all columns.
+    """
+    same = F.coalesce(F.col(by).cast("string"), F.concat(F.lit("row "), F.xxhash64(*df.columns).cast("string")))
+    marked = df.withColumn("_same", same)
+    if not df.isStreaming:
+        return dedup_by_key(marked, ["_same"]).drop("_same")
+    timed = marked.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", late)
+    return timed.dropDuplicatesWithinWatermark(["_same"]).drop("_same", "_time")
+
+
 def _variable_bytes(column: Column, data_type: T.DataType) -> Column | None:
     """Bytes of a value beyond 16; None if every value of the type has a fixed size."""
     if isinstance(data_type, T.UserDefinedType):

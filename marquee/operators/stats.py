@@ -23,13 +23,15 @@ def agg_distinct(column: str, name: str | None = None) -> Column:
     return F.countDistinct(column).alias(name or f"Distinct_{column}")
 
 
-def agg_first(column: str, by: str | None = None, name: str | None = None) -> Column:
-    """First value of the group: the one with the smallest ``by``.
+def agg_first(column: str, by: str | list[str] | None = None, name: str | None = None) -> Column:
+    """First value of the group: the one with the smallest ``by``, a column or several in order.
 
-    Without ``by`` it is whichever row arrives first, which repeats only if the value is constant
-    within the group.
+    On a stream the smallest ``by`` stands in the state beside its value, so columns that come from the source
+    (its time, partition and offset of a message) give the first message's value whatever order batches and
+    their tasks run in, and a batch that is run again gives it once more. Without ``by`` it is whichever row
+    arrives first, which repeats only if the value is constant within the group.
     """
-    value = F.first(column) if by is None else F.min_by(column, by)
+    value = F.first(column) if by is None else F.min_by(column, by if isinstance(by, str) else F.struct(*by))
     return value.alias(name or column)
 
 
@@ -37,7 +39,7 @@ def daily_average(
     reviews: DataFrame,
     columns: ReviewColumns = ReviewColumns(),
     with_overall: bool = False,
-    first_by: str | None = None,
+    first_by: str | list[str] | None = None,
 ) -> DataFrame:
     """Mean rating per item and day, bounded or streaming.
 

@@ -8,7 +8,7 @@ from marquee.plans.revenue import (
     revenue_model,
     revenue_report,
 )
-from marquee.plans.reviews import absolute_alerts, relative_alerts
+from marquee.plans.reviews import absolute_alerts, daily_ratings, relative_alerts
 
 __all__ = [
     "RevenueModel",
@@ -16,6 +16,7 @@ __all__ = [
     "add_supplement",
     "clean_catalogue",
     "convert_catalogue",
+    "daily_ratings",
     "decade_trends",
     "distinct_catalogue",
     "prepare_revenue_rows",

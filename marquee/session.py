@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -66,6 +67,26 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def create_file(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Create a small file with ``data``; False, and nothing is changed, if it is there already.
+
+    Creation is as exclusive as the file system's own without overwriting: on HDFS by its name node, on object
+    stores if their connector creates conditionally.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(where.getParent())
+    try:
+        out = store.create(where, False)
+    except Py4JJavaError as failed:
+        if failed.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    out.write(bytearray(data))
+    out.close()
+    return True
+
+
 def materialise(df: DataFrame, purpose: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

@@ -101,9 +101,12 @@ def parse_json_messages(
     date_column: str | None = "Review_Date",
     date_format: str = "M/d/yyyy",
     rejects: str | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Typed rows from JSON in ``value``.
 
+    ``keep`` names columns of the log, such as ``partition`` and ``offset``, that come along.
+
     Malformed text gives a row of NULLs, a field of the wrong type gives NULL in that field.
     ``rejects`` names an extra column that keeps the raw text of such messages, and of those with a
     date that is not in the format.
@@ -114,16 +117,19 @@ def parse_json_messages(
         struct = T.StructType([*struct.fields, T.StructField(rejects, T.StringType())])
         options["columnNameOfCorruptRecord"] = rejects
     text = F.col("value").cast("string")
-    parsed = log.select(F.from_json(text, struct, options).alias("r"), text.alias("_text"))
+    keep = keep or []
+    if shared := [c for c in keep if c in struct.names]:
+        raise ValueError(f"messages and their log both have {shared}")
+    parsed = log.select(F.from_json(text, struct, options).alias("r"), text.alias("_text"), *keep)
     if date_column is None:
-        return parsed.select("r.*")
+        return parsed.select("r.*", *keep)
     day = parse_date(F.col("r").getField(date_column), date_format)
     columns = [day.alias(n) if n == date_column else F.col("r").getField(n).alias(n) for n in struct.names]
     if rejects is not None:
         wrong = F.col("r").getField(date_column).isNotNull() & day.isNull()
         raw = F.coalesce(F.col("r").getField(rejects), F.when(wrong, F.col("_text")))
         columns = [raw.alias(rejects) if n == rejects else c for n, c in zip(struct.names, columns)]
-    return parsed.select(*columns)
+    return parsed.select(*columns, *keep)
 
 
 def read_json_objects(

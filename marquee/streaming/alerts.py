@@ -27,7 +27,8 @@ def low_rated_stream(
 
     Other modes hand over changed rows only and never take one back, so a sink that replaces the
     result would lose rows: they are refused unless ``write_batch`` has an attribute ``merges`` that
-    is true, by which a sink of the caller's own states that it merges and takes back.
+    is true. :func:`merge_each_batch` has: in update mode give it the daily ratings themselves, as it has to
+    see the means that have risen too, and the threshold as its condition.
     """
     if mode != "complete" and not getattr(write_batch, "merges", False):
         raise ValueError(f"mode {mode!r} gives changed rows only; this sink replaces the whole result")

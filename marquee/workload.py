@@ -58,6 +58,7 @@ from marquee.operators import (
 )
 from marquee.plans import (
     absolute_alerts,
+    daily_ratings,
     decade_trends,
     prepare_revenue_rows,
     relative_alerts,
@@ -81,7 +82,7 @@ from marquee.sources import (
     stream_source,
     write_table,
 )
-from marquee.streaming import low_rated_stream, overwrite_each_batch, publish_each_batch, read_published
+from marquee.streaming import merge_each_batch, read_merged, low_rated_stream, overwrite_each_batch, publish_each_batch, read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -881,15 +882,18 @@ def _encode_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fit_regressor_label_means",
-    """SELECT count(*) AS fitted_rows, CAST(2 AS INT) AS n_slots, true AS better_than_mean FROM lineitem""",
+    """SELECT count(*) AS fitted_rows, CAST(2 AS INT) AS n_slots, true AS better_than_mean
+       FROM lineitem JOIN part ON l_partkey = p_partkey""",
 )
 def _fit_regressor_label_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many categories as parts in one column, and every line takes part."""
-    lines = materialise(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
-    inputs = {"label": "l_extendedprice", "numeric": ["l_quantity"], "categories": {"l_partkey": "part_mean"}}
+    prices = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    lines = materialise(enrich_left(lines, prices, "l_partkey", unique=True))
+    inputs = {"label": "p_retailprice", "numeric": ["l_quantity"], "categories": {"l_partkey": "part_mean"}}
     model = fit_regressor(lines, **inputs, trees=10, encode="label_means", fold_by=["l_orderkey", "l_linenumber"])
-    fitted = materialise(predict(model, lines).select("l_extendedprice", "prediction"))
-    score = r2_score(fitted, "l_extendedprice").select((F.col("r2") > 0).alias("better_than_mean"))
+    fitted = materialise(predict(model, lines).select("p_retailprice", "prediction"))
+    score = r2_score(fitted, "p_retailprice").select((F.col("r2") > 0).alias("better_than_mean"))
     return fitted.agg(F.count(F.lit(1)).alias("fitted_rows")).select(
         "fitted_rows", F.lit(model.stages[-1].numFeatures).alias("n_slots"), score.scalar().alias("better_than_mean")
     )
@@ -1056,3 +1060,44 @@ def _low_rated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = absolute_alerts(messages, 10.0, EVENT_MESSAGE, EVENTS)
     low_rated_stream(alerts, overwrite_each_batch(target, "parquet"), every=None).awaitTermination()
     return rounded(scan_table(spark, target, "parquet"), 9, "Daily_Average_Rating")
+
+
+@query("low_rated_stream_trigger", ORACLES["low_rated_absolute"])
+def _low_rated_stream_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query with a trigger of two seconds that runs until it is stopped, some files a batch."""
+    topic, path = scratch_dir(spark, "topic"), scratch_dir(spark, "alerts")
+    publish_json(wire_form(event_reviews(spark, sf_dir).repartition(4)), topic)
+    messages = stream_source(spark, "text", topic, "value string", maxFilesPerTrigger=2)
+    alerts = absolute_alerts(messages, 10.0, EVENT_MESSAGE, EVENTS)
+    running = low_rated_stream(alerts, publish_each_batch(path), every="2 seconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return rounded(read_published(spark, path), 9, "Daily_Average_Rating")
+
+
+@query("low_rated_merged", ORACLES["low_rated_absolute"])
+def _low_rated_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode: each of at least four batches writes the means that changed; low values come first, so means
+    rise and items leave the table again. Whole versions are written in between."""
+    topic, path = scratch_dir(spark, "topic"), scratch_dir(spark, "merged")
+    publish_json(wire_form(event_reviews(spark, sf_dir).repartitionByRange(8, "value")), topic)
+    messages = stream_source(spark, "text", topic, "value string", maxFilesPerTrigger=2)
+    daily = daily_ratings(messages, EVENT_MESSAGE, EVENTS)
+    keys = [EVENTS.entity, EVENTS.day]
+    writer = merge_each_batch(path, keys, F.col("Daily_Average_Rating") < 10.0, compact_every=3)
+    low_rated_stream(daily, writer, mode="update", every=None).awaitTermination()
+    return rounded(read_merged(spark, path, keys), 9, "Daily_Average_Rating")
+
+
+@query("low_rated_stream_repeats", ORACLES["low_rated_relative"])
+def _low_rated_stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is published twice, the second time later, and counts once."""
+    topic = scratch_dir(spark, "topic")
+    reviews = wire_form(with_overall(event_reviews(spark, sf_dir)))
+    for _ in range(2):
+        publish_json(reviews, topic)
+    messages = stream_source(spark, "text", topic, "value string", maxFilesPerTrigger=1)
+    alerts = relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS, distinct_by="event_id", late="4000 days")
+    return rounded(run_stream(alerts), 9, "Daily_Average_Rating", "overall", "Rating_Difference")
