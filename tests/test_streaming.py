@@ -1,15 +1,25 @@
 import json
 import random
+import threading
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from marquee.plans import absolute_alerts, relative_alerts
-from marquee.sources import scan_table, stream_source
+from marquee.operators import drop_repeats
+from marquee.plans import absolute_alerts, daily_ratings, relative_alerts
+from marquee.schemas import REVIEW_MESSAGE
+from marquee.session import create_file
+from marquee.sources import parse_json_messages, scan_table, stream_source
 from marquee.streaming import (
+    FencedError,
     low_rated_stream,
+    merge_each_batch,
     overwrite_each_batch,
     publish_each_batch,
+    read_merged,
     read_published,
+    sinks,
 )
 
 
@@ -183,3 +193,182 @@ def test_modes_that_lose_rows_are_refused(spark, tmp_path):
     for mode in ("update", "append"):
         with pytest.raises(ValueError, match="changed rows"):
             low_rated_stream(alerts, overwrite_each_batch(str(tmp_path / "o"), "parquet"), mode=mode)
+
+
+# --- changed rows merged by key --------------------------------------------------------------------
+
+KEYS = ["Movie_ID", "Review_Date"]
+
+
+def test_merged_table_is_that_of_complete_mode(spark, tmp_path, many):
+    """After every batch, means that rise included; a batch writes its changed rows only."""
+    out, whole = str(tmp_path / "merged"), str(tmp_path / "whole")
+    merge = merge_each_batch(out, KEYS, F.col("Daily_Average_Rating") < 6.0, compact_every=3, keep_seconds=0)
+    seen, tables = [], []
+
+    def write(batch, batch_id):
+        merge(batch, batch_id)
+        seen.append(batch.count())
+        tables.append(rows(read_merged(spark, out, KEYS)))
+
+    write.merges = True
+    daily = daily_ratings(topic(spark, many, maxFilesPerTrigger=1))
+    low_rated_stream(daily, write, mode="update", every=None).awaitTermination()
+    complete, versions = [], publish_each_batch(whole)
+
+    def keep(batch, batch_id):
+        versions(batch, batch_id)
+        complete.append(rows(read_published(spark, whole)))
+
+    run(absolute_alerts(topic(spark, many, maxFilesPerTrigger=1)), keep)
+    assert tables[-1] == complete[-1] == rows(absolute_alerts(scan_table(spark, str(many), "text"))) != []
+    assert len(tables) == len(complete) == 5
+    assert any(set(a) - set(b) for a, b in zip(tables, tables[1:]))  # rows are taken back
+    # Few folders are left, as whole versions replace the changes before them.
+    assert len(list((tmp_path / "merged" / "data").iterdir())) <= 4
+
+
+def test_a_merged_batch_costs_its_changed_rows(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = merge_each_batch(out, ["k"], F.col("v") < 5)
+    write(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")), 0)
+    write(spark.createDataFrame([(3, 9), (4, None), (5000, 2), (5, 4)], "k long, v int"), 1)
+    got = {r.k: r.v for r in read_merged(spark, out, ["k"]).collect()}
+    assert got == {k: 1 for k in range(1000) if k not in (3, 4, 5)} | {5: 4, 5000: 2}
+    sizes = sorted(spark.read.parquet(str(f)).count() for f in (tmp_path / "out" / "data").iterdir())
+    assert sizes == [4, 1000]
+
+
+def test_merged_batch_that_runs_again(spark, tmp_path):
+    folder, out, checkpoint = tmp_path / "topic", str(tmp_path / "out"), tmp_path / "checkpoint"
+    write = lambda: merge_each_batch(out, KEYS, F.col("Daily_Average_Rating") < 6.0)
+
+    def go():
+        low_rated_stream(daily_ratings(topic(spark, folder)), write(), str(checkpoint), "update", None).awaitTermination()
+        return sorted((r.Movie_ID, r.Daily_Average_Rating) for r in read_merged(spark, out, KEYS).collect())
+
+    add_file(folder, "0.json", [review(1, "A", 2), review(2, "B", 5)])
+    assert go() == [("A", 2.0), ("B", 5.0)]
+    lost_commit(checkpoint, 0)
+    add_file(folder, "1.json", [review(3, "B", 9)])
+    assert go() == [("A", 2.0)]
+
+
+def test_empty_batches_and_null_keys_merge(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = merge_each_batch(out, ["k"], F.col("v") < 5, compact_every=2, keep_seconds=0)
+    with pytest.raises(ValueError, match="nothing"):
+        read_merged(spark, out, ["k"])
+    frame = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    for batch, made in enumerate([frame(), frame((None, 1), ("a", 1)), frame(), frame((None, 7)), frame()]):
+        write(made, batch)
+    assert rows(read_merged(spark, out, ["k"])) == [("a", 1)]
+
+
+# --- one writer at a time ---------------------------------------------------------------------------
+
+
+def test_a_second_writer_is_fenced(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one, two = publish_each_batch(out, keep=10), publish_each_batch(out, keep=10)
+    one(spark.range(1), 0)
+    two(spark.range(2), 0)  # takes over
+    with pytest.raises(FencedError, match="version 1"):
+        one(spark.range(3), 1)
+    two(spark.range(4), 1)
+    assert read_published(spark, out).count() == 4
+    assert sorted(r.version for r in sinks._published(spark, out)) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("make", [publish_each_batch, lambda out: merge_each_batch(out, ["id"], F.col("id") >= 0)])
+def test_writers_that_meet_lose_no_version(spark, tmp_path, make):
+    """Both see the same versions and then publish: one marker is made, the other writer stops."""
+    out, lost = str(tmp_path / "out"), []
+    barrier = threading.Barrier(2)
+    plain = sinks._Log.check
+
+    def check(log, session):
+        found = plain(log, session)
+        barrier.wait(60)
+        return found
+
+    def go(n):
+        try:
+            make(out)(spark.range(n), 0)
+        except FencedError:
+            lost.append(n)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sinks._Log, "check", check)
+        both = [threading.Thread(target=go, args=(n,)) for n in (5, 6)]
+        for thread in both:
+            thread.start()
+        for thread in both:
+            thread.join()
+    published = sinks._published(spark, out)
+    assert len(lost) == 1 and [v.version for v in published] == [0]
+    assert spark.read.parquet(published[0].folder).count() == 11 - lost[0]
+    assert len(list((tmp_path / "out" / "data").iterdir())) == 1
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "deep" / "marker")
+    assert create_file(spark, path, b"first") and not create_file(spark, path, b"second")
+    assert (tmp_path / "deep" / "marker").read_bytes() == b"first"
+
+
+# --- repeated messages and arrival order -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("alert", [absolute_alerts, relative_alerts])
+def test_messages_that_come_twice_count_once(spark, tmp_path, many, alert):
+    expected = rows(alert(scan_table(spark, str(many), "text")))
+    for f in list(many.iterdir()):
+        (many / f"again-{f.name}").write_text(f.read_text())
+    assert rows(alert(scan_table(spark, str(many), "text"))) == expected or alert is relative_alerts
+    distinct = alert(scan_table(spark, str(many), "text"), distinct_by="Review_ID")
+    assert rows(distinct) == expected
+    stream = alert(topic(spark, many, maxFilesPerTrigger=2), distinct_by="Review_ID", late="30 days")
+    run(stream, publish_each_batch(str(tmp_path / "out")))
+    assert rows(read_published(spark, str(tmp_path / "out"))) == expected
+
+
+def test_a_repeat_changes_the_mean_unless_dropped(spark, tmp_path):
+    folder, out = tmp_path / "topic", str(tmp_path / "out")
+    add_file(folder, "0.json", [review(1, "m", 1), review(2, "m", 9), review(None, "m", 5), review(None, "m", 5)])
+    add_file(folder, "1.json", [review(1, "m", 1), review(1, "m", 1)])
+    run(daily_ratings(topic(spark, folder, maxFilesPerTrigger=1), distinct_by="Review_ID"), publish_each_batch(out))
+    # Reviews 1, 2 and one of the equal ones without an id.
+    assert [r.Daily_Average_Rating for r in read_published(spark, out).collect()] == [5.0]
+
+
+def test_remembered_ids_do_not_grow_with_the_stream(spark, tmp_path):
+    folder, checkpoint = tmp_path / "topic", str(tmp_path / "ckpt")
+    held = []
+    for day in range(1, 9):
+        add_file(folder, f"{day}.json", [review(100 * day + i, f"m{i}", 5, f"6/{day}/2024") for i in range(40)])
+        distinct = drop_repeats(parse_json_messages(topic(spark, folder), REVIEW_MESSAGE), "Review_ID", "Review_Date", "2 days")
+        query = distinct.writeStream.format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        held.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress][-1])
+    assert max(held) <= 4 * 40 and held[-1] <= 4 * 40 < 8 * 40
+
+
+def test_first_value_follows_the_source_not_the_batches(spark, tmp_path):
+    """The log's time and offset go into the state, so a later batch may hold the earlier message."""
+    folder, out = tmp_path / "log", str(tmp_path / "out")
+    schema = "value string, timestamp timestamp, partition int, offset long"
+    one = lambda overall, rating, partition, offset: (json.dumps(review(offset, "m", rating, overall=overall)), datetime(2024, 6, 1, 12), partition, offset)
+    spark.createDataFrame([one(9.5, 1, 1, 5), one(9.0, 1, 0, 7)], schema).coalesce(1).write.parquet(str(folder / "a"))
+    stream = lambda: relative_alerts(
+        spark.readStream.schema(schema).parquet(str(folder / "*")), first_by=["timestamp", "partition", "offset"]
+    )
+    checkpoint = tmp_path / "ckpt"
+    run(stream(), publish_each_batch(out), str(checkpoint))
+    assert [r.Overall_Rating for r in read_published(spark, out).collect()] == [9.0]
+    spark.createDataFrame([one(8.0, 1, 0, 6)], schema).write.parquet(str(folder / "b"))
+    lost_commit(checkpoint, 0)
+    run(stream(), publish_each_batch(out), str(checkpoint))
+    assert [r.Overall_Rating for r in read_published(spark, out).collect()] == [8.0]
+    with pytest.raises(ValueError, match="both have"):
+        parse_json_messages(spark.read.parquet(str(folder / "a")).withColumn("Movie_ID", F.lit(1)), REVIEW_MESSAGE, keep=["Movie_ID"])
