@@ -41,7 +41,7 @@ STAR_ROUNDS = 3
 SKETCH_SHARE, LEAST_BITS = 4, 1024
 SEEN = 1_000_000
 
-TAGGED = "doc_id long, node long, n int, sketch binary"
+TAGGED = "doc_id long, node long, n int, sketch binary, keys array<long>"
 KEYS = "key long, node long, n int"
 PAIRS = "u long, v long, n int, m int"
 
@@ -185,57 +185,31 @@ def live_pairs(ns: np.ndarray, labels: np.ndarray, sides: np.ndarray, sketches:
 # --- the join ------------------------------------------------------------------------------------------------
 
 
-def tag(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``node`` (a hash of the document's set), ``n`` (its size) and ``sketch``; no sketch for repeats within a task."""
+def tag(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id``, ``node`` (a hash of the document's set), ``n`` (its size), ``sketch`` and ``keys``; neither of these
+    for empty sets and for sets that the task has had before."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    schema = pa.schema(list(zip(("doc_id", "node", "n", "sketch", "keys"), kinds)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("parity", int)  # nothing of its own, but others must let go
         seen: set[int] = set()
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_rows(batch.column("text"))):
-                found = text_set(text, size)
-                node = int(np.int64(np.uint64(xxhash.xxh64_intdigest(found.tobytes()))))
-                out.append((doc_id, node, len(found), sketch(found) if len(found) and node not in seen else None))
-                seen.add(node)
-            seen = seen if len(seen) < SEEN else set()
-            if out:
-                yield pa.record_batch(list(map(list, zip(*out))), schema=schema_of(TAGGED))
-
-    return docs.mapInArrow(rows, TAGGED)
-
-
-def block_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``key``, ``node`` and ``n``: every set under its keys; a task leaves out sets that it has had."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("parity", int)
-        seen: set[int] = set()
-        for batch in batches:
-            keys, nodes, sizes, held = [], [], [], 0
-            for text in byte_rows(batch.column("text")):
-                found = text_set(text, size)
-                node = xxhash.xxh64_intdigest(found.tobytes())
-                if len(found) and node not in seen:
+            for start in range(0, batch.num_rows, 1000):
+                out: list[list] = [[], [], [], [], []]
+                part = batch.slice(start, 1000)
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), byte_rows(part.column("text"))):
+                    found = text_set(text, size)
+                    node = int(np.int64(np.uint64(xxhash.xxh64_intdigest(found.tobytes()))))
+                    first = len(found) and node not in seen
+                    row = doc_id, node, len(found), sketch(found) if first else None, block_keys(found, percent).view(np.int64) if first else None
+                    for column, value in zip(out, row):
+                        column.append(value)
                     seen.add(node)
-                    keys.append(block_keys(found, percent))
-                    nodes.append(node)
-                    sizes.append(len(found))
-                    held += len(keys[-1])
-                if held > 500_000:
-                    yield _key_batch(keys, nodes, sizes)
-                    keys, nodes, sizes, held = [], [], [], 0
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], schema=schema)
             seen = seen if len(seen) < SEEN else set()
-            if keys:
-                yield _key_batch(keys, nodes, sizes)
 
-    return docs.select("text").mapInArrow(rows, KEYS)
-
-
-def _key_batch(keys: list[np.ndarray], nodes: list[int], sizes: list[int]) -> pa.RecordBatch:
-    counts = [len(k) for k in keys]
-    columns = np.concatenate(keys).view(np.int64), np.repeat(np.array(nodes, np.uint64), counts).view(np.int64)
-    return pa.record_batch([*columns, np.repeat(np.array(sizes, np.int32), counts)], schema=schema_of(KEYS))
+    return docs.mapInArrow(rows, TAGGED)
 
 
 def meeting(rows: DataFrame, sampled: DataFrame) -> DataFrame:
@@ -398,8 +372,11 @@ class _Join:
         rows = rows.select("key", "node", "n", "label", own, F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other"))
         low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
         rows = rows.select("key", "node", "n", "label", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"))
-        rows = rows.join(self.sketches, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-        rows = rows.select(F.xxhash64("key", "low", "high").alias("group"), "node", "n", "label", "side", "sketch")
+        # A pair may meet in many groups; the smallest key of those it shares looks at it.
+        own_keys = placed.join(sizes.select("of_key"), F.col("key") == F.col("of_key"), "left_semi").groupBy("node")
+        own_keys = materialise(self.sketches.join(own_keys.agg(F.collect_set("key").alias("keys")), "node"), "own-keys")
+        rows = rows.join(own_keys, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        rows = rows.select(F.xxhash64("key", "low", "high").alias("group"), "key", "node", "n", "label", "side", "sketch", "keys")
         percent = self.percent
 
         def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,13 +384,16 @@ class _Join:
                 nodes, ns, labels, sides = (group.column(c).to_numpy().astype(np.int64) for c in ("node", "n", "label", "side"))
                 if (labels == labels[0]).all():
                     continue
+                key, own = group.column("key")[0].as_py(), [set(keys) for keys in group.column("keys").to_pylist()]
                 for x, y in live_pairs(ns, labels, sides, group.column("sketch").to_pylist(), percent):
+                    here = np.fromiter((min(own[i] & own[j]) == key for i, j in zip(x.tolist(), y.tolist())), bool, len(x))
+                    x, y = x[here], y[here]
                     flip = nodes[x] > nodes[y]
                     x, y = np.where(flip, y, x), np.where(flip, x, y)
                     columns = nodes[x], nodes[y], ns[x].astype(np.int32), ns[y].astype(np.int32)
                     yield pa.record_batch(list(columns), schema=schema_of(PAIRS))
 
-        found = rows.mapInArrow(live, PAIRS).distinct()
+        found = rows.mapInArrow(live, PAIRS)
         for tested in self.tested:
             found = found.join(tested, ["u", "v"], "left_anti")
         self.verify(materialise(found, "live"), True)
@@ -450,9 +430,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         raise ValueError("percent must lie between 60 and 100: sets that differ in more than they share fill too few blocks")
     with stages(docs.sparkSession) as run:
         texts = id_and_text(docs, id_col, text_col)
-        tagged = materialise(tag(texts, size), "tagged")
-        sampled = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
-        groups = meeting(block_rows(texts, size, percent), block_rows(sampled, size, percent))
+        tagged = materialise(tag(texts, size, percent), "tagged")
+        rows = tagged.select(F.explode("keys").alias("key"), "node", "n")
+        sampled = tagged.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).select(F.explode("keys").alias("key"))
+        groups = meeting(rows, sampled)
         join = _Join(texts, tagged, groups, size, percent)
         for number in range(STAR_ROUNDS):
             join.star(number)
