@@ -17,6 +17,7 @@ of the phrases that are reported are read again at the end.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -95,10 +96,28 @@ def phrase_keys(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return np.where((prefix != 0) & (suffix != 0), found, np.uint64(0))
 
 
-def marked(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+class Bitmap:
+    """A set of hashes as bits. It travels to the tasks compressed, so one with few bits is small."""
+
+    def __init__(self, words: np.ndarray):
+        self.data = zlib.compress(words.tobytes(), 1)
+        self._words: np.ndarray | None = words
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data, "_words": None}
+
+    @property
+    def words(self) -> np.ndarray:
+        if self._words is None:
+            self._words = np.frombuffer(zlib.decompress(self.data), np.uint64)
+        return self._words
+
+
+def marked(keys: np.ndarray, bitmap: Bitmap) -> np.ndarray:
     """Which of the keys a bitmap may hold; never false for one that it does."""
-    at = keys >> np.uint64(65 - (64 * len(bitmap)).bit_length())
-    return (keys != 0) & ((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) != 0)
+    words = bitmap.words
+    at = keys >> np.uint64(65 - (64 * len(words)).bit_length())
+    return (keys != 0) & ((words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) != 0)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], most: int = GROUP_WORDS) -> Iterator[tuple[str, np.ndarray]]:
@@ -154,14 +173,14 @@ def count_phrases(texts: DataFrame, size: int, least: int, wanted: Callable[[lis
     return found.where(F.col("n") >= least)
 
 
-def bitmap_of(df: DataFrame) -> np.ndarray:
+def bitmap_of(df: DataFrame) -> Bitmap:
     """The keys of ``df`` as a bitmap; the driver gets at most a number per 64 bits of it."""
     at = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
     words = df.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {64 - BITMAP_BITS}) & 63))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
+    return Bitmap(out)
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -220,7 +239,7 @@ def thresholds(pairs: DataFrame, want: int) -> DataFrame:
     return reached.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("above") >= want, F.col("score"))), F.lit(0)).alias("least_score"))
 
 
-def settle(texts: DataFrame, pairs: DataFrame, frequent: np.ndarray, floor: DataFrame, least: int, longest: int, covered: int) -> DataFrame:
+def settle(texts: DataFrame, pairs: DataFrame, frequent: Bitmap, floor: DataFrame, least: int, longest: int, covered: int) -> DataFrame:
     """All surviving phrases of the languages of ``floor`` that score at least its ``least_score``.
 
     Level by level: phrases that go on from an open prefix (its bound reaches the threshold), and phrases that
@@ -250,7 +269,7 @@ def settle(texts: DataFrame, pairs: DataFrame, frequent: np.ndarray, floor: Data
             def asked(keys: list[np.ndarray], lacking=lacking) -> np.ndarray:
                 return marked(longer(keys[-1]), lacking)
 
-            more = _keyed(count_phrases(texts, size - 1, least, asked)) if lacking.any() else counted.limit(0)
+            more = _keyed(count_phrases(texts, size - 1, least, asked)) if lacking.words.any() else counted.limit(0)
             more = more.join(ends, "key", "left_semi")
             level = level.unionByName(materialise(scored(more, before), "ends"))
         before, level = level, materialise(scored(counted, level), "level")
@@ -264,7 +283,7 @@ def settle(texts: DataFrame, pairs: DataFrame, frequent: np.ndarray, floor: Data
     return whole.where(F.coalesce(F.col("most") * 100 < F.col("n") * covered, F.lit(True))).drop("most", "covered")
 
 
-def _frequent_pairs(keys: list[np.ndarray], frequent: np.ndarray) -> np.ndarray:
+def _frequent_pairs(keys: list[np.ndarray], frequent: Bitmap) -> np.ndarray:
     """Where all pairs of neighbouring words of the phrases one word longer than the last keys are frequent."""
     pairs = marked(keys[1], frequent)
     n = len(keys[-1]) - 1

@@ -147,7 +147,7 @@ def test_collocations_of_small_bitmaps(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BITMAP_BITS", 7)
     docs = made_up(3, 300)
     keys = collocations.word_keys(collocations.hashes([b"a", b"b"]), "en")
-    assert not collocations.marked(keys[2:], ~collocations.np.zeros(2, "u8")).any()
+    assert not collocations.marked(keys[2:], collocations.Bitmap(~collocations.np.zeros(2, "u8"))).any()
     df = spark.createDataFrame(docs, "text string, lang string").repartition(2)
     got = collocations.collocations(df, most=20, least=10)
     assert sorted(map(tuple, got.collect())) == phrases(docs, 20, 10)
