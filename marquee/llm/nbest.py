@@ -248,13 +248,12 @@ def _units(text: str) -> list[str]:
 
 
 def _picks(sizes: list[int], n: int) -> Iterator[tuple[int, ...]]:
-    """Choices that can be among the n best: raising one choice gives something no better, so few are raised."""
-    for picks in itertools.product(*(range(min(size, n)) for size in sizes)):
-        ahead = 1
-        for k in picks:
-            ahead *= k + 1
-        if ahead <= n:
-            yield picks
+    """Choices that can be among the n best: raising one choice gives something no better, so a choice with as
+    many ahead of it as the product of its places is out, and so is all that goes on from it."""
+    grown: list[tuple[tuple[int, ...], int]] = [((), 1)]
+    for size in sizes:
+        grown = [(picks + (k,), ahead * (k + 1)) for picks, ahead in grown for k in range(min(size, n // ahead))]
+    return (picks for picks, _ in grown)
 
 
 def nbest_segments(docs: DataFrame, n: int = 4, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
