@@ -38,17 +38,19 @@ def cut(n: int, capacity: int) -> list[int]:
 
 
 def token_pieces(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, tokenizer: str | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, tokenizer: str | None = None,
+    escape_special: bool = False,
 ) -> DataFrame:
     """A row per piece, written to the shared folder: its key, place in its document, ids and their CRC-32.
 
-    ``ids`` and the checksum are of little-endian unsigned 32-bit integers. A null text is empty and gives one
+    ``ids`` and the checksum are of little-endian unsigned 32-bit integers. The string of a special token in a
+    text is that token, unless ``escape_special`` makes it ordinary text. A null text is empty and gives one
     piece with the end id.
     """
     vocabulary_file = tokenizer or vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, key, end = encoder(vocabulary_file), TaskContext.get().partitionId() << 40, struct.pack("<I", end_id)
+        words, key, end = encoder(vocabulary_file, escape_special), TaskContext.get().partitionId() << 40, struct.pack("<I", end_id)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist())):
@@ -157,13 +159,14 @@ def _underfull(level: DataFrame, enough: int) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, tokenizer: str | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, tokenizer: str | None = None,
+    escape_special: bool = False,
 ) -> DataFrame:
     """A row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids``, ``ids_crc32``, ``sequence_id`` and ``offset``.
 
     Rows that repeat an id or a text are documents of their own.
     """
-    pieces = token_pieces(docs, id_col, text_col, capacity, end_id, tokenizer)
+    pieces = token_pieces(docs, id_col, text_col, capacity, end_id, tokenizer, escape_special)
     placed = materialise(pack(pieces, capacity), "placed").withColumnRenamed("piece_key", "placed_key")
     return pieces.join(placed, F.col("piece_key") == F.col("placed_key")).drop("piece_key", "placed_key")
 

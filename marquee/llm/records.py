@@ -110,17 +110,19 @@ def parse(data: bytes) -> tuple[int | None, bytes]:
 
 
 def write_records(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 0,
+    escape_special: bool = False,
 ) -> None:
     """Encode every text, append ``end_id`` and write ``path/shards`` and ``path/index`` in ascending id order.
 
+    The string of a special token in a text is that token, unless ``escape_special`` makes it ordinary text.
     A null text is empty; a null id comes first; equal ids stand in an order that depends on their texts only.
     Of an empty table the index is empty and there is no shard. ``path`` must be a URI that executors can write.
     """
     vocabulary_file = tokenizer or vocabulary()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(vocabulary_file)
+        words = encoder(vocabulary_file, escape_special)
         width = 2 if max(words.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         shard, position, offset, out = TaskContext.get().partitionId(), 0, 0, None
         file = f"{path}/shards/shard-{shard:07d}-{uuid.uuid4().hex}.rec"

@@ -25,7 +25,7 @@ _CUT = re.compile(r"(?<=\S)(?=\s)")
 _WHITE = re.compile(r"\s")
 #: So many characters are looked up at once.
 GROUP_CHARS = 1_000_000
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -35,12 +35,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, escape_special: bool = False) -> WordEncoder:
     """The encoder of this worker process for a vocabulary file."""
     hold("tokens", _ENCODERS.clear)
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, escape_special) not in _ENCODERS:
+        _ENCODERS[path, escape_special] = WordEncoder(path, escape_special)
+    return _ENCODERS[path, escape_special]
 
 
 class WordEncoder:
@@ -48,13 +48,16 @@ class WordEncoder:
 
     ``words`` has the ids of words by a key: ``w`` for a word after a space, ``"\\n" + w`` for one after a line
     end. Both include what stands before the word. A key that starts with a space stands for what follows it. ``old`` has those of the time before the last clearing.
+    ``escape_special`` encodes the strings of special tokens as ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape_special: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        # By default the string of a special token in a text is that token, as the library has it. Such strings
+        # hold no white space, so no cut goes through one.
+        self.library.encode_special_tokens = escape_special
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.chars = 0

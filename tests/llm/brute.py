@@ -93,12 +93,13 @@ def components(n: int, links: list[tuple[int, int]]) -> list[int]:
     return [find(i) for i in range(n)]
 
 
-def tokens(texts: list[str]) -> list[list[int]]:
+def tokens(texts: list[str], escape_special: bool = False) -> list[list[int]]:
     import public_tokenizers
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
+    if escape_special:
+        library.encode_special_tokens = True
     return [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
 
 

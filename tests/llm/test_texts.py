@@ -34,9 +34,13 @@ def test_word_encoder_equals_the_library():
     random.seed(1)
     parts = ["a", "B", "é", " ", " ", "\n", "\t", "\r", "'s", "\u00a0", "9", "!", "_", "中", "\x1c", "\u2028", "don't", "\x00", "word", "  "]
     texts = ["".join(random.choices(parts, k=random.randrange(30))) for _ in range(3000)] + [t or "" for t in brute.HARD_TEXTS]
-    encoder = WordEncoder(vocabulary())
-    for _ in range(2):  # the second time from memory
-        assert encoder.encode(texts) == [np.array(x, "<u4").tobytes() for x in brute.tokens(texts)]
+    special = "<|endoftext|>"
+    texts += ["".join(random.choices([*parts, special, special[:5], special[5:]], k=random.randrange(1, 20))) for _ in range(2000)]
+    for escape in (False, True):
+        encoder, expected = WordEncoder(vocabulary(), escape), [np.array(x, "<u4").tobytes() for x in brute.tokens(texts, escape)]
+        for _ in range(2):  # the second time from memory
+            assert encoder.encode(texts) == expected
+    assert brute.tokens(["a <|endoftext|> b"])[0] != brute.tokens(["a <|endoftext|> b"], True)[0]
 
 
 # --- records ---
@@ -322,6 +326,13 @@ def every_path(lattice: nbest.Lattice, text: str) -> list[tuple[int, bytes]]:
     return sorted(out, key=lambda x: -x[0])
 
 
+def test_picks_are_those_of_the_whole_product_and_few():
+    for sizes, n in [([2, 3, 1], 4), ([4, 4, 4], 5), ([1], 3), ([], 2), ([5, 2, 5, 5], 6)]:
+        whole = [p for p in itertools.product(*(range(min(s, n)) for s in sizes)) if np.prod([k + 1 for k in p]) <= n]
+        assert sorted(nbest._picks(sizes, n)) == whole
+    assert len(list(nbest._picks([12] * 11, 12))) < 5_000
+
+
 def test_nbest_equals_every_path_in_order():
     lattice = small_lattice()
     random.seed(2)
