@@ -18,7 +18,6 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -196,15 +195,23 @@ def _opened(
 
     Bytes that are no UTF-8 become replacement characters; those of the patterns stay as they are.
     """
-    work = deque([(data, names, ancestors)])
+    # One window of each packing is held at a time: the next is unpacked when all inside the last has been read.
+    work = [iter([(data, names, ancestors)])]
     while work:
-        data, names, ancestors = work.popleft()
+        if (one := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        data, names, ancestors = one
         if not packed:
             yield data.decode("utf-8", "replace"), names, ancestors
         packed = False
         if (found := _unpacker(data)) is not None and (mark := hashlib.sha256(data).digest()) not in ancestors:
-            name, unpacker = found
-            work.extend((window, (*names, name), (*ancestors, mark)) for window in _unpacked(data, unpacker))
+            work.append(_windows(data, found[1], (*names, found[0]), (*ancestors, mark)))
+
+
+def _windows(data: bytes, unpacker, names: tuple[str, ...], ancestors: tuple[bytes, ...]) -> Iterator[tuple]:
+    for window in _unpacked(data, unpacker):
+        yield window, names, ancestors
 
 
 def find(text: str) -> list[tuple[str, int, int, str]]:
@@ -217,29 +224,39 @@ def find(text: str) -> list[tuple[str, int, int, str]]:
     candidates = any(BASE64.search(word) for word in text.split() if len(word) >= LONG_WORD)
     if escapes or candidates:
         places = np.arange(len(text))
-        work = deque([_Layer(text, (), places, places + 1, (hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(),))])
+        root = _Layer(text, (), places, places + 1, (hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(),))
+        # Layers are made when they are asked for and read depth first, so one window of each depth is held.
+        work = [iter([root])]
         while work:
-            layer = work.popleft()
+            if (layer := next(work[-1], None)) is None:
+                work.pop()
+                continue
             if layer.names:
                 for kind, start, end in scan(layer.text):
                     spans.setdefault((kind, *layer.place(start, end)), ".".join(layer.names))
-            for pattern, decode, name in ((PERCENT, _percent, "url"), (ESCAPE, _escape, "unicode")):
-                if (inner := _unescape(layer, pattern, decode, name)) is not None:
-                    _follow(work, inner)
-            for m in (*BASE64.finditer(layer.text), *WRAPPED.finditer(layer.text)):
-                region = layer.place(m.start(), m.end())
-                for data, packed in _decodings("".join(m[0].split())):
-                    for inside, names, ancestors in _opened(data, (*layer.names, "base64"), layer.ancestors, packed):
-                        _follow(work, _Layer(inside, names, *region, ancestors))
+            work.append(filter(_is_new, _inside(layer)))
     order = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [(*span, spans[span]) for span in order]
 
 
-def _follow(work: deque, layer: _Layer) -> None:
+def _inside(layer: _Layer) -> Iterator[_Layer]:
+    """The layers that a layer's text holds."""
+    for pattern, decode, name in ((PERCENT, _percent, "url"), (ESCAPE, _escape, "unicode")):
+        if (inner := _unescape(layer, pattern, decode, name)) is not None:
+            yield inner
+    for m in (m for pattern in (BASE64, WRAPPED) for m in pattern.finditer(layer.text)):
+        region = layer.place(m.start(), m.end())
+        for data, packed in _decodings("".join(m[0].split())):
+            for inside, names, ancestors in _opened(data, (*layer.names, "base64"), layer.ancestors, packed):
+                yield _Layer(inside, names, *region, ancestors)
+
+
+def _is_new(layer: _Layer) -> bool:
+    """Whether no layer around this one has its text; notes it for those inside."""
     mark = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
-    if mark not in layer.ancestors:
-        layer.ancestors = (*layer.ancestors, mark)
-        work.append(layer)
+    new = mark not in layer.ancestors
+    layer.ancestors = (*layer.ancestors, mark)
+    return new
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
