@@ -1,6 +1,8 @@
+from pathlib import Path
+
 import pytest
 
-from marquee.session import scratch_dir
+from marquee.session import materialise, scratch_dir, stages
 
 
 class FakeConf(dict):
@@ -25,3 +27,43 @@ def test_machine_folder_needs_a_local_master(conf):
 
 def test_local_master_may_use_it():
     assert "marquee-" in scratch_dir(FakeSession(spark_master="local[2]"))
+
+
+def folders(spark):
+    return set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+
+
+def test_a_run_deletes_its_stages_but_what_is_kept(spark):
+    before = folders(spark)
+    with stages(spark) as run:
+        first = materialise(spark.range(10), "first")
+        second = materialise(first.where("id > 4"), "second")
+        run.release(first)
+        assert len(folders(spark) - before) == 1
+        kept, lazy = run.keep(second), run.keep(second.selectExpr("id * 2 AS twice"))
+        assert kept is second
+    assert kept.count() == 5 and lazy.agg({"twice": "sum"}).first()[0] == 70
+    assert len(folders(spark) - before) == 2
+
+
+def test_runs_nest_and_hand_over(spark):
+    before = folders(spark)
+    with stages(spark) as outer:
+        with stages(spark) as inner:
+            result = inner.keep(materialise(spark.range(3)))
+        other = materialise(spark.range(4))
+        inner.release(other)  # not its own
+        assert result.count() == 3 and other.count() == 4
+        last = outer.keep(result.join(other, "id"))
+    assert last.count() == 3 and len(folders(spark) - before) == 1
+
+
+def test_a_failed_run_leaves_nothing(spark):
+    before = folders(spark)
+    with pytest.raises(RuntimeError):
+        with stages(spark):
+            materialise(spark.range(3))
+            raise RuntimeError
+    assert folders(spark) == before
+    saved = materialise(spark.range(2))  # outside a run it stays
+    assert saved.count() == 2 and len(folders(spark) - before) == 1
