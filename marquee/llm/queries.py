@@ -137,9 +137,9 @@ WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
 g AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) AS i FROM d),
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS shingle FROM g),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+i AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY ALL),
-l AS MATERIALIZED (SELECT u, v FROM i JOIN n AS a ON a.doc_id = u JOIN n AS b ON b.doc_id = v WHERE 100 * both >= 85 * (a.n + b.n - both)),
+l AS MATERIALIZED (SELECT u, v FROM i JOIN n AS a ON a.doc_id = u JOIN n AS b ON b.doc_id = v WHERE 100 * common >= 85 * (a.n + b.n - common)),
 r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.v FROM r JOIN l ON l.u = r.reached)
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
