@@ -35,6 +35,8 @@ from marquee.session import stages
 BITMAP_BITS = 25
 #: A task counts the phrases of so many words at once.
 GROUP_WORDS = 4_000_000
+#: The same where the words themselves are held.
+NAMED_WORDS = 300_000
 #: Words whose hash a worker remembers.
 HELD_WORDS = 500_000
 SCALE = 2_000_000
@@ -294,21 +296,32 @@ def phrase_texts(texts: DataFrame, chosen: DataFrame, longest: int) -> DataFrame
     """``key`` and ``phrase`` of the chosen phrases."""
     bitmap = bitmap_of(chosen)
 
+    def names(lang: str, words: list[bytes]) -> pa.RecordBatch:
+        """Every chosen phrase among the words, once."""
+        keys, found = word_keys(hashes(words), lang), {}
+        for size in range(2, longest + 1):
+            keys = longer(keys)
+            at = np.flatnonzero(marked(keys, bitmap))
+            different, first = np.unique(keys[at], return_index=True)
+            found |= {key: b" ".join(words[i : i + size]) for key, i in zip(different.tolist(), at[first].tolist())}
+        named = pa.array(list(found.values()), pa.binary()).cast(pa.string())
+        return pa.record_batch([np.array(list(found), np.uint64).view(np.int64), named], schema=schema_of(NAMED))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("collocations", _WORDS.clear)
+        held: dict[str, list[bytes]] = {}
+        total = 0
         for batch in batches:
-            found: dict[int, bytes] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), byte_rows(batch.column("text"))):
-                words = tokens(text)
-                keys = word_keys(hashes(words), lang)
-                for size in range(2, longest + 1):
-                    keys = longer(keys)
-                    for at in np.flatnonzero(marked(keys, bitmap)).tolist():
-                        key = int(keys[at])
-                        if key not in found:
-                            found[key] = b" ".join(words[at : at + size])
-            named = pa.array(list(found.values()), pa.binary()).cast(pa.string())
-            yield pa.record_batch([np.array(list(found), np.uint64).view(np.int64), named], schema=schema_of(NAMED))
+                words = held.setdefault(lang, [])
+                before = len(words)
+                words += tokens(text)
+                words.append(END)
+                total += len(words) - before
+                if total >= NAMED_WORDS:
+                    yield from (names(*one) for one in held.items())
+                    held, total = {}, 0
+        yield from (names(*one) for one in held.items())
 
     named = texts.mapInArrow(rows, NAMED).join(chosen.select("key"), "key", "left_semi").groupBy("key")
     one = F.min("phrase").alias("phrase"), (F.min("phrase") != F.max("phrase")).alias("several")
