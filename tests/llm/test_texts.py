@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import itertools
+import math
 import random
 import re
 import urllib.parse
@@ -12,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from marquee.llm import nbest, packing, quality, records, secrets
@@ -195,21 +197,55 @@ def test_held_out_labels_are_told_apart(spark):
     assert shares[1] >= 0.98 and shares[0] <= 0.1
 
 
-def test_weights_are_those_of_the_counts(spark):
-    docs = spark.createDataFrame([(1, "good words here"), (2, "bad words"), (3, "bad bad"), (4, "good here")], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i in (1, 4)), 0) for i in range(1, 5)], "doc_id long, quality int, toxic int")
-    halves = {r.label_id: r.half for r in quality.labelled(labels).collect()}
-    model = quality.fit(docs, labels)
+def scored(docs: dict, labels: list, bits: int) -> tuple[dict, float]:
+    """Score of every document and the threshold, from plain counts."""
+
+    def grams(text):
+        hashes = [xxhash.xxh64_intdigest(w.encode()) for w in brute.WORD.findall(text or "")]
+        pairs = [(a * 31 + b) % 2**64 for a, b in zip(hashes, hashes[1:])]
+        return [h * 0x9E3779B97F4A7C15 % 2**64 >> (64 - bits) for h in hashes + pairs]
+
+    kinds, halves = {}, {}
+    for doc_id, kind, half in labels:
+        kinds[doc_id], halves[doc_id] = kind, half
     corpus, good = Counter(), Counter()
-    for doc_id, text in [(1, "good words here"), (2, "bad words"), (3, "bad bad"), (4, "good here")]:
-        grams = quality.gram_buckets(quality.word_hashes(text.encode().split())).tolist()
-        corpus.update(grams)
-        if doc_id in (1, 4) and halves[doc_id] == 0:
-            good.update(grams)
-    if good:
-        usual = sum(good.values()) / sum(corpus.values())
-        for bucket in corpus:
-            assert model.weights[bucket] == pytest.approx(np.log((good[bucket] + 10 * usual) / (corpus[bucket] + 10) / usual))
+    for doc_id, text in docs.items():
+        corpus.update(grams(text))
+        if kinds.get(doc_id) == 1 and halves[doc_id] == 0:
+            good.update(grams(text))
+    usual = sum(good.values()) / sum(corpus.values())
+    weight = {b: math.log((good[b] + 10 * usual) / (n + 10) / usual) for b, n in corpus.items()}
+    scores = {i: sum(weight[b] for b in g) / len(g) if (g := grams(t)) else 0.0 for i, t in docs.items()}
+    judged = [(round(scores[i] * 1000), k) for i, k in kinds.items() if i in docs and (k == 0 or halves[i] == 1)]
+    trusted, poor = [s for s, k in judged if k], [s for s, k in judged if not k]
+    costs = [(5 * sum(s < t for s in trusted) / len(trusted) + sum(s >= t for s in poor) / len(poor), t) for t in sorted({s for s, _ in judged})]
+    least, at = min(costs)
+    return scores, (at - 0.5) / 1000 if least < 1 else -math.inf
+
+
+def test_every_score_and_verdict_equals_plain_python(spark, documents):
+    labels = spark.read.parquet(f"{brute.SF_DIR}/labels.parquet")
+    known = [tuple(r) for r in quality.labelled(labels).collect()]
+    bits = quality.bucket_bits(sum(len((t or "").encode()) for t in documents.values()))
+    scores, least = scored(documents, known, bits)
+    rows = QUERIES["op6_likelihood_quality"](spark, brute.SF_DIR).collect()
+    assert least > -math.inf and 0 < sum(r.kept for r in rows) < len(rows)
+    for r in rows:
+        assert r.score == pytest.approx(scores[r.doc_id], abs=1e-5)
+        assert abs(r.score - least) < 1e-5 or r.kept == (not r.base_failed and scores[r.doc_id] >= least)
+
+
+def test_labels_over_the_broadcast_limit_give_the_same_model(spark):
+    docs, labels = (spark.read.parquet(f"{brute.SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    one, two = quality.fit(docs, labels), quality.fit(docs, labels, most_broadcast=0)
+    assert (one.bits, one.usual, one.threshold) == (two.bits, two.usual, two.threshold)
+    weights = one.weights.copy()
+    assert (weights == two.weights).all() and weights.any()
+
+
+def test_buckets_grow_with_the_corpus():
+    bits = [quality.bucket_bits(n) for n in (0, 10**8, 10**9, 3 * 10**10, 10**14)]
+    assert bits == [8, 18, 20, 22, 26]
 
 
 def test_quality_of_hard_rows(spark, hard):
