@@ -32,7 +32,9 @@ UNTRAINED = -1_000_000_000
 HELD_CHARS = 4_500_000
 HELD_SEARCHES = 20_000
 #: Marks that no sum of scores reaches.
-NO_PIECE, NONE, NO_SECOND = 1 << 50, -(1 << 44), 1 << 34
+NO_PIECE, NONE, NO_SECOND = 1 << 59, -(1 << 59), 1 << 34
+#: Scores are added up as whole multiples of one over this if a model has fractional ones; float scores from 8 up are exact.
+FRACTION = 1 << 20
 OUT_CHARS = 2_000_000
 
 ROWS = "doc_id long, rank int, score long, n_pieces long, ids binary, round_trip boolean"
@@ -57,24 +59,25 @@ def lattice(path: str) -> Lattice:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        _LATTICES[path] = Lattice(
-            {
-                model.id_to_piece(i): (i, round(model.get_score(i)))
-                for i in range(model.vocab_size())
-                if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))
-            },
-            [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)],
-        )
+        scores = {
+            model.id_to_piece(i): (i, model.get_score(i))
+            for i in range(model.vocab_size())
+            if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))
+        }
+        _LATTICES[path] = Lattice(scores, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
     return _LATTICES[path]
 
 
 class Lattice:
-    """Pieces with integer scores, and byte pieces for what they do not cover.
+    """Pieces with their scores, and byte pieces for what they do not cover.
 
+    Scores are held as whole numbers of ``1 / unit``: the unit is one if all scores are whole, else ``FRACTION``.
     Ties are in favour of the path whose last piece is the longest, then the one before it.
     """
 
-    def __init__(self, pieces: dict[str, tuple[int, int]], byte_ids: list[int]):
+    def __init__(self, scored: dict[str, tuple[int, float]], byte_ids: list[int]):
+        self.unit = 1 if all(float(score).is_integer() for _, score in scored.values()) else FRACTION
+        pieces = {piece: (i, round(score * self.unit)) for piece, (i, score) in scored.items()}
         #: Scores of pieces; beginnings of pieces that are none have ``NO_PIECE``.
         self.scores = {piece[:k]: NO_PIECE for piece in pieces for k in range(1, len(piece))}
         self.scores |= {piece: score for piece, (_, score) in pieces.items()}
@@ -83,7 +86,7 @@ class Lattice:
         self.backward |= {piece: score for piece, (_, score) in pieces.items()}
         self.ids = {piece: np.array([i], "<u4").tobytes() for piece, (i, _) in pieces.items()}
         self.byte_ids = byte_ids
-        self.unknown = min((s for _, s in pieces.values() if s > UNTRAINED), default=0) - UNKNOWN_PENALTY
+        self.unknown = min((s for _, s in pieces.values() if s > UNTRAINED * self.unit), default=0) - UNKNOWN_PENALTY * self.unit
         self.spelled = np.full(1 + max([i for i, _ in pieces.values()] + byte_ids), b"", object)
         for piece, (i, _) in pieces.items():
             self.spelled[i] = piece.replace(SPACE, " ").encode()
@@ -259,7 +262,8 @@ def _picks(sizes: list[int], n: int) -> Iterator[tuple[int, ...]]:
 def nbest_segments(docs: DataFrame, n: int = 4, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
     """Up to ``n`` rows per document, best first: ``rank``, ``score``, ``n_pieces``, ``ids`` and ``round_trip``.
 
-    ``ids`` are little-endian unsigned 32-bit integers, the score is the sum of the pieces' scores.
+    ``ids`` are little-endian unsigned 32-bit integers, the score is the sum of the pieces' scores,
+    in whole units (of ``1 / FRACTION`` if the model has fractional scores).
     ``round_trip`` is true if decoding gives the text back (a space mark in the text counts as a space). A null
     or empty text has one row without pieces; a text with fewer segmentations has fewer rows.
     """

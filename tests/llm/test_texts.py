@@ -381,6 +381,32 @@ def test_nbest_equals_every_path_in_order():
         assert all(lattice.decode(ids) == text for _, ids in got)
 
 
+def test_nbest_of_fractional_scores_equals_every_path():
+    pieces = {"a": -3.25, "b": -3.375, "ab": -6.5, "ba": -6.75, "aba": -9.8125, "▁": -2.4, "▁a": -5.5, "▁ab": -8.9, "▁▁": -4.9}
+    lattice = nbest.Lattice({p: (i, s) for i, (p, s) in enumerate(pieces.items(), 1)}, list(range(100, 356)))
+    assert lattice.unit == nbest.FRACTION and small_lattice().unit == 1
+    random.seed(3)
+    for _ in range(500):
+        text = "".join(random.choices("ab c", weights=(5, 5, 2, 1), k=random.randrange(1, 9)))
+        expected, got = every_path(lattice, "▁" + text.replace(" ", "▁")), lattice.nbest([text], 5)[0]
+        assert [s for s, _ in got] == [s for s, _ in expected[:5]]
+        assert len(set(got)) == len(got) and set(got) <= set(expected)
+    score = lattice.nbest(["aba"], 1)[0][0][0] / nbest.FRACTION
+    assert score == pytest.approx(max(-2.4 - 9.8125, -5.5 - 6.75, -8.9 - 3.25, -5.5 - 3.375 - 3.25), abs=1e-5)
+
+
+def test_nbest_of_the_query_equals_every_path_on_short_texts(spark, documents):
+    lattice = nbest.lattice(nbest.model_file())
+    words = sorted({w[:7] for t in documents.values() for w in t.split()[:40]})[::40]
+    assert len(words) > 20
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    rows = nbest.nbest_segments(docs, n=4).collect()
+    for i, word in enumerate(words):
+        expected = every_path(lattice, "▁" + word)
+        got = [(r.score, bytes(r.ids)) for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r["rank"])]
+        assert [s for s, _ in got] == [s for s, _ in expected[:4]] and set(got) <= set(expected)
+
+
 def test_nbest_query_and_hard_rows(spark, hard, documents):
     rows = QUERIES["op8_nbest_segments"](spark, brute.SF_DIR).collect()
     assert {r.doc_id for r in rows} == set(documents) and all(r.round_trip for r in rows)
