@@ -1,5 +1,6 @@
 """Exact and near duplicates, common lines, components, archive, surrogates."""
 
+import base64
 import hashlib
 import random
 import re
@@ -277,8 +278,6 @@ def test_archive_of_hard_rows(spark, tmp_path):
     )
     for r in got:
         if r.page_id is not None:
-            import base64
-
             assert bytes(r.payload) == bodies[r.page_id] and r.payload_bytes == len(bodies[r.page_id])
             assert r.payload_digest == base64.b32encode(hashlib.sha1(bodies[r.page_id]).digest()).decode()
     assert spark.read.parquet(f"{path}/payloads").count() == 3
@@ -290,6 +289,47 @@ def test_archive_of_hard_rows(spark, tmp_path):
     assert warc.read_archive(spark, empty).count() == 0
 
 
+def parsed(data: bytes) -> list[tuple[dict, bytes]]:
+    """Records of a WARC file, read by its rules alone."""
+    out, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        version, *fields = data[at:end].decode().split("\r\n")
+        head = dict(f.split(": ", 1) for f in fields)
+        assert version == "WARC/1.1" and len(head) == len(fields)
+        start, n = end + 4, int(head["Content-Length"])
+        assert data[start + n : start + n + 4] == b"\r\n\r\n"
+        out.append((head, data[start : start + n]))
+        at = start + n + 4
+    return out
+
+
+def test_records_of_the_pages_are_valid_files(spark, tmp_path):
+    pages = spark.read.parquet(f"{brute.SF_DIR}/pages.parquet").select("page_id", "url", "html")
+    pages = pages.unionByName(pages.limit(20).withColumn("page_id", F.col("page_id") + 1_000_000))
+    pages = pages.unionByName(spark.createDataFrame([(None, "u", "no id")], pages.schema))
+    path = str(tmp_path / "w")
+    warc.write_archive(pages, path, date="2024-05-06T07:08:09Z")
+    rows = warc.read_archive(spark, path).select("page_id", "record_type", warc.record_bytes(F.col("header"), F.col("payload")).alias("record")).collect()
+    records = parsed(b"".join(bytes(r.record) for r in rows))
+    assert len(records) == len(rows) == pages.count()
+    bodies = {r.page_id: (r.html or "").encode() for r in pages.collect()}
+    blocks = {head["WARC-Record-ID"]: block for head, block in records}
+    assert len(blocks) == len(records)
+    for row, (head, block) in zip(rows, records):
+        assert head["WARC-Date"] == "2024-05-06T07:08:09Z" and head["WARC-Type"] == row.record_type
+        body = bodies[row.page_id]
+        assert head["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+        if row.record_type == "revisit":
+            assert block == b"" and blocks[head["WARC-Refers-To"]] == body and head["WARC-Profile"].endswith("identical-payload-digest")
+        else:
+            assert block == body and "WARC-Refers-To" not in head
+    assert {r.record_type for r in rows} == {"response", "revisit"}
+    warc.write_archive(pages.limit(3), f"{path}2")
+    now = [warc.header_field(F.col("header"), "WARC-Date").alias("d")]
+    assert all(re.fullmatch(r"20\d\d-\d\d-\d\dT\d\d:\d\d:\d\dZ", r.d) for r in warc.read_archive(spark, f"{path}2").select(*now).collect())
+
+
 def test_damaged_payloads_are_not_verified(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "one"), (2, "u", "two")], "page_id long, url string, html string")
     path = str(tmp_path / "a")
