@@ -1,10 +1,13 @@
 """Topic model whose statistics are tables, for any number of terms and texts.
 
 Texts and terms are dealt to blocks. The entries of a block of texts that fall on a block of terms are
-one row of packed arrays, saved once. An iteration joins these rows with the counts of their texts and
-of their terms, splits every entry over the topics in proportion to both, and sums the shares up again
-by block; neither driver nor task ever holds more than one block of each. This is expectation
-maximisation for the topic mixture with Dirichlet smoothing, so the penalised likelihood never falls.
+one row of packed arrays, a slab, saved once with the list of its different terms. An iteration brings the
+slabs of a block of texts together with the counts of just these terms, splits every entry over the topics
+in proportion to the counts of its text and its term, and sends the sums for these terms to their blocks,
+which add them up and answer. Terms of one block of texts only, most of a vocabulary, stay with it. So
+what an iteration moves grows with the entries, not with blocks of texts times blocks of terms; neither
+driver nor task ever holds more than one block of each. This is expectation maximisation for the topic
+mixture with Dirichlet smoothing, so the penalised likelihood never falls.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +25,20 @@ from pyspark.sql import functions as F
 
 from marquee.session import materialise, stages
 
-#: Most terms of a block, most texts, and most entries of a block of texts for five topics.
-TERM_BLOCK, TEXT_BLOCK, ENTRY_BLOCK = 1 << 16, 1 << 13, 1 << 21
+#: Least terms of a block, number of blocks beyond which they hold more terms instead, and most terms of one.
+TERM_BLOCK, TERM_BLOCKS, MOST_TERMS = 1 << 16, 512, 1 << 21
+#: Most texts of a block, and most entries for five topics; few texts are dealt to up to so many blocks of a few.
+TEXT_BLOCK, ENTRY_BLOCK, LEAST_BLOCKS, FEW_TEXTS = 1 << 13, 1 << 20, 64, 256
 #: Rows of packed arrays that go to Python at once.
 BATCH_ROWS = 4
 
-_SLAB = "block int, part int, d binary, w binary, n binary"
-_SUM = "kind int, at int, origin int, m binary"
-_TERMS, _TEXTS, _LIKELIHOOD = 0, 1, 2
+_SLAB = "block int, part int, d binary, u binary, w binary, n binary"
+_SHARED_SLAB = _SLAB + ", shared int"
+_ROW = "kind int, block int, part int, w binary, m binary, stats array<double>"
+_COUNTS = "part int, counts binary"
+#: Rows of a block of texts in the order in which a task needs them: its texts' counts, then for each block of terms
+#: the counts of shared terms, those of its own terms, and the slab. ``_STATS`` has sums for the driver.
+_TEXTS, _SHARED, _OWN, _ENTRIES, _STATS = range(5)
 
 
 @dataclass(frozen=True)
@@ -66,15 +76,20 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def _parts(terms: int, term_block: int | None) -> int:
+    return max(1, -(-terms // (term_block or min(MOST_TERMS, max(TERM_BLOCK, -(-terms // TERM_BLOCKS))))))
+
+
 def _slabs(vectors: DataFrame, column: str, row_id: str, k: int, parts: int) -> DataFrame:
-    """Packed entries by block of texts and of terms, saved; under part -1 the ids of the block's texts, in order."""
+    """Packed entries by block of texts and of terms, saved: text, place in the list of terms, terms, and count. Under part -1
+    the ids of the block's texts, in order."""
     inner = F.unwrap_udt(F.col(column))
     values = inner.getField("values")
     places = F.coalesce(inner.getField("indices"), F.sequence(F.lit(0), F.size(values) - 1))
     rows = vectors.where(F.col(column).isNotNull()).select(F.col(row_id).cast("long").alias("row"), places.alias("places"), values.alias("values"))
     rows = rows.where(F.size("values") > 0)
     sizes = rows.agg(F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum(F.size("values")), F.lit(0)).alias("entries")).first()
-    blocks = max(1, -(-sizes.texts // TEXT_BLOCK), -(-sizes.entries * k // (5 * ENTRY_BLOCK)))
+    blocks = max(1, -(-sizes.texts // TEXT_BLOCK), -(-sizes.entries * k // (5 * ENTRY_BLOCK)), min(LEAST_BLOCKS, sizes.texts // FEW_TEXTS))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
 
     def pack(table: pa.Table) -> pa.Table:
@@ -86,23 +101,19 @@ def _slabs(vectors: DataFrame, column: str, row_id: str, k: int, parts: int) ->
         part = places % parts
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        out = [(block, -1, table.column("row").to_numpy().astype("<i8").tobytes(), b"", b"")]
+        out = [(block, -1, table.column("row").to_numpy().astype("<i8").tobytes(), b"", b"", b"")]
         for at in range(parts):
             mine = order[cuts[at] : cuts[at + 1]]
             if len(mine):
-                out.append((block, at, d[mine].tobytes(), (places[mine] // parts).astype(np.int32).tobytes(), counts[mine].tobytes()))
+                terms, place = np.unique((places[mine] // parts).astype(np.int32), return_inverse=True)
+                out.append((block, at, d[mine].tobytes(), place.astype(np.int32).tobytes(), terms.tobytes(), counts[mine].tobytes()))
         names = [f.split()[0] for f in _SLAB.split(", ")]
-        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     return materialise(rows.groupBy("block").applyInArrow(pack, _SLAB), "slabs")
 
 
-def _unpack(batch: pa.RecordBatch) -> Iterator[tuple]:
-    for block, part, d, w, n in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "d", "w", "n"))):
-        yield block, part, np.frombuffer(d, np.int32), np.frombuffer(w, np.int32), np.frombuffer(n, np.float32).astype(np.float64)
-
-
 def _matrix(data: bytes, k: int) -> np.ndarray:
     return np.frombuffer(data, np.float64).reshape(-1, k)
 
@@ -111,38 +122,64 @@ def _sum_rows(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(places, rows[:, j], minlength=size) for j in range(rows.shape[1])], 1)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["kind", "at", "origin", "m"])
+def _batch(*rows: tuple) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.float64())]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["kind", "block", "part", "w", "m", "stats"])
 
 
-def _summed(rows: DataFrame, k: int) -> DataFrame:
-    """Matrices added up by ``kind`` and ``at``, in an order that a repeated task keeps; ``total`` has the column sums."""
-    schema = "kind int, at int, m binary, total array<double>"
+def _rows(df: DataFrame, kind: int, **columns: str) -> DataFrame:
+    """Rows of :data:`_ROW` from the columns at hand, the others NULL."""
+    given = {"block": "block", "part": "part", **columns}
+    fields = [f.split() for f in _ROW.split(", ")[1:]]
+    return df.select(F.lit(kind).alias("kind"), *[(F.col(given[n]) if n in given else F.lit(None).cast(t)).alias(n) for n, t in fields])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, matrix = None, None
 
-        def done() -> pa.RecordBatch:
-            columns = [[held[0]], [held[1]], [matrix.tobytes()], pa.array([matrix.sum(0).tolist()], pa.list_(pa.float64()))]
-            return pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), columns[3]], names=["kind", "at", "m", "total"])
+def _in_order(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in names))
+
+
+def _dealt(rows: DataFrame, key: str, *then: str) -> DataFrame:
+    return rows.repartition(key).sortWithinPartitions(key, *then)
+
+
+def _mark_shared(slabs: DataFrame, per_part: int) -> DataFrame:
+    """The slabs with their terms in a new order: first the ``shared`` ones, which other blocks of texts have too. Saved."""
+    lists = slabs.where("part >= 0").select("block", "part", "w")
+    twice = lists.withColumn("again", F.lit(0)).unionByName(lists.withColumn("again", F.lit(1)))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found = None, None
+        for block, part, w, again in _in_order(batches, "block", "part", "w", "again"):
+            if part != held:
+                held, found = part, np.zeros(per_part, np.int32)
+            terms = np.frombuffer(w, np.int32)
+            if again:
+                yield pa.record_batch([pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([(found[terms] > 1).tobytes()], pa.binary())], names=["block", "part", "others"])
+            else:
+                found[terms] += 1
 
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for kind, at, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "at", "m"))):
-                more = _matrix(data, k)
-                if (kind, at) != held:
-                    if held is not None:
-                        yield done()
-                    held, matrix = (kind, at), more.copy()
-                else:
-                    if len(more) > len(matrix):
-                        matrix = np.vstack([matrix, np.zeros((len(more) - len(matrix), k))])
-                    matrix[: len(more)] += more
-        if held is not None:
-            yield done()
+            out = []
+            for block, part, d, u, w, n, others in _in_order([batch], "block", "part", "d", "u", "w", "n", "others"):
+                others = np.frombuffer(others, np.bool_)
+                order = np.argsort(~others, kind="stable")
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(len(order), dtype=np.int32)
+                out.append((block, part, d, rank[np.frombuffer(u, np.int32)].tobytes(), np.frombuffer(w, np.int32)[order].tobytes(), n, int(others.sum())))
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "part", "d", "u", "w", "n", "shared"])
 
-    dealt = rows.repartition("kind", "at").sortWithinPartitions("kind", "at", "origin")
-    return dealt.mapInArrow(add, schema)
+    marked = _dealt(twice, "part", "again", "block").mapInArrow(mark, "block int, part int, others binary")
+    return materialise(slabs.join(marked, ["block", "part"]).select("block", "part", "d", "u", "w", "n", "others").mapInArrow(sort, _SHARED_SLAB), "slabs")
+
+
+def _stats(of_texts: DataFrame, of_terms: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the blocks' rows of a few numbers each, whatever their order; rows of blocks of texts have more numbers."""
+    rows = [r.stats for r in of_texts.unionByName(of_terms).where(F.col("kind") == _STATS).select("stats").collect()]
+    return tuple(np.array([fsum(column) for column in zip([0.0] * size, *(r for r in rows if len(r) == size))]) for size in (3 + k, 1 + k))
 
 
 def fit_topic_table(
@@ -155,7 +192,7 @@ def fit_topic_table(
     seed: int = 42,
     alpha: float | None = None,
     eta: float | None = None,
-    term_block: int = TERM_BLOCK,
+    term_block: int | None = None,
 ) -> TopicTable:
     """Fit ``k`` topics to count vectors over ``terms`` slots; every text takes part in every iteration.
 
@@ -166,79 +203,114 @@ def fit_topic_table(
     """
     spark = vectors.sparkSession
     alpha, eta = alpha or 1 / k, eta or 1 / k
-    parts = max(1, -(-terms // term_block))
-    with _small_batches(spark), stages(spark) as run:
-        slabs = _slabs(vectors, column, row_id, k, parts)
-        entries, ids = slabs.where("part >= 0"), slabs.where("part < 0")
-        per_part = -(-terms // parts)
-
-        def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for block, data in zip(batch.column("block").to_pylist(), batch.column("d").to_pylist()):
-                    shares = np.random.default_rng([seed, block]).dirichlet(np.ones(k), len(data) // 8)
-                    yield _batch([(_TEXTS, block, 0, shares.tobytes())])
-
-        def step(first: bool, totals: np.ndarray):
-            def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    of_terms = [None] * batch.num_rows if first else batch.column("of_terms").to_pylist()
-                    for (block, part, d, w, n), texts, own in zip(_unpack(batch), batch.column("of_texts").to_pylist(), of_terms):
-                        texts = _matrix(texts, k)
-                        theta = (texts + alpha) / (texts.sum(1, keepdims=True) + k * alpha)
-                        shares = texts[d] if first else theta[d] * ((_matrix(own, k) + eta) / (totals + terms * eta))[w]
-                        whole = shares.sum(1)
-                        likelihood = 0.0 if first else float(n @ np.log(whole))
-                        shares = shares * (n / whole)[:, None]
-                        yield _batch(
-                            [
-                                (_TERMS, part, block, _sum_rows(w, shares, per_part).tobytes()),
-                                (_TEXTS, block, part, _sum_rows(d, shares, len(texts)).tobytes()),
-                                (_LIKELIHOOD, 0, block * parts + part, np.array([likelihood] + [0.0] * (k - 1)).tobytes()),
-                            ]
-                        )
-
-            return rows
-
-        state = materialise(ids.mapInArrow(start, _SUM).select("kind", "at", "m", F.array().cast("array<double>").alias("total")), "state")
-        totals, likelihoods, penalised = np.zeros(k), [], []
-        for number in range(iterations + 1):
-            of_texts = state.where(F.col("kind") == _TEXTS).select(F.col("at").alias("block"), F.col("m").alias("of_texts"))
-            joined = entries.join(of_texts, "block")
-            if number:
-                of_terms = state.where(F.col("kind") == _TERMS).select(F.col("at").alias("part"), F.col("m").alias("of_terms"))
-                joined = joined.join(of_terms, "part")
-                prior = _prior(state, k, alpha, eta, terms, totals, per_part)
-            after = materialise(_summed(joined.mapInArrow(step(not number, totals), _SUM), k), "state")
-            run.release(state)
-            state = after
-            small = state.where(F.col("kind") != _TEXTS).groupBy("kind").agg(*[F.sum(F.col("total")[j]).alias(f"t{j}") for j in range(k)])
-            sums = {r.kind: np.array([r[f"t{j}"] for j in range(k)]) for r in small.collect()}
-            totals = sums.get(_TERMS, np.zeros(k))
-            if number:
-                likelihoods.append(float(sums[_LIKELIHOOD][0]) if sums else 0.0)
-                penalised.append(likelihoods[-1] + prior)
-        counts = state.where(F.col("kind") == _TERMS).select(F.col("at").alias("part"), F.col("m").alias("counts"))
-        return TopicTable(run.keep(counts, "topics"), tuple(totals.tolist()), terms, parts, alpha, eta, tuple(likelihoods), tuple(penalised))
+    parts = _parts(terms, term_block)
+    per_part = -(-terms // parts)
+    none = np.zeros((0, k))
 
+    def log_counts(m: np.ndarray) -> float:
+        """The logarithms of smoothed counts, less what a count of zero has."""
+        return float(np.log(m / eta + 1).sum())
 
-def _prior(state: DataFrame, k: int, alpha: float, eta: float, terms: int, totals: np.ndarray, per_part: int) -> float:
-    """The smoothing's part of the penalised likelihood at the counts of ``state``; one number from each block."""
-    parts = -(-terms // per_part)
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, data in _in_order(batches, "block", "d"):
+            shares = np.random.default_rng([seed, block]).dirichlet(np.ones(k), len(data) // 8)
+            yield _batch((_TEXTS, block, -1, None, shares.tobytes(), None))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for kind, at, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "at", "m"))):
-                m = _matrix(data, k)
+    def split(first: bool, totals: np.ndarray):
+        """Entries over topics. Statistics: likelihood, the texts' prior, the own terms' logarithms and totals."""
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, texts, theta, new, stats, known, own = None, none, none, none, np.zeros(3 + k), none, none
+
+            def done() -> pa.RecordBatch:
+                return _batch((_TEXTS, held, -1, None, new.tobytes(), None), (_STATS, held, -1, None, None, stats.tolist()))
+
+            for kind, block, part, d, u, w, n, shared, m in _in_order(batches, "kind", "block", "part", "d", "u", "w", "n", "shared", "m"):
                 if kind == _TEXTS:
-                    out.append(alpha * float(np.log((m + alpha) / (m.sum(1, keepdims=True) + k * alpha)).sum()))
+                    if held is not None:
+                        yield done()
+                    held, texts = block, _matrix(m, k)
+                    theta = (texts + alpha) / (texts.sum(1, keepdims=True) + k * alpha)
+                    new, stats = np.zeros_like(texts), np.zeros(3 + k)
+                    stats[1] = alpha * np.log(theta).sum()
+                elif kind == _SHARED:
+                    known = _matrix(m, k)
+                elif kind == _OWN:
+                    own = _matrix(m, k)
                 else:
-                    real = m[: -(-(terms - at) // parts)]
-                    out.append(eta * float(np.log((real + eta) / (totals + terms * eta)).sum()))
-            yield pa.record_batch([pa.array(out, pa.float64())], names=["part"])
+                    d, u, n, w = np.frombuffer(d, np.int32), np.frombuffer(u, np.int32), np.frombuffer(n, np.float32).astype(np.float64), np.frombuffer(w, np.int32)
+                    shares = texts[d] if first else theta[d] * ((np.vstack([known, own]) + eta) / (totals + terms * eta))[u]
+                    known, own = none, none
+                    whole = shares.sum(1)
+                    if not first:
+                        stats[0] += n @ np.log(whole)
+                    shares *= (n / whole)[:, None]
+                    new += _sum_rows(d, shares, len(new))
+                    sums = _sum_rows(u, shares, len(w))
+                    stats[2] += log_counts(sums[shared:])
+                    stats[3:] += sums[shared:].sum(0)
+                    if shared:
+                        yield _batch((_SHARED, block, part, w[:shared].tobytes(), sums[:shared].tobytes(), None))
+                    if shared < len(w):
+                        yield _batch((_OWN, block, part, w[shared:].tobytes(), sums[shared:].tobytes(), None))
+            if held is not None:
+                yield done()
+
+        return rows
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of a block of terms, then the answers to all who asked. Statistics: the terms' logarithms and totals."""
+        held, matrix, told = None, none, False
+        for again, block, part, w, m in _in_order(batches, "again", "block", "part", "w", "m"):
+            if part != held:
+                held, matrix, told = part, np.zeros((per_part, k)), False
+            if not again:
+                matrix[np.frombuffer(w, np.int32)] += _matrix(m, k)
+                continue
+            if not told:
+                told = True
+                yield _batch((_STATS, -1, part, None, None, [log_counts(matrix), *matrix.sum(0).tolist()]))
+            yield _batch((_SHARED, block, part, None, matrix[np.frombuffer(w, np.int32)].tobytes(), None))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, matrix = None, none
+        done = lambda: pa.record_batch([pa.array([held], pa.int32()), pa.array([matrix.tobytes()], pa.binary())], names=["part", "counts"])
+        for part, w, m in _in_order(batches, "part", "w", "m"):
+            if part != held:
+                if held is not None:
+                    yield done()
+                held, matrix = part, np.zeros((per_part, k))
+            matrix[np.frombuffer(w, np.int32)] += _matrix(m, k)
+        if held is not None:
+            yield done()
 
-    known = state.where(F.col("kind") != _LIKELIHOOD).select("kind", "at", "m")
-    return known.mapInArrow(rows, "part double").agg(F.coalesce(F.sum("part"), F.lit(0.0))).first()[0]
+    with _small_batches(spark), stages(spark) as run:
+        slabs = _slabs(vectors, column, row_id, k, parts)
+        entries = _mark_shared(slabs, per_part)
+        empty = [F.lit(None).cast("binary").alias(c) for c in ("d", "u", "w", "n")]
+        entry_rows = entries.select(F.lit(_ENTRIES).alias("kind"), "*", F.lit(None).cast("binary").alias("m"))
+        state = materialise(slabs.where("part < 0").mapInArrow(start, _ROW), "state")
+        run.release(slabs)
+        answers, totals, log_sum, likelihoods, penalised = None, np.zeros(k), 0.0, [], []
+        for number in range(iterations + 1):
+            given = state.where(F.col("kind").isin(_TEXTS, _OWN))
+            given = given if answers is None else given.unionByName(answers.where(F.col("kind") == _SHARED))
+            rows = entry_rows.unionByName(given.select("kind", "block", "part", *empty, F.lit(0).alias("shared"), "m"))
+            after = materialise(_dealt(rows, "block", "part", "kind").mapInArrow(split(not number, totals), _ROW), "state")
+            sums = after.where(F.col("kind") == _SHARED).select("block", "part", "w", "m")
+            asked = sums.select(F.lit(1).alias("again"), "block", "part", "w", F.lit(None).cast("binary").alias("m"))
+            more = materialise(_dealt(sums.select(F.lit(0).alias("again"), "*").unionByName(asked), "part", "again", "block").mapInArrow(add, _ROW), "state")
+            run.release(state, *([] if answers is None else [answers]))
+            state, answers = after, more
+            of_texts, of_terms = _stats(state, answers, k)
+            if number:
+                prior = of_texts[1] + eta * (log_sum - terms * float(np.log(totals / eta + terms).sum()))
+                likelihoods.append(float(of_texts[0]))
+                penalised.append(float(likelihoods[-1] + prior))
+            totals, log_sum = of_texts[3:] + of_terms[1:], of_texts[2] + of_terms[0]
+        summed = state.where(F.col("kind").isin(_SHARED, _OWN)).select("block", "part", "kind", "w", "m")
+        counts = run.keep(materialise(_dealt(summed, "part", "block", "kind").mapInArrow(whole, _COUNTS), "topics"))
+        return TopicTable(counts, tuple(totals.tolist()), terms, parts, alpha, eta, tuple(likelihoods), tuple(penalised))
 
 
 def topic_shares(
@@ -246,51 +318,61 @@ def topic_shares(
 ) -> DataFrame:
     """``df`` with each row's share of every topic as a vector, the terms of the topics held fixed.
 
-    A row's entries get the chances of their terms by a join, one shuffle brings those of a block of texts
-    together, and its shares are iterated there. A row without entries has zeros. The shares are saved.
+    The terms of a block of texts ask their blocks for their chances, one shuffle brings these and the entries
+    of a block of texts together, and its shares are iterated there. A row without entries has zeros. The
+    shares are saved.
     """
     spark, k, eta, alpha = df.sparkSession, model.k, model.eta, model.alpha
     totals = np.array(model.totals)
     terms, parts = model.terms, model.parts
+    per_part = -(-terms // parts)
 
     def chances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for (block, part, d, w, n), counts in zip(_unpack(batch), batch.column("counts").to_pylist()):
-                found = ((_matrix(counts, k) + eta) / (totals + terms * eta))[w]
-                # Laid out as text, count, chances: one matrix of k + 2 columns.
-                yield _batch([(0, block, part, np.column_stack([d, n, found]).tobytes())])
+        held, matrix = None, None
+        for block, part, w, m in _in_order(batches, "block", "part", "w", "m"):
+            if part != held:
+                held, matrix = part, np.zeros((per_part, k))
+            if w is None:
+                matrix = _matrix(m, k)
+            else:
+                found = (matrix[np.frombuffer(w, np.int32)] + eta) / (totals + terms * eta)
+                yield _batch((_SHARED, block, part, None, found.tobytes(), None))
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        last, ids = None, b""
-        for batch in batches:
-            for at, origin, data in zip(*(batch.column(c).to_pylist() for c in ("at", "origin", "m"))):
-                if at != last and held:
-                    yield _fold_in(ids, held, k, alpha, iterations)
-                    held = []
-                last = at
-                if origin < 0:
-                    ids = data
-                else:
-                    held.append(np.frombuffer(data, np.float64).reshape(-1, k + 2))
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        last, ids, found = None, b"", b""
+        for kind, block, d, u, n, m in _in_order(batches, "kind", "block", "d", "u", "n", "m"):
+            if block != last and held:
+                yield _fold_in(ids, held, k, alpha, iterations)
+                held = []
+            last = block
+            if kind == _TEXTS:
+                ids = d
+            elif kind == _SHARED:
+                found = m
+            else:
+                held.append((np.frombuffer(d, np.int32), np.frombuffer(n, np.float32).astype(np.float64), _matrix(found, k)[np.frombuffer(u, np.int32)]))
         if held:
             yield _fold_in(ids, held, k, alpha, iterations)
 
     with _small_batches(spark), stages(spark) as run:
         slabs = _slabs(df, column, row_id, k, parts)
-        known = slabs.where("part >= 0").join(model.counts, "part").mapInArrow(chances, _SUM)
-        ids = slabs.where("part < 0").select(F.lit(0).alias("kind"), F.col("block").alias("at"), F.lit(-1).alias("origin"), F.col("d").alias("m"))
-        dealt = known.unionByName(ids).repartition("at").sortWithinPartitions("at", "origin")
-        found = run.keep(dealt.mapInArrow(shares, "of_row long, share array<double>"), "shares")
+        asked = _rows(slabs.where("part >= 0"), _ENTRIES, w="w")
+        fixed = _rows(model.counts.withColumn("block", F.lit(-1)), _TEXTS, m="counts")
+        known = _dealt(fixed.unionByName(asked), "part", "kind", "block").mapInArrow(chances, _ROW)
+        kind = F.when(F.col("part") < 0, _TEXTS).otherwise(_ENTRIES).alias("kind")
+        empty = [F.lit(None).cast("binary").alias(c) for c in ("d", "u", "n")]
+        rows = slabs.select(kind, "block", "part", "d", "u", "n", F.lit(None).cast("binary").alias("m")).unionByName(known.select("kind", "block", "part", *empty, "m"))
+        found = run.keep(_dealt(rows, "block", "part", "kind").mapInArrow(shares, "of_row long, share array<double>"), "shares")
     none = F.array(*[F.lit(0.0)] * k)
     joined = df.join(found, F.col(row_id) == F.col("of_row"), "left")
     return joined.select(*[c for c in df.columns if c != output], array_to_vector(F.coalesce("share", none)).alias(output))
 
 
-def _fold_in(ids: bytes, held: list[np.ndarray], k: int, alpha: float, iterations: int) -> pa.RecordBatch:
+def _fold_in(ids: bytes, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int, alpha: float, iterations: int) -> pa.RecordBatch:
     rows = np.frombuffer(ids, "<i8")
-    d, n, found = (np.concatenate([h[:, cut] for h in held]) for cut in (0, 1, slice(2, None)))
-    d, counts = d.astype(np.int64), np.zeros((len(rows), k))
+    d, n, found = (np.concatenate(arrays) for arrays in zip(*held))
+    counts = np.zeros((len(rows), k))
     theta = np.full((len(rows), k), 1 / k)
     for _ in range(iterations):
         split = theta[d] * found

@@ -70,6 +70,23 @@ def test_blocks_do_not_change_the_fit(spark, monkeypatch):
         assert others[1][i] == pytest.approx(share)
 
 
+def test_what_an_iteration_moves_grows_with_the_entries(spark, monkeypatch):
+    """Blocks exchange the counts of terms they have, not whole blocks of terms for every block of texts."""
+    vectors, _, rows = planted(spark, 90)
+    entries, moved = sum(len(set(words)) for _, words in rows), []
+
+    def saved(df, purpose="stage", **options):
+        frame = materialise(df, purpose, **options)
+        if purpose == "state":
+            moved.append(frame.agg(F.coalesce(F.sum(F.length("m")), F.lit(0))).first()[0])
+        return frame
+
+    monkeypatch.setattr(topics_module, "materialise", saved)
+    monkeypatch.setattr(topics_module, "TEXT_BLOCK", 8)
+    fit_topic_table(vectors, "v", 50_000, "i", k=3, iterations=1, term_block=5_000)
+    assert max(moved) <= 3 * 8 * (entries + len(rows))
+
+
 def test_same_vectors_give_the_same_fit(spark):
     vectors, vocabulary, _ = planted(spark, 60)
     monkey = [fit_topic_table(vectors, "v", vocabulary.count(), "i", k=3, iterations=3, term_block=20).likelihoods for _ in range(2)]
