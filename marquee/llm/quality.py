@@ -5,9 +5,8 @@ from the whole corpus. A document's score is the mean log ratio of its n-grams,
 not matter. Every bucket starts from ``PRIOR`` n-grams that are trusted as often as all are, so
 rare ones say little. The number of buckets grows with the corpus, as its vocabulary does. The
 threshold is the same for every document. It is set on labelled documents outside the trusted
-half, which score as documents without a label do. Both multinomials are counted over all their
-documents; only the threshold uses about ``most_labelled`` labels at most, those of the smallest
-seeded hash. What a task hands on is one row per bucket that it has seen. The counts are a saved
+half, all of them, which score as documents without a label do. Both multinomials are counted over
+all their documents. What a task hands on is one row per bucket that it has seen. The counts are a saved
 table that workers read, so they never pass through the driver.
 """
 
@@ -30,9 +29,8 @@ from marquee.llm.files import read_columns
 #: bytes a bucket while it counts and four while it scores: 2 ** 22 buckets for 30 GB, 2 ** 26 for 100 TB.
 BUCKET_FACTOR, BUCKET_POWER, LEAST_BITS = 160, 0.4, 8
 PRIOR = 10.0
-#: Trusted labels up to this number (16 bytes each) are broadcast; more meet the documents in a shuffled join.
+#: Labels up to this number (16 bytes each) are broadcast; more meet the documents in a shuffled join.
 MOST_BROADCAST = 2_000_000
-MOST_LABELLED = 100_000
 #: A trusted document lost weighs as much as this many poor ones kept.
 LOSS_WEIGHT = 5.0
 SYMBOLS = b"#*$%&|<>"
@@ -161,20 +159,19 @@ def labelled(labels: DataFrame) -> DataFrame:
     return materialise(rows, "labels")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_labelled: int = MOST_LABELLED, most_broadcast: int = MOST_BROADCAST) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = MOST_BROADCAST) -> QualityModel:
     """Count both multinomials over all documents and set the threshold on the labelled ones.
 
-    Without trusted or without poor labels there is nothing to tell apart and every document passes. Of more than
-    ``most_labelled`` labels outside the trusted half those set the threshold whose hash lies under a bound
-    from their count, so none is sorted or sent to one task.
+    Without trusted or without poor labels there is nothing to tell apart and every document passes. All labels
+    outside the trusted half set the threshold: their scores are counted by step, so few rows leave the tasks.
     """
     spark = docs.sparkSession
     known = labelled(labels)
     texts = id_and_text(docs, id_col, text_col)
     bits = bucket_bits(texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
     source = known.where((F.col("trusted") == 1) & (F.col("half") == 0)).select("label_id", F.lit(1).alias("trusted"))
-    source = F.broadcast(source) if source.count() <= most_broadcast else source.hint("merge")
-    rows = texts.join(source, F.col("doc_id") == F.col("label_id"), "left")
+    sent = lambda rows: F.broadcast(rows) if rows.count() <= most_broadcast else rows.hint("merge")
+    rows = texts.join(sent(source), F.col("doc_id") == F.col("label_id"), "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("words", _forget)
@@ -205,9 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.record_batch([np.clip(found, -FARTHEST * STEPS, FARTHEST * STEPS), batch.column("trusted")], schema=schema_of(STEP_ROWS))
 
     held_out = known.where((F.col("trusted") == 0) | (F.col("half") == 1))
-    if (n_held := held_out.count()) > most_labelled:
-        held_out = held_out.where(F.pmod(F.xxhash64(F.lit(1), "label_id"), F.lit(n_held)) < most_labelled)
-    only = texts.join(F.broadcast(held_out), F.col("doc_id") == F.col("label_id"))
+    only = texts.join(sent(held_out), F.col("doc_id") == F.col("label_id"))
     steps = only.select("text", F.col("trusted").cast("int").alias("trusted")).mapInArrow(scores, STEP_ROWS)
     found = steps.groupBy("step", "trusted").count().collect()  # two rows a step at most
     return QualityModel(path, bits, draft.usual, threshold([tuple(x) for x in found]))

@@ -243,6 +243,17 @@ def test_labels_over_the_broadcast_limit_give_the_same_model(spark):
     assert (weights == two.weights).all() and weights.any()
 
 
+def test_all_labels_set_the_threshold(spark, monkeypatch):
+    """Far more labels than the 100,000 of a bounded sample; the poor ones score alike, so each must be counted."""
+    n = 160_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "good words here").otherwise("poor words there").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    counted, threshold = [], quality.threshold
+    monkeypatch.setattr(quality, "threshold", lambda found: counted.append(sum(n for _, _, n in found)) or threshold(found))
+    quality.fit(docs, labels, most_broadcast=1000)
+    assert counted == [quality.labelled(labels).where("trusted = 0 OR half = 1").count()] and counted[0] > n * 0.7
+
+
 def test_buckets_grow_with_the_corpus():
     bits = [quality.bucket_bits(n) for n in (0, 10**8, 10**9, 3 * 10**10, 10**14)]
     assert bits == [8, 18, 20, 22, 26]
