@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -254,6 +255,20 @@ def test_all_labels_set_the_threshold(spark, monkeypatch):
     assert counted == [quality.labelled(labels).where("trusted = 0 OR half = 1").count()] and counted[0] > n * 0.7
 
 
+def test_counts_travel_packed():
+    """Counts of a task take about a byte a bucket once compressed, and large ones come back whole."""
+    rng = np.random.default_rng(3)
+    counts = rng.geometric(0.1, quality.PIECE).astype(np.int32)
+    counts[5] = 2**31 - 1
+    data = quality.packed(counts)
+    assert (quality.unpacked(data) == counts).all() and quality.packed(counts * 0) == b""
+    assert len(pa.compress(data, "lz4", asbytes=True)) < 1.3 * quality.PIECE
+    batch = pa.record_batch([[3, 3, 4], [data, data, data], [b"", data, b""]], schema=quality.schema_of(quality.PIECES))
+    sums = pa.Table.from_batches(quality.add_pieces([batch])).to_pydict()
+    assert sums["bucket"] == [*range(3 * quality.PIECE, 5 * quality.PIECE)]
+    assert sums["corpus"] == [*(2 * counts.astype(int)).tolist(), *counts.tolist()] and sums["trusted"] == [*counts.tolist(), *[0] * quality.PIECE]
+
+
 def test_buckets_grow_with_the_corpus():
     bits = [quality.bucket_bits(n) for n in (0, 10**8, 10**9, 3 * 10**10, 10**14)]
     assert bits == [8, 18, 20, 22, 26]
