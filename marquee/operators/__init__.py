@@ -31,7 +31,7 @@ from marquee.operators.reshape import (
     measured_bytes,
     top_n,
 )
-from marquee.operators.stats import agg_distinct, agg_first, agg_mean, agg_stddev, daily_average
+from marquee.operators.stats import agg_distinct, agg_exact_mean, agg_first, agg_mean, agg_stddev, daily_average
 from marquee.operators.text import (
     counted_terms,
     fit_topics,
@@ -54,6 +54,7 @@ __all__ = [
     "topic_shares",
     "topic_terms",
     "agg_distinct",
+    "agg_exact_mean",
     "agg_first",
     "agg_mean",
     "agg_stddev",

@@ -23,6 +23,7 @@ from marquee.functions import (
 )
 from marquee.operators import (
     agg_distinct,
+    agg_exact_mean,
     agg_first,
     agg_mean,
     agg_stddev,
@@ -162,7 +163,7 @@ def event_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_overall(reviews: DataFrame) -> DataFrame:
     """Add each user's mean over all events. Users differ a lot in activity, so this is a join of
     reduced rows rather than a window over a user's rows."""
-    overall = reviews.groupBy("user_id").agg(agg_mean("value", "overall"))
+    overall = reviews.groupBy("user_id").agg(agg_exact_mean("value", "overall"))
     return enrich_left(reviews, overall, "user_id", unique=True)
 
 
@@ -436,6 +437,9 @@ def _low_rated_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(alerts, 9, "Daily_Average_Rating")
 
 
+#: Digits to which a gap is rounded before its test: fine enough to keep the means of cents apart, coarse enough that two
+#: doubles' binary noise does not put a gap of exactly 30 under it.
+GAP_DIGITS = 12
 RELATIVE_SQL = f"""WITH {DAILY_SQL}
     SELECT user_id, day, round(daily, 9) AS "Daily_Average_Rating", round(overall, 9) AS overall,
            round(overall - daily, 9) AS "Rating_Difference"
@@ -445,7 +449,7 @@ RELATIVE_SQL = f"""WITH {DAILY_SQL}
 @query("low_rated_relative", RELATIVE_SQL)
 def _low_rated_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(with_overall(event_reviews(spark, sf_dir)))
-    alerts = relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS)
+    alerts = relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS, digits=GAP_DIGITS)
     return rounded(alerts, 9, "Daily_Average_Rating", "overall", "Rating_Difference")
 
 
@@ -1032,7 +1036,7 @@ def _low_rated_stream_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = scratch_dir(spark, "topic")
     publish_json(wire_form(with_overall(event_reviews(spark, sf_dir))), topic)
     messages = stream_source(spark, "text", topic, "value string")
-    alerts = run_stream(relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS))
+    alerts = run_stream(relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS, digits=GAP_DIGITS))
     return rounded(alerts, 9, "Daily_Average_Rating", "overall", "Rating_Difference")
 
 
@@ -1099,5 +1103,7 @@ def _low_rated_stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         publish_json(reviews, topic)
     messages = stream_source(spark, "text", topic, "value string", maxFilesPerTrigger=1)
-    alerts = relative_alerts(messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS, distinct_by="event_id", late="4000 days")
+    alerts = relative_alerts(
+        messages, 30.0, EVENT_MESSAGE_WITH_OVERALL, EVENTS, digits=GAP_DIGITS, distinct_by="event_id", late="4000 days"
+    )
     return rounded(run_stream(alerts), 9, "Daily_Average_Rating", "overall", "Rating_Difference")

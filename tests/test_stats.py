@@ -1,7 +1,10 @@
 import datetime
+import fractions
+import itertools
 
 import pytest
 
+from marquee import workload
 from marquee.operators import (
     agg_distinct,
     agg_first,
@@ -93,6 +96,30 @@ def test_low_rated_relative_rounding(spark):
     assert low_rated_relative(daily, digits=9).count() == 1
 
 
+def test_daily_average_has_no_order(spark):
+    """Plain sums of these give 0.6000000000000001 or 0.6, and 1e13 takes the decimals of what comes after it."""
+    for values in ([0.1, 0.2, 0.3], [1e13, 0.1, 0.2, -1e13], [1 / 3, 1e-11, 7.0], [float("nan"), 1.0], [1e300, 1e300]):
+        means = set()
+        for order in itertools.permutations(values):
+            df = reviews(spark, [(str(i), "m", DAY, v, None) for i, v in enumerate(order)]).coalesce(1)
+            means.add(str(daily_average(df).first().Daily_Average_Rating))
+        exact = fractions.Fraction(0) if values[0] != values[0] else sum(fractions.Fraction(str(v)) for v in values) / len(values)
+        assert means == {"nan" if values[0] != values[0] else str(float(exact))}
+
+
+@pytest.mark.parametrize("query", ["low_rated_relative", "low_rated_stream_relative", "low_rated_stream_repeats"])
+def test_gap_of_exactly_the_threshold_counts(spark, tmp_path, query):
+    """Means of 48.8 and 18.8 lie exactly 30 apart, as doubles 29.999999999999996; those of user 2 a cent less in sum."""
+    values = {1: [18.8, 53.6, *[53.0] * 6], 2: [18.8, 53.59, *[53.0] * 6]}
+    rows = [
+        (8 * u + i, datetime.datetime(2024, 1, 1 + i), u, "view", v, "{}") for u, of in values.items() for i, v in enumerate(of)
+    ]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = workload.QUERIES[query](spark, str(tmp_path)).collect()
+    assert [(r.user_id, r.day, r.Rating_Difference) for r in found] == [(1, datetime.date(2024, 1, 1), 30.0)]
+
+
 def test_column_roles(spark):
     columns = ReviewColumns("id", "item", "day", "stars", "mean")
     df = spark.createDataFrame([(1, "m", DAY, 1, 5.0)], "id int, item string, day date, stars bigint, mean double")
