@@ -10,14 +10,16 @@ with another seed, and again, until they are enough.
 
 Candidates are bounded once more by the distance of short sketches, and what is left is verified on
 whole sets. Of large groups only as many pairs are looked at as components need: in some rounds every
-set meets one leader, verified links contract, and only between the components that remain all pairs
-are compared, by sketches within a group, and verified where these allow a link.
+set meets one leader, and verified links contract. Then the sketches of each group are compared within
+a task, and of the pairs that these allow, those of a spanning forest are verified, the closest first.
+Where all of them are links, the group is done; of the others all pairs are verified that sketches
+allow between the components that remain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import expm1
 
 import numpy as np
@@ -178,10 +180,30 @@ def live_pairs(ns: np.ndarray, labels: np.ndarray, sides: np.ndarray, sketches:
         for part in range(0, len(x), 1 << 18):
             i, j = rows[x[part : part + (1 << 18)]], y[part : part + (1 << 18)]
             far = np.bitwise_count(data[i] ^ data[j]).sum(1, dtype=np.int64)
-            close = far <= (100 - percent) * (ns[i] + ns[j]) // (100 + percent)
+            close = np.flatnonzero(far <= (100 - percent) * (ns[i] + ns[j]) // (100 + percent))
+            close = close[np.argsort(far[close], kind="stable")]
             yield i[close], j[close]
 
 
+def forest(labels: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Those of the pairs of places that join two parts; at first each label is a part."""
+    _, part = np.unique(labels, return_inverse=True)
+    above = list(range(part.max() + 1))
+
+    def top(at: int) -> int:
+        while above[at] != at:
+            above[at] = at = above[above[at]]
+        return at
+
+    for x, y in pairs:
+        joined = []
+        for place, (i, j) in enumerate(zip(part[x].tolist(), part[y].tolist())):
+            if (a := top(i)) != (b := top(j)):
+                above[a] = b
+                joined.append(place)
+        yield x[joined], y[joined]
+
+
 # --- the join ------------------------------------------------------------------------------------------------
 
 
@@ -362,9 +384,14 @@ class _Join:
         pairs = met.select(F.col("leader.node").alias("u"), F.col("node").alias("v"), F.col("leader.n").alias("n"), F.col("n").alias("m"))
         self.verify(materialise(pairs, "pairs"), False)
 
-    def all_left(self) -> None:
-        """All pairs of sets that meet and are in different components, as far as sizes and sketches allow a link."""
-        placed = materialise(self.labelled(), "placed")
+    def left(self, keys: DataFrame | None = None) -> DataFrame | None:
+        """Verify pairs of sets that meet and are in different components, as far as sizes and sketches allow a link.
+
+        Of each group a spanning forest is verified, and the keys of groups return in which an edge is no link. Of
+        groups with these ``keys`` every such pair is.
+        """
+        placed = self.labelled()
+        placed = materialise(placed if keys is None else placed.join(keys, "key", "left_semi"), "placed")
         sizes = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo <> hi")
         sizes = materialise(sizes.select(F.col("key").alias("of_key"), F.ceil(F.col("rows") / CHUNK).cast("int").alias("slices")), "sizes")
         rows = placed.join(sizes, F.col("key") == F.col("of_key"))
@@ -372,31 +399,50 @@ class _Join:
         rows = rows.select("key", "node", "n", "label", own, F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other"))
         low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
         rows = rows.select("key", "node", "n", "label", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"))
-        # A pair may meet in many groups; the smallest key of those it shares looks at it.
-        own_keys = placed.join(sizes.select("of_key"), F.col("key") == F.col("of_key"), "left_semi").groupBy("node")
-        own_keys = materialise(self.sketches.join(own_keys.agg(F.collect_set("key").alias("keys")), "node"), "own-keys")
-        rows = rows.join(own_keys, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+        known = self.sketches.withColumn("keys", F.lit(None).cast("array<long>"))
+        if keys is not None:
+            # A pair may meet in many groups; the smallest key of those it shares looks at it.
+            own_keys = placed.join(sizes.select("of_key"), F.col("key") == F.col("of_key"), "left_semi").groupBy("node")
+            known = materialise(self.sketches.join(own_keys.agg(F.collect_set("key").alias("keys")), "node"), "own-keys")
+        rows = rows.join(known, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
         rows = rows.select(F.xxhash64("key", "low", "high").alias("group"), "key", "node", "n", "label", "side", "sketch", "keys")
-        percent = self.percent
+        percent, every = self.percent, keys is not None
+
+        def owned(group: pa.Table, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            key, held = group.column("key")[0].as_py(), group.column("keys").combine_chunks()
+
+            @lru_cache(maxsize=None)
+            def smaller(at: int) -> set[int]:
+                found = held[at].values.to_numpy()
+                return set(found[found < key].tolist())
+
+            for x, y in pairs:
+                here = np.fromiter((smaller(i).isdisjoint(smaller(j)) for i, j in zip(x.tolist(), y.tolist())), bool, len(x))
+                yield x[here], y[here]
 
         def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for group in _runs(batches, "group"):
-                nodes, ns, labels, sides = (group.column(c).to_numpy().astype(np.int64) for c in ("node", "n", "label", "side"))
+                key, nodes, ns, labels, sides = (group.column(c).to_numpy().astype(np.int64) for c in ("key", "node", "n", "label", "side"))
                 if (labels == labels[0]).all():
                     continue
-                key, own = group.column("key")[0].as_py(), [set(keys) for keys in group.column("keys").to_pylist()]
-                for x, y in live_pairs(ns, labels, sides, group.column("sketch").to_pylist(), percent):
-                    here = np.fromiter((min(own[i] & own[j]) == key for i, j in zip(x.tolist(), y.tolist())), bool, len(x))
-                    x, y = x[here], y[here]
+                pairs = live_pairs(ns, labels, sides, group.column("sketch").to_pylist(), percent)
+                for x, y in owned(group, pairs) if every else forest(labels, pairs):
+                    if not len(x):
+                        continue
                     flip = nodes[x] > nodes[y]
                     x, y = np.where(flip, y, x), np.where(flip, x, y)
-                    columns = nodes[x], nodes[y], ns[x].astype(np.int32), ns[y].astype(np.int32)
-                    yield pa.record_batch(list(columns), schema=schema_of(PAIRS))
+                    columns = key[x], nodes[x], nodes[y], ns[x].astype(np.int32), ns[y].astype(np.int32)
+                    yield pa.record_batch(list(columns), schema=schema_of(f"key long, {PAIRS}"))
 
-        found = rows.mapInArrow(live, PAIRS)
+        found = materialise(rows.mapInArrow(live, f"key long, {PAIRS}"), "live")
+        new = found.select("u", "v", "n", "m").distinct()
         for tested in self.tested:
-            found = found.join(tested, ["u", "v"], "left_anti")
-        self.verify(materialise(found, "live"), True)
+            new = new.join(tested, ["u", "v"], "left_anti")
+        self.verify(materialise(new, "new"), True)
+        if every:
+            return None
+        no_link = reduce(DataFrame.unionByName, self.tested)
+        return materialise(found.join(no_link, ["u", "v"], "left_semi").select("key").distinct(), "unsettled")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -437,7 +483,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         join = _Join(texts, tagged, groups, size, percent)
         for number in range(STAR_ROUNDS):
             join.star(number)
-        join.all_left()
+        unsettled = join.left()
+        if not unsettled.isEmpty():
+            join.left(unsettled)
         roots = join.labels().select(F.col("node").alias("of_node"), "root")
         nodes = tagged.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
         rooted = nodes.join(roots, F.col("node") == F.col("of_node"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))

@@ -104,6 +104,25 @@ def test_family_below_the_threshold_is_not_verified_pair_by_pair(spark, monkeypa
     assert sum(verified) <= 1200 and len(verified) == parity.STAR_ROUNDS + 1
 
 
+def test_linked_family_without_a_leader_is_not_verified_pair_by_pair(spark, monkeypatch):
+    """80 texts that are all linked make 3160 pairs; each group needs no more than hold its own together."""
+    rng, verified = random.Random(5), []
+    monkeypatch.setattr(parity, "STAR_ROUNDS", 0)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(edited(rng, words, 1))) for i in range(80)]
+    plain = parity.materialise
+
+    def saved(df, purpose="stage", **options):
+        df = plain(df, purpose, **options)
+        if purpose == "verified":
+            verified.append(df.count())
+        return df
+
+    monkeypatch.setattr(parity, "materialise", saved)
+    assert got(spark, rows) == joined(rows)
+    assert sum(verified) <= 320
+
+
 def test_large_families_around_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(parity, "CHUNK", 100)
     monkeypatch.setattr(parity, "HEAVY", 3)
