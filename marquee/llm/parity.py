@@ -42,6 +42,8 @@ STAR_ROUNDS = 3
 #: Bits of a short sketch for each shingle, and the fewest.
 SKETCH_SHARE, LEAST_BITS = 4, 1024
 SEEN = 1_000_000
+#: Bits that a wanted value takes in a broadcast table, those of one of its rows, and the most of all: 64 MB.
+VALUE_BITS, ROW_BITS, MOST_BITS = 16, 32768, 1 << 29
 
 TAGGED = "doc_id long, node long, n int, sketch binary, keys array<long>"
 KEYS = "key long, node long, n int"
@@ -276,6 +278,24 @@ def meeting(rows: DataFrame, sampled: DataFrame) -> DataFrame:
     return materialise(dealt.mapInArrow(several, KEYS).distinct(), "meeting")
 
 
+def among(rows: DataFrame, column: str, wanted: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """``rows`` with every one whose ``column`` is among the values of ``wanted`` (one column) and few others.
+
+    Goes before a join, which then shuffles few rows that meet nothing. A bit for the hash of each value is set in a
+    table that is broadcast; where this would take more than ``most_bits``, all rows come back.
+    """
+    bits = -(-max(1, wanted.count()) * VALUE_BITS // ROW_BITS) * ROW_BITS
+    if bits > most_bits:
+        return rows
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    value = at(wanted.columns[0])
+    parts = wanted.groupBy(F.floor(value / ROW_BITS).alias("_part")).agg(F.bitmap_construct_agg(value % ROW_BITS).alias("_bits"))
+    placed = rows.withColumns({"_part": F.floor(at(column) / ROW_BITS), "_bit": at(column) % ROW_BITS})
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
+    return placed.join(F.broadcast(parts), "_part").where(met).select(*rows.columns)
+
+
 class _Join:
     """The frames that the rounds share: groups, short sketches and texts of the sets that meet."""
 
@@ -286,8 +306,8 @@ class _Join:
         self.sketches = materialise(known.groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
         # One document of each set is read again, found by its id; rows that share the id are told apart by their sets.
         least = tagged.join(meet, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("of_id"))
-        ids = least.select("of_id").distinct()
-        texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("of_id")), "left_semi").mapInArrow(self._named(), "node long, text binary")
+        ids = materialise(least.select("of_id").distinct(), "ids")
+        texts = among(docs, "doc_id", ids).join(ids, F.col("doc_id").eqNullSafe(F.col("of_id")), "left_semi").mapInArrow(self._named(), "node long, text binary")
         texts = materialise(texts.withColumn("at", F.monotonically_increasing_id()), "texts", compression="zstd")
         places = texts.groupBy("node").agg(F.min("at").alias("at"))
         self.texts, self.places = texts.select("at", "text"), materialise(places.join(meet, "node", "left_semi"), "places")
@@ -332,8 +352,10 @@ class _Join:
             pairs = materialise(pairs.select("u", "v", "n", "m", "of_u", "of_v").mapInArrow(close, PAIRS), "close")
         for end in "uv":
             pairs = pairs.join(self.places.select(F.col("node").alias(end), F.col("at").alias(f"at_{end}")), end)
+        pairs = materialise(pairs.select("u", "v", "at_u", "at_v"), "at")
         for end in "vu":
-            texts = self.texts.select(F.col("at").alias(f"at_{end}"), F.col("text").alias(f"text_{end}"))
+            wanted = pairs.select(f"at_{end}").distinct()
+            texts = among(self.texts, "at", wanted).select(F.col("at").alias(f"at_{end}"), F.col("text").alias(f"text_{end}"))
             pairs = pairs.join(texts, f"at_{end}")
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -155,3 +155,29 @@ def test_hard_rows(spark):
     assert Counter(map(tuple, found.collect())) == own
     assert parity.similar_documents(docs.limit(0)).count() == 0
     assert parity.similar_documents(docs.where("text is null")).count() == 1
+
+
+def test_joins_with_texts_shuffle_few_that_are_not_wanted(spark, monkeypatch):
+    """A null and repeated values are found, and where the bits are too many all rows come."""
+    rows = spark.range(20_000).selectExpr("CASE WHEN id > 0 THEN id * 7919 END AS id", "'x' AS text")
+    wanted = rows.where("id IS NULL OR id % 50 = 0").select("id").distinct()
+    found = parity.among(rows.unionAll(rows), "id", wanted)
+    assert found.columns == rows.columns
+    assert found.join(wanted, found.id.eqNullSafe(wanted.id), "left_semi").count() == 2 * wanted.count() == 800
+    assert found.count() < 800 + 0.1 * 40_000
+    assert parity.among(rows, "id", wanted, most_bits=0).count() == 20_000
+    assert parity.among(rows, "id", wanted.limit(0)).count() == 0
+
+    rng, left, whole = random.Random(3), [], parity.among
+
+    def counted(rows, column, wanted):
+        few = whole(rows, column, wanted)
+        left.append((rows.count(), few.count()))
+        return few
+
+    monkeypatch.setattr(parity, "among", counted)
+    alone = [(i, " ".join(f"w{rng.random()}" for _ in range(30))) for i in range(2000)]
+    pair = [(3000 + i, " ".join(edited(random.Random(i), [f"p{j}" for j in range(200)], 1))) for i in range(2)]
+    assert got(spark, alone + pair) == joined(alone + pair)
+    (docs, met), (texts, _) = left[0], left[1]
+    assert docs == 2002 and 2 <= met < 400 and texts < 400
