@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import VectorUDT
@@ -99,6 +104,28 @@ def _head(vocabulary: DataFrame, size: int, most_bytes: int) -> int:
     return head
 
 
+def _head_entries(first: Broadcast[pa.Array]) -> Callable[[Column], Column]:
+    """From counted terms, those among the first ones as ``indices`` (their places there, rising) and ``values``, and
+    the ``rest``. Arrow batches; a row's terms stay together."""
+
+    @F.arrow_udf("struct<indices:array<int>,values:array<double>,rest:array<struct<term:string,n:bigint>>>")
+    def split(lists: pa.Array) -> pa.Array:
+        pairs = lists.flatten()
+        term, n = pairs.field("term"), pairs.field("n")
+        found = pc.index_in(term, value_set=first.value.cast(term.type))
+        row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        ends = lambda rows: pa.array(np.searchsorted(rows, np.arange(len(lists) + 1)), pa.int32())
+        slot, here, size = found.drop_null().to_numpy(), row[known], max(1, len(first.value))
+        order = np.argsort(here * size + slot)
+        indices = pa.ListArray.from_arrays(ends(here), pa.array(slot[order], pa.int32()))
+        values = pa.ListArray.from_arrays(ends(here), pa.array(n.filter(pa.array(known)).to_numpy()[order].astype(np.float64)))
+        rest = pa.StructArray.from_arrays([c.filter(pa.array(~known)) for c in (term, n)], ["term", "n"])
+        return pa.StructArray.from_arrays([indices, values, pa.ListArray.from_arrays(ends(row[~known]), rest)], ["indices", "values", "rest"])
+
+    return split
+
+
 def term_vectors(
     df: DataFrame,
     column: str,
@@ -112,8 +139,8 @@ def term_vectors(
 
     ``column`` holds words, or what :func:`counted_terms` makes of them. Terms are counted within their row.
     The first slots, which most words fall on, are measured and broadcast, as many as ``broadcast_bytes``
-    hold; only rarer terms are shuffled to their slots, so no frequent term is a hot key. Entries then go to
-    their row, without the words if these are not kept. A row without a term of the vocabulary, or with NULL
+    hold, and found without leaving the row; only rarer terms are shuffled to their slots, so no frequent term is a
+    hot key. Their entries then go to their row, without the words if these are not kept. A row without a term of the vocabulary, or with NULL
     for words, has a vector without entries.
 
     Rows are numbered and saved first, unless ``row_id`` names a column that tells them apart in a frame that
@@ -128,21 +155,22 @@ def term_vectors(
         rows = numbered if row_id else materialise(numbered if keep_words else numbered.drop(column), "counted")
         size = vocabulary.agg(F.coalesce(F.max("slot") + 1, F.lit(0)).cast("int").alias("n")).first()["n"]
         head = _head(vocabulary, size, broadcast_bytes)
-        each = rows.select(F.col(row).alias("_of"), F.inline(terms).alias("_term", "_n"))
         slots = vocabulary.select(F.col("term").alias("_term"), F.col("slot").cast("int").alias("_slot"))
-        found = each.join(F.broadcast(slots.where(F.col("_slot") < head)), "_term")
-        if head < size:
-            found = found.unionByName(each.join(slots.where(F.col("_slot") >= head), "_term"))
-        entries = found.groupBy("_of").agg(F.sort_array(F.collect_list(F.struct("_slot", "_n"))).alias("_e"))
-        vector = F.struct(
-            F.lit(0).cast("tinyint").alias("type"),
-            F.lit(size).alias("size"),
-            F.coalesce(F.col("_e._slot"), F.array().cast("array<int>")).alias("indices"),
-            F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")).alias("values"),
-        )
+        first = slots.where(F.col("_slot") < head).orderBy("_slot").select("_term").toArrow().column(0).combine_chunks()
+        split = _head_entries(spark.sparkContext.broadcast(first))
         wanted = [c for c in df.columns if c != output and (keep_words or c != column)]
+        joined = rows.select(*{row: 0, **dict.fromkeys(wanted)}, split(F.col(terms)).alias("_first"))
+        indices, values = F.col("_first.indices"), F.col("_first.values")
+        if head < size:
+            joined = materialise(joined, "split")
+            each = joined.select(F.col(row).alias("_of"), F.inline("_first.rest").alias("_term", "_n"))
+            found = each.join(slots.where(F.col("_slot") >= head), "_term")
+            entries = found.groupBy("_of").agg(F.sort_array(F.collect_list(F.struct("_slot", "_n"))).alias("_e"))
+            joined = joined.join(entries, F.col(row) == F.col("_of"), "left")
+            indices = F.concat(indices, F.coalesce(F.col("_e._slot"), F.array().cast("array<int>")))
+            values = F.concat(values, F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")))
+        vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
         path = scratch_dir(spark, "vectors")
-        joined = rows.drop(terms).join(entries, F.col(row) == F.col("_of"), "left")
         joined.select(*wanted, vector.alias(output)).write.parquet(path)
         kept = [field for field in df.schema.fields if field.name in wanted]
         return run.keep_path(path, T.StructType([*kept, T.StructField(output, VectorUDT())]))

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector
@@ -170,3 +171,17 @@ def test_empty_text_has_no_topics(spark):
     vectors = term_vectors(df, "w", "v", fit_vocabulary(df, "w"))
     got = topic_mixture(vectors, fit_topics(vectors, "v", iterations=2), "m")
     assert got.where("i = 2").select(F.array_max(vector_to_array("m"))).first()[0] == 0.0
+
+
+def test_head_entries_are_found_within_their_row(spark):
+    """Places in rising order, the rest apart, and rows without words or with NULL; repeated over slices of a table."""
+    from marquee.operators.text import _head_entries
+
+    rows = [[("a", 2), ("b", 1), ("x", 3)], [], None, [("x", 1)], [("b", 5)]] * 50
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t array<struct<term:string,n:bigint>>").coalesce(1)
+    for head in (["c", "b", "a"], []):
+        split = _head_entries(spark.sparkContext.broadcast(pa.array(head, pa.string())))
+        got = {r.i: (r.s.indices, r.s["values"], [tuple(x) for x in r.s.rest]) for r in df.select("i", split(F.col("t")).alias("s")).collect()}
+        for i, terms in enumerate(rows):
+            here = sorted((head.index(t), float(n)) for t, n in terms or [] if t in head)
+            assert got[i] == ([s for s, _ in here], [n for _, n in here], [p for p in terms or [] if p[0] not in head])
