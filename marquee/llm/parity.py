@@ -278,39 +278,64 @@ def meeting(rows: DataFrame, sampled: DataFrame) -> DataFrame:
     return materialise(dealt.mapInArrow(several, KEYS).distinct(), "meeting")
 
 
-def among(rows: DataFrame, column: str, wanted: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """``rows`` with every one whose ``column`` is among the values of ``wanted`` (one column) and few others.
-
-    Goes before a join, which then shuffles few rows that meet nothing. A bit for the hash of each value is set in a
-    table that is broadcast; where this would take more than ``most_bits``, all rows come back.
-    """
+def value_bits(wanted: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, int] | None:
+    """A table in which a bit is set for the hash of each value of ``wanted`` (one column), and the number of its bits;
+    None where that would be more than ``most_bits``."""
     bits = -(-max(1, wanted.count()) * VALUE_BITS // ROW_BITS) * ROW_BITS
     if bits > most_bits:
+        return None
+    value = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(bits))
+    return wanted.groupBy(F.floor(value / ROW_BITS).alias("_part")).agg(F.bitmap_construct_agg(value % ROW_BITS).alias("_bits")), bits
+
+
+def having_bits(rows: DataFrame, column: str, table: tuple[DataFrame, int] | None) -> DataFrame:
+    """``rows`` whose ``column`` has its bit set in a table of :func:`value_bits`; all of them without a table."""
+    if table is None:
         return rows
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    value = at(wanted.columns[0])
-    parts = wanted.groupBy(F.floor(value / ROW_BITS).alias("_part")).agg(F.bitmap_construct_agg(value % ROW_BITS).alias("_bits"))
-    placed = rows.withColumns({"_part": F.floor(at(column) / ROW_BITS), "_bit": at(column) % ROW_BITS})
+    parts, bits = table
+    value = F.pmod(F.xxhash64(column), F.lit(bits))
+    placed = rows.withColumns({"_part": F.floor(value / ROW_BITS), "_bit": value % ROW_BITS})
     byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     met = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
     return placed.join(F.broadcast(parts), "_part").where(met).select(*rows.columns)
 
 
+def among(rows: DataFrame, column: str, wanted: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """``rows`` with every one whose ``column`` is among the values of ``wanted`` (one column) and few others.
+
+    Goes before a join, which then shuffles few rows that meet nothing. A bit for the hash of each value is set in a
+    table that is broadcast; where this would take more than ``most_bits``, all rows come back.
+    """
+    return having_bits(rows, column, value_bits(wanted, most_bits))
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` whose ``doc_id`` (null too) is in ``ids``, one column ``of_id`` without repeats.
+
+    An inner join: Spark moves a left semi join below the join with the broadcast bits, so that every text is shuffled.
+    """
+    found = among(docs, "doc_id", ids).join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_id")))
+    return found.select(*docs.columns)
+
+
 class _Join:
     """The frames that the rounds share: groups, short sketches and texts of the sets that meet."""
 
     def __init__(self, docs: DataFrame, tagged: DataFrame, groups: DataFrame, size: int, percent: int):
         self.size, self.percent, self.groups = size, percent, groups
         meet = materialise(groups.select("node").distinct(), "meet")
-        known = tagged.where(F.col("sketch").isNotNull()).join(meet, "node", "left_semi")
-        self.sketches = materialise(known.groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
+        # Sketches stay where they are; tasks may have the same, so pairs name the ``mark`` of the one they take.
+        known = having_bits(tagged.where(F.col("sketch").isNotNull()).select("node", "sketch"), "node", value_bits(meet))
+        known = materialise(known.withColumn("mark", F.monotonically_increasing_id()), "sketches")
+        marks = known.groupBy("node").agg(F.min("mark").alias("mark"))
+        self.sketches = known.select("mark", "sketch")
         # One document of each set is read again, found by its id; rows that share the id are told apart by their sets.
         least = tagged.join(meet, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("of_id"))
         ids = materialise(least.select("of_id").distinct(), "ids")
-        texts = among(docs, "doc_id", ids).join(ids, F.col("doc_id").eqNullSafe(F.col("of_id")), "left_semi").mapInArrow(self._named(), "node long, text binary")
+        texts = with_ids(docs, ids).mapInArrow(self._named(), "node long, text binary")
         texts = materialise(texts.withColumn("at", F.monotonically_increasing_id()), "texts", compression="zstd")
-        places = texts.groupBy("node").agg(F.min("at").alias("at"))
-        self.texts, self.places = texts.select("at", "text"), materialise(places.join(meet, "node", "left_semi"), "places")
+        places = texts.groupBy("node").agg(F.min("at").alias("at")).join(meet, "node", "left_semi")
+        self.texts, self.places = texts.select("at", "text"), materialise(places.join(marks, "node"), "places")
         self.links: list[DataFrame] = []
         self.tested: list[DataFrame] = []
 
@@ -333,6 +358,19 @@ class _Join:
 
         return rows
 
+    def _with(self, pairs: DataFrame, rows: DataFrame, place: str, value: str) -> DataFrame:
+        """Saved ``pairs`` with the ``value`` of both ends from ``rows``; of these, few are shuffled that no pair wants.
+
+        Always by sorting: few pairs would be broadcast to all rows, so that small tables moved no values and large
+        ones all, and what is measured on the former said nothing about the latter.
+        """
+        out = pairs
+        for end in "vu":
+            found = among(rows, place, pairs.select(f"{place}_{end}").distinct())
+            found = found.select(F.col(place).alias(f"{place}_{end}"), F.col(value).alias(f"{value}_{end}"))
+            out = out.join(found.hint("merge"), f"{place}_{end}")
+        return out
+
     def verify(self, pairs: DataFrame, bounded: bool) -> None:
         """Add the pairs ``u``, ``v`` that are similar to the links; ``u`` is the one that many pairs may have."""
         percent, size = self.percent, self.size
@@ -340,23 +378,20 @@ class _Join:
         def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = []
-                for n, m, a, b in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "of_u", "of_v"))):
+                for n, m, a, b in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "sketch_u", "sketch_v"))):
                     width = min(len(a), len(b)) // 8
                     keep.append(int(np.bitwise_count(folded(a, width) ^ folded(b, width)).sum()) <= most_apart(n + m, percent))
-                yield pa.record_batch([batch.column(c) for c in "uvnm"], names=list("uvnm")).filter(pa.array(keep, pa.bool_()))
+                kept = ["u", "v", "n", "m", "at_u", "at_v"]
+                yield pa.record_batch([batch.column(c) for c in kept], names=kept).filter(pa.array(keep, pa.bool_()))
 
-        if not bounded:
-            for end in "vu":
-                named = self.sketches.select(F.col("node").alias(f"node_{end}"), F.col("sketch").alias(f"of_{end}"))
-                pairs = pairs.join(named, F.col(end) == F.col(f"node_{end}"))
-            pairs = materialise(pairs.select("u", "v", "n", "m", "of_u", "of_v").mapInArrow(close, PAIRS), "close")
         for end in "uv":
-            pairs = pairs.join(self.places.select(F.col("node").alias(end), F.col("at").alias(f"at_{end}")), end)
-        pairs = materialise(pairs.select("u", "v", "at_u", "at_v"), "at")
-        for end in "vu":
-            wanted = pairs.select(f"at_{end}").distinct()
-            texts = among(self.texts, "at", wanted).select(F.col("at").alias(f"at_{end}"), F.col("text").alias(f"text_{end}"))
-            pairs = pairs.join(texts, f"at_{end}")
+            named = self.places.select(F.col("node").alias(end), F.col("at").alias(f"at_{end}"), F.col("mark").alias(f"mark_{end}"))
+            pairs = pairs.join(named, end)
+        pairs = materialise(pairs.select("u", "v", "n", "m", "at_u", "at_v", "mark_u", "mark_v"), "at")
+        if not bounded:
+            near = self._with(pairs, self.sketches, "mark", "sketch").mapInArrow(close, f"{PAIRS}, at_u long, at_v long")
+            pairs = materialise(near, "close")
+        pairs = self._with(pairs, self.texts, "at", "text")
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hold("parity", int)
@@ -421,11 +456,11 @@ class _Join:
         rows = rows.select("key", "node", "n", "label", own, F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other"))
         low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
         rows = rows.select("key", "node", "n", "label", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"))
-        known = self.sketches.withColumn("keys", F.lit(None).cast("array<long>"))
-        if keys is not None:
-            # A pair may meet in many groups; the smallest key of those it shares looks at it.
-            own_keys = placed.join(sizes.select("of_key"), F.col("key") == F.col("of_key"), "left_semi").groupBy("node")
-            known = materialise(self.sketches.join(own_keys.agg(F.collect_set("key").alias("keys")), "node"), "own-keys")
+        # A pair may meet in many groups; the smallest key of those it shares looks at it.
+        own_keys = F.lit(None).cast("array<long>") if keys is None else F.collect_set("key")
+        known = placed.join(sizes.select("of_key"), F.col("key") == F.col("of_key"), "left_semi").groupBy("node").agg(own_keys.alias("keys"))
+        known = materialise(known.join(self.places.select("node", "mark"), "node"), "own-keys")
+        known = known.join(among(self.sketches, "mark", known.select("mark")).hint("merge"), "mark").drop("mark")
         rows = rows.join(known, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
         rows = rows.select(F.xxhash64("key", "low", "high").alias("group"), "key", "node", "n", "label", "side", "sketch", "keys")
         percent, every = self.percent, keys is not None

@@ -181,3 +181,26 @@ def test_joins_with_texts_shuffle_few_that_are_not_wanted(spark, monkeypatch):
     assert got(spark, alone + pair) == joined(alone + pair)
     (docs, met), (texts, _) = left[0], left[1]
     assert docs == 2002 and 2 <= met < 400 and texts < 400
+
+
+def test_texts_are_chosen_before_they_are_shuffled(spark, monkeypatch):
+    """The join with the wanted ids stands above the one with their broadcast bits, where it must be a shuffle."""
+    plans, plain = [], parity.materialise
+
+    def saved(df, purpose="stage", **options):
+        if purpose == "texts":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, purpose, **options)
+
+    monkeypatch.setattr(parity, "materialise", saved)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = [f"w{i}" for i in range(200)]
+        rows = [(i, " ".join(edited(random.Random(i), words, 1))) for i in range(4)] + [(None, "a b c d e"), (9, None)]
+        assert got(spark, rows) == joined(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plans[0].splitlines() if "Join " in line]
+    with_ids, with_bits = (next(at for at, line in enumerate(joins) if name in line) for name in ("of_id", "_part"))
+    assert len(plans) == 1 and with_ids < with_bits
