@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from marquee.operators.ranks import ranks
 from marquee.operators.reshape import measured_bytes
-from marquee.session import materialise, scratch_dir, stages
+from marquee.session import materialise, scratch_dir, shuffles_dropped, stages
 
 
 def tokenize(df: DataFrame, column: str, output: str) -> DataFrame:
@@ -171,7 +171,8 @@ def term_vectors(
             values = F.concat(values, F.coalesce(F.col("_e._n").cast("array<double>"), F.array().cast("array<double>")))
         vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
         path = scratch_dir(spark, "vectors")
-        joined.select(*wanted, vector.alias(output)).write.parquet(path)
+        with shuffles_dropped(spark):
+            joined.select(*wanted, vector.alias(output)).write.parquet(path)
         kept = [field for field in df.schema.fields if field.name in wanted]
         return run.keep_path(path, T.StructType([*kept, T.StructField(output, VectorUDT())]))
 

@@ -87,14 +87,28 @@ def create_file(spark: SparkSession, path: str, data: bytes) -> bool:
     return True
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What a write inside has shuffled is deleted at its end; else it stays on disk until the driver's heap is collected."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, purpose: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a recomputation, and later
-    passes stay columnar and pruned. Inside :func:`stages` the folder belongs to that run.
+    passes stay columnar and pruned. Inside :func:`stages` the folder belongs to that run. Its shuffles go
+    once it is written.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.options(**options).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.options(**options).parquet(path)
     saved = df.sparkSession.read.schema(df.schema).parquet(path)
     _SAVED[saved] = path
     return saved

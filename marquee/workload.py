@@ -681,14 +681,14 @@ ENTRIES_SQL = f"""{FILTERED_SQL}, entries AS (
 
 
 def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each text is counted once; the vocabulary and the vectors are made from the saved counts."""
+    """``row``, ``doc_id`` and ``counts``, saved. Each text is counted once; the vocabulary and the vectors are made from the
+    saved counts."""
     counted = filtered_words_of(spark, sf_dir).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", counted_terms("words").alias("terms")
     )
     with stages(spark) as run:
         terms = materialise(counted, "counted")
-        vectors = term_vectors(terms, "terms", "counts", fit_vocabulary(terms, "terms"), "row", keep_words=False)
-        return run.keep(vectors).drop("row")
+        return run.keep(term_vectors(terms, "terms", "counts", fit_vocabulary(terms, "terms"), "row", keep_words=False))
 
 
 @query("fit_vocabulary", f"WITH {ENTRIES_SQL} SELECT term, n, df, slot FROM vocabulary")
@@ -716,9 +716,7 @@ def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     with stages(spark) as run:
-        vectors = document_vectors(spark, sf_dir)
-        rows = vectors.withColumn("row", F.monotonically_increasing_id())
-        saved = materialise(rows, "numbered")
+        saved = document_vectors(spark, sf_dir)
         terms = saved.select(F.coalesce(F.max(F.unwrap_udt("counts").getField("size")), F.lit(0))).first()[0]
         model = fit_topic_table(saved, "counts", terms, "row")
         mixed = topic_shares(saved, model, "counts", "row", "mixture")

@@ -1,3 +1,5 @@
+import gc
+import time
 from pathlib import Path
 
 import pytest
@@ -67,3 +69,17 @@ def test_a_failed_run_leaves_nothing(spark):
     assert folders(spark) == before
     saved = materialise(spark.range(2))  # outside a run it stays
     assert saved.count() == 2 and len(folders(spark) - before) == 1
+
+
+def test_a_saved_stage_leaves_no_shuffle(spark):
+    """What it shuffled is deleted once it is written, not when the driver's heap is collected."""
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    gc.collect()
+    before, setting = held(), spark.conf.get(name, None)
+    saved = [materialise(spark.range(1000).repartition(3, "id").groupBy("id").count()) for _ in range(3)]
+    until = time.monotonic() + 20
+    while held() > before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert held() <= before and all(s.count() == 1000 for s in saved)
+    assert spark.conf.get(name, None) == setting
